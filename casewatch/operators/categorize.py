@@ -90,15 +90,14 @@ def keyword_model(rules=None, text="patient_summary_text", id_column="safetyrepo
     rules = CLINICAL_RULES if rules is None else rules
 
     def load():
+        def best(value):
+            value = value.lower()
+            hits = {name: sum(w in value for w in words) for name, words in rules.items()}
+            top = max(hits, key=hits.get)  # the earlier rule on ties
+            return top if hits[top] else OTHER
+
         def model(batch: pd.DataFrame) -> pd.DataFrame:
-            lowered = batch[text].str.lower()
-            hits = pd.DataFrame(
-                {
-                    name: sum(lowered.str.contains(w, regex=False).astype(int) for w in words)
-                    for name, words in rules.items()
-                }
-            )
-            organ = hits.idxmax(axis=1).where(hits.max(axis=1) > 0, OTHER)
+            organ = [best(value) for value in batch[text]]
             return pd.DataFrame(
                 {
                     "id": batch[id_column].astype(str),

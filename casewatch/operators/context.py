@@ -1,10 +1,13 @@
-"""Reports around an anomalous day: interval join, nearest n, numbered text, prompts."""
+"""Reports around an anomalous day: interval join, nearest n, numbered text, text templates.
+
+The wording of stats_block and claim_text is a fixed format.
+"""
 
 from pyspark.sql import functions as F
 
 from casewatch import config
 from casewatch.functions.text import numbered_lines
-from casewatch.operators.ranking import top_n_per_key
+from casewatch.operators.ranking import salt, top_n_per_key
 from casewatch.operators.timeseries import direction
 
 
@@ -40,13 +43,20 @@ def context_top_n(
 
     Only the first n ids of a (drug, day) can be among the n nearest, so every day is cut
     to n rows before the join. However many reports a day holds, an anomaly meets at most
-    n of them per day of its window. `anomalies` is read twice: pass a staged table.
+    n of them per day of its window. The salt is part of the key already when reports are
+    narrowed to the wanted days, so a crowded day is spread from there on.
+    `anomalies` is read twice: pass a staged table.
     """
-    wanted = window_days(anomalies.select("drug", "date"), days).select("drug", F.col("day").alias("received"))
-    candidates = reports.join(wanted.distinct(), ["drug", "received"], "left_semi")
-    per_day = top_n_per_key(
-        candidates, ["drug", "received"], [id_column], n, salt_on=[id_column], salts=salts
+    wanted = (
+        window_days(anomalies.select("drug", "date"), days)
+        .select("drug", F.col("day").alias("received"))
+        .distinct()
+        .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    )
+    candidates = reports.withColumn("__salt", salt([id_column], salts)).join(
+        wanted, ["drug", "received", "__salt"], "left_semi"
     )
+    per_day = top_n_per_key(candidates, ["drug", "received"], [id_column], n, salt_column="__salt")
     return top_n_per_key(
         context_reports(anomalies, per_day, days),
         ["drug", "date"],

@@ -7,11 +7,14 @@ from casewatch.functions.text import names_of, tokens_as_phrase
 
 
 def tracked_drugs_named(products, drugs):
-    """Array of the tracked drugs whose name occurs as a word or phrase in a product name."""
+    """Tracked drugs whose name occurs as a word or phrase in a product name, in list order."""
     # "|" keeps a phrase from matching across two products.
     text = F.array_join(F.transform(products, lambda p: tokens_as_phrase(p["medicinalproduct"])), "|")
-    candidates = F.array(*[F.lit(d) for d in drugs])
-    return F.filter(candidates, lambda d: F.contains(text, tokens_as_phrase(d)))
+    named = lambda t: F.array_compact(
+        F.array(*[F.when(F.contains(t, tokens_as_phrase(F.lit(d))), F.lit(d)) for d in drugs])
+    )
+    # Going through a one-element array normalises the text once for all drugs.
+    return F.flatten(F.transform(F.array(text), named))
 
 
 def mentions_drug(products, drug):
@@ -35,6 +38,17 @@ def scan_reports(reports, drugs=config.DRUGS, start=config.START_DATE, end=confi
     )
 
 
+def scan_first_named(reports, drugs=config.DRUGS, start=config.START_DATE, end=config.END_DATE):
+    """One row per report in range that names a tracked drug, with the earliest of the list.
+
+    What scan_reports and keeping the first row per id give, without multiplying rows.
+    """
+    named = F.get(tracked_drugs_named(F.col("patient.drug"), drugs), 0)
+    return (
+        reports.filter(received_between(start, end)).withColumn("drug", named).filter(F.col("drug").isNotNull())
+    )
+
+
 def decode_sex(column):
     chain = F
     for code, name in config.SEX_CODES.items():
@@ -54,7 +68,7 @@ def _or_default(text, default):
 
 
 def summary_text(age, sex, products, reactions, flags, received, drug):
-    """The fixed sentence; every missing part has its own fallback."""
+    """The summary sentence, a fixed format; every missing part has its own fallback."""
     joined = lambda array: F.coalesce(F.array_join(array, ", "), F.lit(""))
     return F.concat(
         F.lit("A "),

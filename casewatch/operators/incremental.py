@@ -1,5 +1,7 @@
 """Resumable work: what is pending, batches with stable ids, label batches, upserts."""
 
+import math
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -27,12 +29,16 @@ def pending_sample(rows, done, per_drug=None, cap_all=False, seed=42, id_column=
     return stratified_sample(pending(rows, done, id_column), per_drug, seed, id_column=id_column)
 
 
-def make_batches(rows, size, buckets, id_column="safetyreportid", payload=("patient_summary_text",)):
-    """Batches of at most `size` rows with a digest id and their JSON request text.
+def make_batches(
+    rows, size, rows_per_bucket=100_000, id_column="safetyreportid", payload=("patient_summary_text",)
+):
+    """Batches of at most `size` rows with a digest id and their items.
 
-    Positions are counted inside hash buckets of the id, never over the whole table; choose
-    buckets so that one holds a comfortable number of rows for a sort (about a million).
+    Positions are counted inside hash buckets of the id, never over the whole table. The
+    number of buckets follows the row count, so a bucket stays about rows_per_bucket large
+    at any scale. Ids must be unique. `rows` is read twice: pass a stored table.
     """
+    buckets = max(1, math.ceil(rows.count() / rows_per_bucket))
     bucket = hash_bucket(F.col(id_column), buckets)
     within = Window.partitionBy("bucket").orderBy(id_column)
     numbered = rows.withColumn("bucket", bucket).withColumn(

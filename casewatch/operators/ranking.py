@@ -13,18 +13,27 @@ def _columns(names):
     return [F.col(n) if isinstance(n, str) else n for n in names]
 
 
-def top_n_per_key(df, keys, order, n, salt_on=None, salts=1, rank=None):
-    """The first n rows of every key in the given total order; exact for any key size."""
+def salt(id_columns, salts):
+    return F.pmod(F.xxhash64(*_columns(id_columns)), F.lit(salts)).cast("int")
+
+
+def top_n_per_key(df, keys, order, n, salt_on=None, salts=1, salt_column=None, rank=None):
+    """The first n rows of every key in the given total order; exact for any key size.
+
+    salt_on: id columns that spread the rows of one key over `salts` first-round groups.
+    salt_column: a column of df that already does so, instead of salt_on.
+    """
     rank_name = rank or "__rank"
     order = _columns(order)
-    if salts > 1:
-        spread = F.pmod(F.xxhash64(*_columns(salt_on)), F.lit(salts)).alias("__salt")
-        first = Window.partitionBy(*keys, "__salt").orderBy(*order)
+    if salts > 1 and salt_column is None:
+        salt_column = "__salt"
+        df = df.withColumn(salt_column, salt(salt_on, salts))
+    if salt_column is not None:
+        first = Window.partitionBy(*keys, salt_column).orderBy(*order)
         df = (
-            df.withColumn("__salt", spread)
-            .withColumn("__first", F.row_number().over(first))
+            df.withColumn("__first", F.row_number().over(first))
             .filter(F.col("__first") <= n)
-            .drop("__salt", "__first")
+            .drop(salt_column, "__first")
         )
     final = Window.partitionBy(*keys).orderBy(*order)
     out = df.withColumn(rank_name, F.row_number().over(final)).filter(F.col(rank_name) <= n)

@@ -1,7 +1,7 @@
 """DuckDB statements that state, independently, what the registered queries must return."""
 
 from casewatch.functions.severity import LADDER, LADDER_DEFAULT
-from casewatch.plans.registry import FIXED_WEIGHTS
+from casewatch.plans.registry import FIXED_WEIGHTS, ROWS_PER_BUCKET
 from casewatch.sources.bindings import REACTION_RULES, TOXIC_WORDS, TRACKED
 
 
@@ -128,11 +128,12 @@ CTES = {
         SELECT safetyreportid, lower(drug) AS primary_organ_system, {_SEVERITY_RAW} AS severity_before,
                {_lookup(_SEVERITY_RAW)} AS severity
         FROM mentions QUALIFY row_number() OVER (PARTITION BY safetyreportid ORDER BY drug) = 1""",
-    "numbered": """
+    "numbered": f"""
         SELECT *, CAST(floor((row_number() OVER (PARTITION BY bucket ORDER BY safetyreportid) - 1) / 20) AS INT)
                   AS batch
         FROM (SELECT safetyreportid, patient_summary_text,
-                     CAST(CAST('0x' || substr(sha256(safetyreportid), 1, 8) AS BIGINT) % 16 AS INT) AS bucket
+                     CAST(CAST('0x' || substr(sha256(safetyreportid), 1, 8) AS BIGINT)
+                          % CAST(ceil(count(*) OVER () / {ROWS_PER_BUCKET}.0) AS BIGINT) AS INT) AS bucket
               FROM summaries)""",
     "batches": """
         SELECT bucket, batch, count(*) AS n_items,

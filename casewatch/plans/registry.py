@@ -14,12 +14,12 @@ from casewatch.operators import (
     flatten,
     incremental,
     inference,
-    isolation_forest,
     products,
     ranking,
     vectors,
 )
 from casewatch.operators import holt_winters as hw
+from casewatch.operators import isolation_forest as forest
 from casewatch.operators import timeseries as ts
 from casewatch.plans import detection, diagnostics
 from casewatch.session import tune
@@ -31,6 +31,7 @@ from casewatch.streaming import ingest as stream
 QUERIES = {}
 FIXED_WEIGHTS = (0.3, 0.05, 0.1)
 LIST_SEPARATOR = "|"
+ROWS_PER_BUCKET = 1000
 
 
 def query(fn):
@@ -63,12 +64,16 @@ def filled(spark, sf):
     return ts.gap_fill(daily(spark, sf))
 
 
+WHOLE_PERIOD = ("1990-01-01", "2019-12-31")
+
+
 def named_reports(spark, sf):
-    return flatten.scan_reports(b.case_reports(spark, sf), b.TRACKED, "1990-01-01", "2019-12-31")
+    return flatten.scan_reports(b.case_reports(spark, sf), b.TRACKED, *WHOLE_PERIOD)
 
 
 def summaries(spark, sf):
-    return flatten.flatten_reports(ranking.dedup_reports(named_reports(spark, sf), b.TRACKED))
+    first_named = flatten.scan_first_named(b.case_reports(spark, sf), b.TRACKED, *WHOLE_PERIOD)
+    return flatten.flatten_reports(ranking.dedup_reports(first_named, b.TRACKED, then_by=["receivedate"]))
 
 
 def categorized(spark, sf):
@@ -214,7 +219,7 @@ def stratified_cap(spark, sf):
 
 @query
 def stratified_even(spark, sf):
-    mentions = ranking.dedup_reports(b.case_mentions(spark, sf), b.TRACKED)
+    mentions = staged(ranking.dedup_reports(b.case_mentions(spark, sf), b.TRACKED), "mentions")
     return ranking.stratified_even(mentions, config.LABEL_SAMPLE).select("drug", "safetyreportid")
 
 
@@ -349,7 +354,8 @@ def progress_status(spark, sf):
 
 
 def _batches(spark, sf):
-    return incremental.make_batches(summaries(spark, sf), config.CATEGORIZE_BATCH, 16)
+    rows = staged(summaries(spark, sf).select("safetyreportid", "patient_summary_text"), "summaries")
+    return incremental.make_batches(rows, config.CATEGORIZE_BATCH, ROWS_PER_BUCKET)
 
 
 @query
@@ -437,7 +443,7 @@ def _refusing_model():
 
 @query
 def inference_errors(spark, sf):
-    docs = b.table(spark, sf, "documents").select(
+    docs = b.spread_table(spark, sf, "documents").select(
         F.col("doc_id").cast("string").alias("safetyreportid"), "text"
     )
     schema = T.StructType(
@@ -523,15 +529,12 @@ def iforest_features(spark, sf):
 
 
 @query
-def isolation_forest_scores(spark, sf):
-    features = staged(isolation_forest.with_chunks(ts.forest_features(filled(spark, sf))), "features")
-    flags = isolation_forest.forest_flags(isolation_forest.isolation_scores(features))
+def isolation_forest(spark, sf):
+    features = staged(forest.with_chunks(ts.forest_features(filled(spark, sf))), "features")
+    flags = forest.forest_flags(forest.isolation_scores(features))
     return flags.select("drug", "date", "count", "isolation_forest_score", "is_anomaly_isoforest")
 
 
-QUERIES["isolation_forest"] = QUERIES.pop("isolation_forest_scores")
-
-
 @query
 def anomaly_table(spark, sf):
     return detection.anomaly_table(daily(spark, sf))
@@ -617,7 +620,7 @@ def vector_upsert(spark, sf):
 
 
 def _document_rows(spark, sf):
-    return b.table(spark, sf, "documents").select(
+    return b.spread_table(spark, sf, "documents").select(
         F.col("doc_id").cast("string").alias("safetyreportid"),
         F.col("text").alias("patient_summary_text"),
         F.when(F.col("lang") != "de", F.col("source")).alias("drug"),

@@ -25,7 +25,8 @@ def local_session(cores="*", shuffle_partitions=8, memory="8g", app="casewatch")
 
 
 def tune(spark):
-    """Set the few SQL options the plans rely on."""
+    """Set the few SQL options the plans rely on; report days are UTC days."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     if int(spark.conf.get(GROUP_LIMIT_THRESHOLD, "1000")) == 1000:
         spark.conf.set(GROUP_LIMIT_THRESHOLD, "10000")
     return spark

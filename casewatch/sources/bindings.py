@@ -27,6 +27,13 @@ def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_table(spark, sf_dir, name):
+    """A table for costly row-wise work: redistributed only if it has fewer splits than cores."""
+    df = table(spark, sf_dir, name)
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _lines(spark, sf_dir, *part_columns):
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
     parts = table(spark, sf_dir, "part").select("p_partkey", *part_columns)
@@ -115,7 +122,7 @@ def labelled_documents(spark, sf_dir):
     A document without a label keeps blank truth columns. The second truth is also blank
     for low-quality documents, so the two accuracies have different denominators.
     """
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "n_chars")
+    docs = spread_table(spark, sf_dir, "documents").select("doc_id", "text", "source", "n_chars")
     labels = table(spark, sf_dir, "labels")
     return docs.join(labels, "doc_id", "left").select(
         F.col("doc_id").cast("string").alias("safetyreportid"),

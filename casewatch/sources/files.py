@@ -50,7 +50,9 @@ def read_json_results_tolerant(spark, path, schema):
         .withColumn("_file", F.col("_metadata.file_name"))
     )
     good = rows.filter(F.col("_corrupt").isNull()).drop("_corrupt", "_file")
-    skipped = rows.filter(F.col("_corrupt").isNotNull()).select(F.col("_file").alias("file_name"))
+    # Spark refuses a query on the corrupt-record column alone, so the data columns take part.
+    read = F.to_json(F.struct(*schema.names)).isNotNull()
+    skipped = rows.filter(F.col("_corrupt").isNotNull() & read).select(F.col("_file").alias("file_name"))
     return good, skipped
 
 
@@ -99,6 +101,7 @@ def _flat_for_csv(df):
 
 
 def write_csv(df, path, partition_by=None, mode="errorifexists"):
+    """CSV with arrays as JSON text. Empty text and null are the same in the file."""
     writer = _flat_for_csv(df).write.mode(mode).options(**_CSV)
     if partition_by:
         writer = writer.partitionBy(partition_by)
