@@ -342,6 +342,11 @@ def statements():
         "true_organ_system, true_severity, '' AS notes FROM template",
         "template",
     )
+    s["write_counts"] = _sql(f"SELECT drug, {_DAY}, cnt AS count FROM daily", "daily")
+    s["write_reports"] = _sql(f"SELECT {_FLAT} FROM summaries", "summaries")
+    s["optional_scan"] = _sql(
+        "SELECT CAST(0 AS BIGINT) AS done, count(*) AS total, CAST(0 AS DOUBLE) AS percent FROM daily", "daily"
+    )
     s["distinct_values"] = _sql("SELECT DISTINCT drug FROM daily ORDER BY drug", "daily")
 
     s["flatten_reports"] = _sql(f"SELECT {_FLAT} FROM flat", "flat")
@@ -439,6 +444,22 @@ def statements():
         "CASE o_orderstatus WHEN 'F' THEN 'invalid json' WHEN 'O' THEN 'missing reports' END AS reject_reason "
         "FROM orders"
     )
+    s["json_results_scan"] = _sql(
+        "SELECT batch_id, row_number() OVER (PARTITION BY bucket, batch ORDER BY safetyreportid) - 1 AS position, "
+        "safetyreportid AS id, 'mild' AS severity FROM numbered JOIN batches USING (bucket, batch)",
+        "numbered",
+        "batches",
+    )
+    s["json_tolerant_scan"] = (
+        "SELECT CASE o_orderstatus WHEN 'P' THEN 'label' ELSE 'skipped' END AS kind, "
+        "CAST(o_orderkey AS VARCHAR) AS id, CASE o_orderstatus WHEN 'P' THEN lower(o_orderpriority) END AS severity "
+        "FROM orders WHERE o_orderstatus IN ('P', 'F')"
+    )
+    s["incremental_run"] = _sql(
+        "SELECT drug, safetyreportid FROM (SELECT * FROM mentions QUALIFY row_number() OVER "
+        f"(PARTITION BY safetyreportid ORDER BY {_DRUG_POSITION}) = 1) {_SAMPLE} 600",
+        "mentions",
+    )
     s["categorize_rules"] = _sql(
         "SELECT safetyreportid AS id, primary_organ_system, severity, products[1] AS likely_causal_drug, "
         "'known_side_effect' || CASE WHEN len(products) > 1 THEN '|drug_interaction_suspected' ELSE '' END "
@@ -530,6 +551,15 @@ def statements():
         "lang || '; ' || source AS category_tags, CAST(n_chars AS VARCHAR) AS receivedate FROM documents"
     )
 
+    s["vector_build"] = (
+        "SELECT CAST(doc_id AS VARCHAR) AS id, CASE WHEN lang <> 'de' THEN source ELSE '' END AS drug, "
+        "lang AS primary_organ_system, CAST(384 AS BIGINT) AS dim FROM documents"
+    )
+    s["embed_documents"] = (
+        "SELECT CAST(doc_id AS VARCHAR) AS id, CAST(384 AS BIGINT) AS dim, "
+        r"CASE WHEN regexp_matches(text, '[\p{L}\p{N}]') THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS norm FROM documents"
+    )
+
     s["context_interval_join"] = _sql(
         f"SELECT drug, {_DAY}, safetyreportid, CAST(received AS VARCHAR) AS received, distance FROM near", "near"
     )

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from casewatch import config
+from casewatch import config, schemas
 from casewatch.functions import ids, numbers, severity, text
 from casewatch.operators import (
     categorize,
@@ -159,6 +159,29 @@ def read_labels_as_strings(spark, sf):
     return back.withColumn("text_digest", F.sha2("patient_summary_text", 256)).drop("patient_summary_text")
 
 
+@query
+def write_counts(spark, sf):
+    """Counts as one CSV folder per drug, read back with the drug from the folder name."""
+    path = fresh_path(spark, "counts")
+    files.write_csv(daily(spark, sf), path, partition_by="drug")
+    return files.read_csv(spark, path, schemas.DAILY_COUNTS)
+
+
+@query
+def write_reports(spark, sf):
+    """Flat reports as Parquet by drug, read back."""
+    path = fresh_path(spark, "reports")
+    files.write_parquet(summaries(spark, sf), path, partition_by="drug")
+    return spark.read.schema(schemas.PATIENT_SUMMARIES).parquet(path)
+
+
+@query
+def optional_scan(spark, sf):
+    """Progress over a result table that does not exist yet."""
+    done = files.optional_parquet(spark, fresh_path(spark, "missing"), schemas.FAITHFULNESS)
+    return counts.progress(done, daily(spark, sf))
+
+
 @query
 def distinct_values(spark, sf):
     return counts.distinct_values(daily(spark, sf), "drug")
@@ -391,8 +414,8 @@ def done_ids(spark, sf):
     return incremental.done_ids(_label_batches(spark, sf))
 
 
-@query
-def parse_model_json(spark, sf):
+def _responses(spark, sf):
+    """Model answers, one per order: good, cut off, or without the expected key."""
     key = F.col("o_orderkey").cast("string")
     good = F.concat(
         F.lit('{"reports": [{"id": "'),
@@ -406,8 +429,12 @@ def parse_model_json(spark, sf):
         .when(F.col("o_orderstatus") == "F", F.concat(F.lit('{"reports": [{"id": "'), key))
         .otherwise(F.lit('{"items": []}'))
     )
-    raw = b.table(spark, sf, "orders").select(key.alias("safetyreportid"), response.alias("response"))
-    return incremental.parse_label_batches(raw).select(
+    return b.table(spark, sf, "orders").select(key.alias("safetyreportid"), response.alias("response"))
+
+
+@query
+def parse_model_json(spark, sf):
+    return incremental.parse_label_batches(_responses(spark, sf)).select(
         "safetyreportid",
         F.coalesce(F.size("reports"), F.lit(-1)).cast("bigint").alias("n_reports"),
         F.element_at("reports", 1)["severity"].alias("severity"),
@@ -415,6 +442,49 @@ def parse_model_json(spark, sf):
     )
 
 
+@query
+def json_results_scan(spark, sf):
+    """Label batches written as JSON and read back strictly."""
+    path = fresh_path(spark, "results")
+    labels = F.transform(
+        "items", lambda i: F.struct(i["id"].alias("id"), F.lit("mild").alias("severity"))
+    )
+    _batches(spark, sf).select("batch_id", labels.alias("reports")).write.json(path)
+    schema = T.StructType([T.StructField("batch_id", T.StringType()), *schemas.LABEL_BATCH.fields])
+    rows = incremental.explode_label_batches(files.read_json_results(spark, path, schema, per_file=False))
+    return rows.select("batch_id", F.col("position").cast("bigint").alias("position"), "id", "severity")
+
+
+@query
+def json_tolerant_scan(spark, sf):
+    """Stored model answers read tolerantly: labels of the readable ones and what was skipped."""
+    path = fresh_path(spark, "answers")
+    _responses(spark, sf).select("response").write.text(path)
+    good, skipped = files.read_json_results_tolerant(
+        spark, path, schemas.LABEL_BATCH, per_file=False, glob="*.txt"
+    )
+    labels = good.select(F.explode("reports").alias("r")).select(
+        F.lit("label").alias("kind"), F.col("r.id").alias("id"), F.col("r.severity").alias("severity")
+    )
+    cut_id = F.regexp_extract("content", r'"id": "(\d+)', 1)
+    return labels.unionByName(
+        skipped.select(F.lit("skipped").alias("kind"), cut_id.alias("id"), F.lit(None).cast("string").alias("severity"))
+    )
+
+
+@query
+def incremental_run(spark, sf):
+    """Two capped runs that append their results: the second takes further reports."""
+    path = fresh_path(spark, "done")
+    rows = staged(ranking.dedup_reports(b.case_mentions(spark, sf), b.TRACKED), "mentions")
+    schema = rows.select("drug", "safetyreportid").schema
+    for _ in range(2):
+        done = files.optional_parquet(spark, path, schema)
+        todo = incremental.pending_sample(rows, done, per_drug=300)
+        files.append_results(todo.select("drug", "safetyreportid"), path)
+    return spark.read.schema(schema).parquet(path)
+
+
 @query
 def categorize_rules(spark, sf):
     labels = categorize.categorize_rules(summaries(spark, sf), b.REACTION_RULES)

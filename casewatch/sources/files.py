@@ -26,33 +26,35 @@ def read_report_pages(spark, path):
     return pages.select(F.explode("results").alias("report")).select("report.*")
 
 
-def read_json_results(spark, path, schema):
-    """Strict scan of a result folder: one unreadable file fails the job."""
+def read_json_results(spark, path, schema, per_file=True):
+    """Strict scan of a result folder: one unreadable document fails the job.
+
+    per_file: one JSON document per file; otherwise one per line.
+    """
     return (
         spark.read.schema(schema)
-        .options(mode="FAILFAST", multiLine=True, pathGlobFilter="*.json")
+        .options(mode="FAILFAST", multiLine=per_file, pathGlobFilter="*.json")
         .json(path)
     )
 
 
-def read_json_results_tolerant(spark, path, schema):
-    """Split scan of a result folder: (readable rows, names of skipped files)."""
-    with_corrupt = T.StructType(list(schema.fields) + [T.StructField("_corrupt", T.StringType())])
+def read_json_results_tolerant(spark, path, schema, per_file=True, glob="*.json"):
+    """Split scan of a result folder: (readable rows, file name and text of skipped documents)."""
+    with_corrupt = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
     rows = (
         spark.read.schema(with_corrupt)
         .options(
-            mode="PERMISSIVE",
-            columnNameOfCorruptRecord="_corrupt",
-            multiLine=True,
-            pathGlobFilter="*.json",
+            mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt", multiLine=per_file, pathGlobFilter=glob
         )
         .json(path)
         .withColumn("_file", F.col("_metadata.file_name"))
     )
-    good = rows.filter(F.col("_corrupt").isNull()).drop("_corrupt", "_file")
     # Spark refuses a query on the corrupt-record column alone, so the data columns take part.
     read = F.to_json(F.struct(*schema.names)).isNotNull()
-    skipped = rows.filter(F.col("_corrupt").isNotNull() & read).select(F.col("_file").alias("file_name"))
+    good = rows.filter(F.col("_corrupt").isNull() & read).select(*schema.names)
+    skipped = rows.filter(F.col("_corrupt").isNotNull() & read).select(
+        F.col("_file").alias("file_name"), F.col("_corrupt").alias("content")
+    )
     return good, skipped
 
 
