@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import types as T
 
 ERROR = T.StructField("error", T.StringType())
+ROWS_PER_RESULT = 4096
 
 
 def _slices(frames, size):
@@ -23,6 +24,19 @@ def _slices(frames, size):
         yield held.reset_index(drop=True)
 
 
+def _regroup(results, rows):
+    """Join small result batches, so that few of them cross back to the JVM."""
+    held, n = [], 0
+    for result in results:
+        held.append(result)
+        n += len(result)
+        if n >= rows:
+            yield pd.concat(held, ignore_index=True)
+            held, n = [], 0
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
 def infer(df, load, schema, batch_size, id_column="safetyreportid"):
     """Run a model over df and isolate failing batches.
 
@@ -34,17 +48,21 @@ def infer(df, load, schema, batch_size, id_column="safetyreportid"):
     out = T.StructType([*schema.fields, ERROR])
     names = [f.name for f in schema.fields]
 
-    def run(frames):
+    def answers(frames):
         model = load()
         for batch in _slices(frames, batch_size):
             try:
-                result = model(batch)[names].assign(error=None)
+                result = model(batch)[names].astype(object)
+                result["error"] = None
             except Exception as failure:  # noqa: BLE001 - any model failure is isolated
-                result = pd.DataFrame({n: [None] * len(batch) for n in names})
+                result = pd.DataFrame({n: [None] * len(batch) for n in names}, dtype=object)
                 result[id_column] = batch[id_column].to_numpy()
                 result["error"] = f"{type(failure).__name__}: {failure}"
             yield result
 
+    def run(frames):
+        yield from _regroup(answers(frames), ROWS_PER_RESULT)
+
     return df.mapInPandas(run, out)
 
 
