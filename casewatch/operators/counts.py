@@ -2,12 +2,21 @@
 
 from pyspark.sql import functions as F
 
+from casewatch.functions.text import parse_yyyymmdd
+
 
 def in_range(column, start, end):
     """Inclusive at both ends."""
     return F.col(column).between(F.lit(start).cast("date"), F.lit(end).cast("date"))
 
 
+def mentions_of(named_reports):
+    """The few columns counting needs, from raw reports with the tracked drug they name."""
+    return named_reports.select(
+        "safetyreportid", "drug", parse_yyyymmdd(F.col("receivedate")).alias("date"), "serious"
+    )
+
+
 def daily_counts(mentions, start=None, end=None):
     """Distinct serious reports per (drug, day). A report counts for each drug it names.
 

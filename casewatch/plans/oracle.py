@@ -324,6 +324,10 @@ def statements():
         "mentions",
     )
     s["daily_counts"] = _sql(f"SELECT drug, {_DAY}, cnt AS count FROM daily", "daily")
+    s["daily_counts_from_reports"] = _sql(
+        f"SELECT drug, {_DAY}, cnt AS count FROM daily WHERE date BETWEEN DATE '1996-01-01' AND DATE '2000-12-31'",
+        "daily",
+    )
     s["counts_summary"] = _sql(
         "SELECT drug, count(*) AS n_days, CAST(sum(cnt) AS BIGINT) AS total_reports FROM daily GROUP BY drug",
         "daily",

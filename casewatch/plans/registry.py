@@ -131,6 +131,12 @@ def daily_counts(spark, sf):
     return daily(spark, sf)
 
 
+@query
+def daily_counts_from_reports(spark, sf):
+    """The same counts from the nested reports, by phrase match on their product names."""
+    return counts.daily_counts(counts.mentions_of(named_reports(spark, sf)), "1996-01-01", "2000-12-31")
+
+
 @query
 def counts_summary(spark, sf):
     return counts.counts_summary(daily(spark, sf))
