@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from casewatch import config
 from casewatch.functions.text import numbered_lines
-from casewatch.operators.ranking import salt, top_n_per_key
+from casewatch.operators.ranking import id_salt, top_n_per_key
 from casewatch.operators.timeseries import direction
 
 
@@ -53,7 +53,7 @@ def context_top_n(
         .distinct()
         .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     )
-    candidates = reports.withColumn("__salt", salt([id_column], salts)).join(
+    candidates = reports.withColumn("__salt", id_salt([id_column], salts)).join(
         wanted, ["drug", "received", "__salt"], "left_semi"
     )
     per_day = top_n_per_key(candidates, ["drug", "received"], [id_column], n, salt_column="__salt")

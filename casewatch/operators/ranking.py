@@ -1,8 +1,8 @@
 """Keep-first, per-key limits and stratified samples.
 
 All of them are a row_number() <= n filter, which Spark limits per task before the
-shuffle. `salts` adds a first round per (key, salt): a key that holds a large share of the
-rows is then cut down by many tasks before one task sees what is left of it.
+shuffle. `salts` adds a first round per (key, salt): what many tasks kept of one key is cut
+down by several tasks before one task sees the rest.
 """
 
 from pyspark.sql import Window
@@ -13,21 +13,23 @@ def _columns(names):
     return [F.col(n) if isinstance(n, str) else n for n in names]
 
 
-def salt(id_columns, salts):
+def id_salt(id_columns, salts):
+    """Salt that depends on the row alone, for use in join keys."""
     return F.pmod(F.xxhash64(*_columns(id_columns)), F.lit(salts)).cast("int")
 
 
-def top_n_per_key(df, keys, order, n, salt_on=None, salts=1, salt_column=None, rank=None):
+def top_n_per_key(df, keys, order, n, salts=1, salt_column=None, rank=None):
     """The first n rows of every key in the given total order; exact for any key size.
 
-    salt_on: id columns that spread the rows of one key over `salts` first-round groups.
-    salt_column: a column of df that already does so, instead of salt_on.
+    salts: number of first-round groups per key. A task puts all its rows into one of them,
+    so it hands on at most n rows per key whatever the number of salts.
+    salt_column: a column of df that already splits the keys, instead of salts.
     """
     rank_name = rank or "__rank"
     order = _columns(order)
     if salts > 1 and salt_column is None:
         salt_column = "__salt"
-        df = df.withColumn(salt_column, salt(salt_on, salts))
+        df = df.withColumn(salt_column, F.spark_partition_id() % salts)
     if salt_column is not None:
         first = Window.partitionBy(*keys, salt_column).orderBy(*order)
         df = (
@@ -58,7 +60,7 @@ def dedup_reports(mentions, drugs, id_column="safetyreportid", drug_column="drug
 
 def cap_per_drug(df, n, date_column="receivedate", id_column="safetyreportid", salts=16):
     """At most n reports per drug, oldest first."""
-    return top_n_per_key(df, ["drug"], [date_column, id_column], n, salt_on=[id_column], salts=salts)
+    return top_n_per_key(df, ["drug"], [date_column, id_column], n, salts=salts)
 
 
 def sample_order(id_column, seed):
@@ -69,11 +71,14 @@ def sample_order(id_column, seed):
 def stratified_sample(df, n, seed=42, key="drug", id_column="safetyreportid", salts=16):
     """n rows of every stratum, or all of it when it is smaller."""
     order = [sample_order(id_column, seed), id_column]
-    return top_n_per_key(df, [key], order, n, salt_on=[id_column], salts=salts)
+    return top_n_per_key(df, [key], order, n, salts=salts)
 
 
 def stratified_even(df, total, seed=42, key="drug", id_column="safetyreportid", salts=16):
-    """A sample of about `total` rows, split evenly over the strata, at least one each."""
+    """A sample of about `total` rows, split evenly over the strata, at least one each.
+
+    `df` is read twice (counting the strata first): pass a stored table.
+    """
     strata = df.select(key).distinct().count()
     share = max(1, total // strata) if strata else total
     return stratified_sample(df, share, seed, key, id_column, salts)

@@ -515,6 +515,15 @@ def statements():
         "FROM filled",
         "filled",
     )
+    s["anomaly_table_totals"] = _sql(
+        "SELECT drug, count(*) AS n_days, CAST(sum(cnt) AS BIGINT) AS total_reports, "
+        + ", ".join(
+            f"CAST(0 AS BIGINT) AS {c}"
+            for c in ("wrong_residuals", "wrong_ensembles", "early_flags", "wrong_forest_flags")
+        )
+        + " FROM filled GROUP BY drug",
+        "filled",
+    )
     s["anomaly_direction"] = _sql(
         f"SELECT drug, {_DAY}, CASE WHEN zscore >= 0 THEN 'SPIKE (higher than expected)' "
         "ELSE 'DROP (lower than expected)' END AS direction FROM pub",

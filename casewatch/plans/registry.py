@@ -616,6 +616,22 @@ def anomaly_table(spark, sf):
     return detection.anomaly_table(daily(spark, sf))
 
 
+@query
+def anomaly_table_totals(spark, sf):
+    """Per drug: days and reports of the anomaly table, and how often its identities fail."""
+    table = detection.anomaly_table(daily(spark, sf)).withColumn("position", ts.position())
+    z, f, both = (F.col(f"is_anomaly_{n}") for n in ("zscore", "isoforest", "high_confidence"))
+    gap = F.abs(F.col("residual") - (F.col("count") - F.col("expected_count")))
+    return table.groupBy("drug").agg(
+        F.count("*").alias("n_days"),
+        F.sum("count").alias("total_reports"),
+        F.count_if(gap > 0.0051).cast("bigint").alias("wrong_residuals"),
+        F.count_if(both != (z & f)).cast("bigint").alias("wrong_ensembles"),
+        F.count_if((F.col("position") < config.WARMUP_DAYS) & (z | f)).cast("bigint").alias("early_flags"),
+        F.count_if(f & (F.col("isolation_forest_score") < 0)).cast("bigint").alias("wrong_forest_flags"),
+    )
+
+
 @query
 def anomaly_direction(spark, sf):
     return zscores(spark, sf).select("drug", "date", ts.direction(F.col("zscore")).alias("direction"))

@@ -13,7 +13,7 @@ SMALL = "/root/testdata/sf0.001"
 def spark():
     from casewatch.session import local_session
 
-    session = local_session(8, shuffle_partitions=8, memory="8g", app="tests")
+    session = local_session(8, shuffle_partitions=4, memory="8g", app="tests")
     yield session
     session.stop()
 

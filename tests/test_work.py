@@ -33,7 +33,7 @@ DAY = dt.date(2023, 5, 10)
 def test_top_n_is_exact_for_a_hot_key(spark):
     rows = [("hot" if i % 3 else f"k{i % 30}", i * 7919 % 1000, str(i)) for i in range(3000)]
     df = spark.createDataFrame(rows, "drug string, v int, id string").repartition(16)
-    got = ranking.top_n_per_key(df, ["drug"], ["v", "id"], 25, salt_on=["id"], salts=16).collect()
+    got = ranking.top_n_per_key(df, ["drug"], ["v", "id"], 25, salts=16).collect()
     expected = []
     for key in {r[0] for r in rows}:
         expected += sorted((r for r in rows if r[0] == key), key=lambda r: (r[1], r[2]))[:25]
