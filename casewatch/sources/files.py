@@ -103,8 +103,15 @@ def _flat_for_csv(df):
 
 
 def write_csv(df, path, partition_by=None, mode="errorifexists"):
-    """CSV with arrays as JSON text. Empty text and null are the same in the file."""
-    writer = _flat_for_csv(df).write.mode(mode).options(**_CSV)
+    """CSV with arrays as JSON text. Empty text and null are the same in the file.
+
+    With partition_by, rows of one value are brought together first, so a folder gets few
+    files; adaptive execution still splits a value with very many rows.
+    """
+    flat = _flat_for_csv(df)
+    if partition_by:
+        flat = flat.hint("rebalance", partition_by)
+    writer = flat.write.mode(mode).options(**_CSV)
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.csv(path)
