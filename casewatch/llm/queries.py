@@ -2,16 +2,23 @@
 
 from pyspark.sql import functions as F
 
-from casewatch.llm import simhash_dedup
+from casewatch.llm import line_frequency, simhash_dedup, sql
 from casewatch.llm.common import table
 
 
+def op2_line_frequency(spark, folder):
+    return line_frequency.judged(table(spark, folder, "documents"))
+
+
 def op9_simhash(spark, folder):
     found = simhash_dedup.near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", simhash_dedup.hexadecimal().alias("fingerprint"), "component_id")
 
 
 QUERIES = {
+    "op2_line_frequency": op2_line_frequency,
     "op9_simhash": op9_simhash,
 }
-SQL = {}
+SQL = {
+    "op2_line_frequency": sql.LINE_FREQUENCY,
+}
