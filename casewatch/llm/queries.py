@@ -2,14 +2,25 @@
 
 from pyspark.sql import functions as F
 
-from casewatch.llm import line_frequency, simhash_dedup, sql
-from casewatch.llm.common import table
+from casewatch.llm import line_frequency, quality_classifier, simhash_dedup, sql
+from casewatch.llm.common import remainder, table
 
 
 def op2_line_frequency(spark, folder):
     return line_frequency.judged(table(spark, folder, "documents"))
 
 
+def held_out(divisor, of):
+    return F.coalesce(remainder("doc_id", divisor) == of, F.lit(False)).alias("held_out")
+
+
+def op3_quality_classifier(spark, folder):
+    found = quality_classifier.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return found.select(
+        "doc_id", held_out(quality_classifier.FOLDS, quality_classifier.HELD_OUT), "score", "predicted"
+    )
+
+
 def op9_simhash(spark, folder):
     found = simhash_dedup.near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", simhash_dedup.hexadecimal().alias("fingerprint"), "component_id")
@@ -17,6 +28,7 @@ def op9_simhash(spark, folder):
 
 QUERIES = {
     "op2_line_frequency": op2_line_frequency,
+    "op3_quality_classifier": op3_quality_classifier,
     "op9_simhash": op9_simhash,
 }
 SQL = {
