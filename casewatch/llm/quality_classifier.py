@@ -123,8 +123,18 @@ def classify(docs, labels, keep=("doc_id",), label="quality", text="text", thres
     return scored.select(*keep, "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
-def keep_good(docs, labels, text="text", **options):
-    """The rows of docs that are predicted good, unchanged. Rows of equal id and text share their verdict."""
-    verdicts = classify(docs.withColumn("_digest", F.xxhash64(text)), labels, ("doc_id", "_digest"), text=text, **options)
-    good = verdicts.filter("predicted = 1").select(F.col("doc_id").alias("_id"), F.col("_digest").alias("_of")).distinct()
-    return docs.join(good, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_of")), "left_semi")
+def keep_good(docs, labels, label="quality", text="text", threshold=THRESHOLD, **sample):
+    """The rows of docs that are predicted good, unchanged and in place: texts are never shuffled.
+
+    The statistics of labelled rows come from a first pass; the second one scores and filters.
+    """
+    forest = fit(with_statistics(docs, ("doc_id",), text), fit_rows(labels, label, **sample))
+    at = docs.columns.index(text)
+
+    def run(batches):
+        for batch in batches:
+            found = [statistics((t.as_py() or "").encode()) for t in batch.column(at)]
+            x = np.array(found, np.float64).reshape(batch.num_rows, len(STATISTICS))
+            yield batch.filter(pa.array(boosted_trees.probability(forest, x) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)

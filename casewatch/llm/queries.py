@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from casewatch.llm import line_frequency, quality_classifier, simhash_dedup, sql
+from casewatch.llm import line_frequency, quality_classifier, simhash_dedup, source_mixing, sql
 from casewatch.llm.common import remainder, table
 
 
@@ -21,6 +21,11 @@ def op3_quality_classifier(spark, folder):
     )
 
 
+def op5_source_mixing(spark, folder):
+    found = source_mixing.mix(table(spark, folder, "documents"))
+    return found.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op9_simhash(spark, folder):
     found = simhash_dedup.near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", simhash_dedup.hexadecimal().alias("fingerprint"), "component_id")
@@ -29,8 +34,10 @@ def op9_simhash(spark, folder):
 QUERIES = {
     "op2_line_frequency": op2_line_frequency,
     "op3_quality_classifier": op3_quality_classifier,
+    "op5_source_mixing": op5_source_mixing,
     "op9_simhash": op9_simhash,
 }
 SQL = {
     "op2_line_frequency": sql.LINE_FREQUENCY,
+    "op5_source_mixing": sql.SOURCE_MIXING,
 }

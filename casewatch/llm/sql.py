@@ -44,3 +44,85 @@ SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
          AND n_words - removed_words >= 0.3::DOUBLE * n_words AS kept
 FROM base
 """
+
+# Quotas by ranking every quotient, targets by resharing one source after the other.
+SOURCE_MIXING = rf"""
+WITH RECURSIVE sizes AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS size FROM documents
+), one AS (
+  SELECT doc_id, source, size, count(*) AS copies FROM sizes GROUP BY ALL
+), per_source AS (
+  SELECT source, sum(size * copies)::BIGINT AS source_size, count(*) AS documents,
+         [5, 2, 1][((row_number() OVER (ORDER BY source NULLS LAST)) - 1) % 3 + 1] AS weight
+  FROM one GROUP BY source
+), water AS (
+  SELECT [NULL::VARCHAR][1:0] AS full_sources, false AS null_full, 0::BIGINT AS given, 0 AS step
+  UNION ALL
+  SELECT list_concat(w.full_sources, n.names), w.null_full OR n.has_null, w.given + n.given, w.step + 1
+  FROM water w, LATERAL (
+    SELECT list(source) FILTER (source IS NOT NULL) AS names, coalesce(bool_or(source IS NULL), false) AS has_null,
+           sum(2 * source_size)::BIGINT AS given
+    FROM (
+      SELECT source, source_size, weight * ((SELECT sum(source_size) FROM per_source) * 150 / 100 - w.given)
+               / (sum(weight) OVER ()) > 2 * source_size AS over
+      FROM per_source
+      WHERE NOT coalesce(list_contains(w.full_sources, source), w.null_full)
+    ) WHERE over
+  ) n WHERE n.given > 0
+), level AS (
+  SELECT * FROM water ORDER BY step DESC LIMIT 1
+), targets AS (
+  SELECT p.*, CASE WHEN coalesce(list_contains(l.full_sources, source), l.null_full) THEN (2 * source_size)::DOUBLE
+    ELSE weight * (((SELECT sum(source_size) FROM per_source) * 150 / 100 - l.given)::DOUBLE
+         / (SELECT sum(weight) FROM per_source
+            WHERE NOT coalesce(list_contains(l.full_sources, source), l.null_full))) END AS target
+  FROM per_source p, level l
+), seats AS (
+  SELECT greatest(ceil((SELECT sum(source_size) FROM per_source) / 1048576.0), 1)::BIGINT AS block,
+         round((SELECT sum(target) FROM targets) / greatest(ceil((SELECT sum(source_size) FROM per_source) / 1048576.0), 1))::BIGINT AS seats
+), source_quota AS (
+  SELECT source, count(*) FILTER (place <= seats) AS quota FROM (
+    SELECT source, seats, row_number() OVER (
+      ORDER BY target / (SELECT sum(target) FROM targets) / (2 * k - 1) DESC, source NULLS LAST, k) AS place
+    FROM (SELECT source, target, seats, unnest(generate_series(1, (target / block)::BIGINT + 40)) AS k FROM targets, seats)
+  ) GROUP BY source
+), placed AS (
+  SELECT o.*, t.source_size, t.target, q.quota AS source_quota, s.block,
+         md5(concat_ws('/', 'mix-1', coalesce(o.doc_id::VARCHAR, 'null'), o.size::VARCHAR)) AS digest,
+         ('0x' || substring(md5(concat_ws('/', 'mix-1', coalesce(o.doc_id::VARCHAR, 'null'), o.size::VARCHAR)), 1, 8))::BIGINT
+           % ceil(t.documents / 20000.0)::BIGINT AS shard
+  FROM one o JOIN targets t ON o.source IS NOT DISTINCT FROM t.source
+  JOIN source_quota q ON o.source IS NOT DISTINCT FROM q.source, seats s
+), ordered AS (
+  SELECT *, sum(size * copies) OVER (PARTITION BY source, shard ORDER BY digest, doc_id NULLS LAST, size) AS stop FROM placed
+), shards AS (
+  SELECT source, shard, source_quota, block, max(stop) AS tokens FROM ordered GROUP BY ALL
+), shard_quota AS (
+  SELECT source, shard, tokens, count(*) FILTER (place <= source_quota) AS quota FROM (
+    SELECT source, shard, tokens, source_quota, row_number() OVER (PARTITION BY source
+      ORDER BY tokens / (2 * k - 1)::DOUBLE DESC, shard, k) AS place
+    FROM (SELECT source, shard, tokens, source_quota, unnest(generate_series(1, 2 * (tokens / block)::BIGINT + 40)) AS k
+          FROM shards WHERE tokens > 0)
+  ) GROUP BY ALL
+), pieces AS (
+  SELECT o.*, q.quota, q.tokens, unnest(generate_series((stop - size * copies) // o.block, (stop - 1) // o.block)) AS at
+  FROM ordered o JOIN shard_quota q ON o.source IS NOT DISTINCT FROM q.source AND o.shard = q.shard WHERE size > 0
+), times AS (
+  SELECT source, shard, at, quota // ceil(tokens / block)::BIGINT + CASE WHEN row_number() OVER (
+           PARTITION BY source, shard ORDER BY md5(concat_ws('/', 'mix-1', coalesce(source, 'null'), shard, at)), at)
+         <= quota % ceil(tokens / block)::BIGINT THEN 1 ELSE 0 END AS times
+  FROM (SELECT DISTINCT source, shard, at, quota, tokens, block FROM pieces)
+), taken AS (
+  SELECT p.doc_id, p.source, p.size, sum((least(p.stop, (p.at + 1) * p.block)
+           - greatest(p.stop - p.size * p.copies, p.at * p.block)) * least(t.times, 2)) AS together
+  FROM pieces p JOIN times t ON p.source IS NOT DISTINCT FROM t.source AND p.shard = t.shard AND p.at = t.at GROUP BY ALL
+)
+SELECT doc_id, size, source_size, target,
+       (together // copies + CASE WHEN r <= together % copies THEN 1 ELSE 0 END)::BIGINT AS taken
+FROM (
+  SELECT o.doc_id, o.size, o.source_size, o.target, o.copies, coalesce(k.together, 0)::BIGINT AS together,
+         unnest(generate_series(1, o.copies)) AS r
+  FROM ordered o LEFT JOIN taken k
+    ON o.doc_id IS NOT DISTINCT FROM k.doc_id AND o.source IS NOT DISTINCT FROM k.source AND o.size = k.size
+)
+"""
