@@ -106,9 +106,10 @@ def plan(
     )
     aims = targets(per_source.select("source", "source_size"), weights, share_percent, most).withColumnRenamed("source", "_source")
     aims = aims.join(per_source.select("source", "documents"), F.col("_source").eqNullSafe(F.col("source"))).drop("_source")
-    total = F.sum("source_size").over(Window.partitionBy())
-    aims = aims.withColumn("block", F.greatest(F.ceil(total / blocks), F.lit(1)).cast("long"))
-    aims = aims.withColumn("seats", F.round(F.sum("target").over(Window.partitionBy()) / F.col("block")).cast("long"))
+    aims = aims.withColumn("total", F.sum("source_size").over(Window.partitionBy()))
+    aims = aims.withColumn("block", F.greatest(F.ceil(F.col("total") / blocks), F.lit(1)).cast("long"))
+    # in whole numbers: sums of targets depend on their order
+    aims = aims.withColumn("seats", F.expr(f"total * {min(share_percent, 100 * most)} div (100 * block)")).drop("total")
     aims = apportion(aims, "seats", "target", ("source",)).withColumnRenamed("quota", "source_quota")
 
     digest = F.md5(F.concat_ws("/", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.col("size").cast("string")))

@@ -79,7 +79,8 @@ WITH RECURSIVE sizes AS (
   FROM per_source p, level l
 ), seats AS (
   SELECT greatest(ceil((SELECT sum(source_size) FROM per_source) / 1048576.0), 1)::BIGINT AS block,
-         round((SELECT sum(target) FROM targets) / greatest(ceil((SELECT sum(source_size) FROM per_source) / 1048576.0), 1))::BIGINT AS seats
+         ((SELECT sum(source_size) FROM per_source) * 150)::BIGINT
+           // (100 * greatest(ceil((SELECT sum(source_size) FROM per_source) / 1048576.0), 1)::BIGINT) AS seats
 ), source_quota AS (
   SELECT source, count(*) FILTER (place <= seats) AS quota FROM (
     SELECT source, seats, row_number() OVER (
@@ -94,7 +95,7 @@ WITH RECURSIVE sizes AS (
   FROM one o JOIN targets t ON o.source IS NOT DISTINCT FROM t.source
   JOIN source_quota q ON o.source IS NOT DISTINCT FROM q.source, seats s
 ), ordered AS (
-  SELECT *, sum(size * copies) OVER (PARTITION BY source, shard ORDER BY digest, doc_id NULLS LAST, size) AS stop FROM placed
+  SELECT *, (sum(size * copies) OVER (PARTITION BY source, shard ORDER BY digest, doc_id NULLS LAST, size))::BIGINT AS stop FROM placed
 ), shards AS (
   SELECT source, shard, source_quota, block, max(stop) AS tokens FROM ordered GROUP BY ALL
 ), shard_quota AS (
@@ -105,17 +106,17 @@ WITH RECURSIVE sizes AS (
           FROM shards WHERE tokens > 0)
   ) GROUP BY ALL
 ), pieces AS (
-  SELECT o.*, q.quota, q.tokens, unnest(generate_series((stop - size * copies) // o.block, (stop - 1) // o.block)) AS at
+  SELECT o.*, q.quota, q.tokens, unnest(generate_series((stop - size * copies) // o.block, (stop - 1) // o.block)) AS piece
   FROM ordered o JOIN shard_quota q ON o.source IS NOT DISTINCT FROM q.source AND o.shard = q.shard WHERE size > 0
 ), times AS (
-  SELECT source, shard, at, quota // ceil(tokens / block)::BIGINT + CASE WHEN row_number() OVER (
-           PARTITION BY source, shard ORDER BY md5(concat_ws('/', 'mix-1', coalesce(source, 'null'), shard, at)), at)
+  SELECT source, shard, piece, quota // ceil(tokens / block)::BIGINT + CASE WHEN row_number() OVER (
+           PARTITION BY source, shard ORDER BY md5(concat_ws('/', 'mix-1', coalesce(source, 'null'), shard, piece)), piece)
          <= quota % ceil(tokens / block)::BIGINT THEN 1 ELSE 0 END AS times
-  FROM (SELECT DISTINCT source, shard, at, quota, tokens, block FROM pieces)
+  FROM (SELECT DISTINCT source, shard, piece, quota, tokens, block FROM pieces)
 ), taken AS (
-  SELECT p.doc_id, p.source, p.size, sum((least(p.stop, (p.at + 1) * p.block)
-           - greatest(p.stop - p.size * p.copies, p.at * p.block)) * least(t.times, 2)) AS together
-  FROM pieces p JOIN times t ON p.source IS NOT DISTINCT FROM t.source AND p.shard = t.shard AND p.at = t.at GROUP BY ALL
+  SELECT p.doc_id, p.source, p.size, sum((least(p.stop, (p.piece + 1) * p.block)
+           - greatest(p.stop - p.size * p.copies, p.piece * p.block)) * least(t.times, 2)) AS together
+  FROM pieces p JOIN times t ON p.source IS NOT DISTINCT FROM t.source AND p.shard = t.shard AND p.piece = t.piece GROUP BY ALL
 )
 SELECT doc_id, size, source_size, target,
        (together // copies + CASE WHEN r <= together % copies THEN 1 ELSE 0 END)::BIGINT AS taken
