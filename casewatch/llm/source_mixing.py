@@ -83,7 +83,7 @@ def apportion(shares, seats, share, keys, group=()):
     left = bracket.withColumn("_open", F.col(seats) - F.sum("_sure").over(every))
     candidates = left.withColumn("_seat", F.explode(F.sequence(F.col("_sure") + 1, F.col("_most"))))
     best = Window.partitionBy(*group).orderBy(
-        F.desc(F.col("_per") / (2 * F.col("_seat") - 1)), *[part for k in keys for part in (F.col(k).isNull(), F.col(k))], "_seat"
+        F.desc(F.col(share) / (2 * F.col("_seat") - 1)), *[part for k in keys for part in (F.col(k).isNull(), F.col(k))], "_seat"
     )
     ranked = candidates.withColumn("_place", F.row_number().over(best))
     won = F.sum(((F.col("_place") <= F.col("_open")) & (F.col(share) > 0)).cast("long"))

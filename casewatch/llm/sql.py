@@ -84,7 +84,7 @@ WITH RECURSIVE sizes AS (
 ), source_quota AS (
   SELECT source, count(*) FILTER (place <= seats) AS quota FROM (
     SELECT source, seats, row_number() OVER (
-      ORDER BY target / (SELECT sum(target) FROM targets) / (2 * k - 1) DESC, source NULLS LAST, k) AS place
+      ORDER BY target / (2 * k - 1)::DOUBLE DESC, source NULLS LAST, k) AS place
     FROM (SELECT source, target, seats, unnest(generate_series(1, (target / block)::BIGINT + 40)) AS k FROM targets, seats)
   ) GROUP BY source
 ), placed AS (
