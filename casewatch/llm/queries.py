@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from casewatch.llm import line_frequency, quality_classifier, simhash_dedup, source_mixing, sql
+from casewatch.llm import line_frequency, quality_classifier, simhash_dedup, source_mixing, sql, substring_dedup, warc
 from casewatch.llm.common import remainder, table
 
 
@@ -26,18 +26,30 @@ def op5_source_mixing(spark, folder):
     return found.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_warc(spark, folder):
+    found = warc.round_trip(table(spark, folder, "pages")).filter("kind = 'record'")
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_simhash(spark, folder):
     found = simhash_dedup.near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", simhash_dedup.hexadecimal().alias("fingerprint"), "component_id")
 
 
+def op10_substring_dedup(spark, folder):
+    return substring_dedup.repeats(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op2_line_frequency": op2_line_frequency,
     "op3_quality_classifier": op3_quality_classifier,
     "op5_source_mixing": op5_source_mixing,
+    "op8_warc": op8_warc,
     "op9_simhash": op9_simhash,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 SQL = {
     "op2_line_frequency": sql.LINE_FREQUENCY,
     "op5_source_mixing": sql.SOURCE_MIXING,
+    "op8_warc": sql.WARC,
 }

@@ -127,3 +127,14 @@ FROM (
     ON o.doc_id IS NOT DISTINCT FROM k.doc_id AND o.source IS NOT DISTINCT FROM k.source AND o.size = k.size
 )
 """
+
+WARC = """
+WITH payload AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), firsts AS (
+  SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first FROM payload
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN first IS DISTINCT FROM page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first IS DISTINCT FROM page_id THEN first END AS refers_to
+FROM firsts
+"""
