@@ -2,7 +2,16 @@
 
 from pyspark.sql import functions as F
 
-from casewatch.llm import line_frequency, quality_classifier, simhash_dedup, source_mixing, sql, substring_dedup, warc
+from casewatch.llm import (
+    line_frequency,
+    personal_data,
+    quality_classifier,
+    simhash_dedup,
+    source_mixing,
+    sql,
+    substring_dedup,
+    warc,
+)
 from casewatch.llm.common import remainder, table
 
 
@@ -26,6 +35,10 @@ def op5_source_mixing(spark, folder):
     return found.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_personal_data(spark, folder):
+    return personal_data.report(table(spark, folder, "documents"))
+
+
 def op8_warc(spark, folder):
     found = warc.round_trip(table(spark, folder, "pages")).filter("kind = 'record'")
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -44,6 +57,7 @@ QUERIES = {
     "op2_line_frequency": op2_line_frequency,
     "op3_quality_classifier": op3_quality_classifier,
     "op5_source_mixing": op5_source_mixing,
+    "op6_personal_data": op6_personal_data,
     "op8_warc": op8_warc,
     "op9_simhash": op9_simhash,
     "op10_substring_dedup": op10_substring_dedup,
