@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from casewatch.llm import (
+    decontamination,
     line_frequency,
     personal_data,
     quality_classifier,
@@ -30,6 +31,11 @@ def op3_quality_classifier(spark, folder):
     )
 
 
+def op4_decontamination(spark, folder):
+    found = decontamination.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.drop("key").distinct()
+
+
 def op5_source_mixing(spark, folder):
     found = source_mixing.mix(table(spark, folder, "documents"))
     return found.select("doc_id", "size", "source_size", "target", "taken")
@@ -56,6 +62,7 @@ def op10_substring_dedup(spark, folder):
 QUERIES = {
     "op2_line_frequency": op2_line_frequency,
     "op3_quality_classifier": op3_quality_classifier,
+    "op4_decontamination": op4_decontamination,
     "op5_source_mixing": op5_source_mixing,
     "op6_personal_data": op6_personal_data,
     "op8_warc": op8_warc,
