@@ -11,6 +11,7 @@ from casewatch.llm import (
     source_mixing,
     sql,
     substring_dedup,
+    toxicity,
     warc,
 )
 from casewatch.llm.common import remainder, table
@@ -45,6 +46,12 @@ def op6_personal_data(spark, folder):
     return personal_data.report(table(spark, folder, "documents"))
 
 
+def op7_toxicity(spark, folder):
+    docs = table(spark, folder, "documents")
+    found = toxicity.classify(docs, toxicity.learn(docs, table(spark, folder, "labels")))
+    return found.select("doc_id", held_out(toxicity.FOLDS, toxicity.HELD_OUT), "score", "predicted")
+
+
 def op8_warc(spark, folder):
     found = warc.round_trip(table(spark, folder, "pages")).filter("kind = 'record'")
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -65,6 +72,7 @@ QUERIES = {
     "op4_decontamination": op4_decontamination,
     "op5_source_mixing": op5_source_mixing,
     "op6_personal_data": op6_personal_data,
+    "op7_toxicity": op7_toxicity,
     "op8_warc": op8_warc,
     "op9_simhash": op9_simhash,
     "op10_substring_dedup": op10_substring_dedup,
