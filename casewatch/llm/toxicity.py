@@ -27,9 +27,11 @@ WINDOW, STEP = 8, 4  # words
 ORDINARY_BYTES = 16_384  # of the trained ordinary dictionary
 PECULIAR_BYTES = 8_192  # of toxic material, most
 TRAINING_WINDOWS = 20_000  # windows of ordinary text that the ordinary dictionary is trained on, most
-LEAST_DOCUMENTS = 3  # toxic documents that a peculiar word is in, at least
+LEAST_CONTEXTS = 3  # of a peculiar word in toxic text, at least
 LEAST_LOG_ODDS = 1.5  # lower bound of its log odds ratio
-LEVEL = 3
+CANDIDATES = 20_000  # words whose contexts are counted, most
+WORD_BYTES = 64  # of a peculiar word, most
+LEAST_MATCH = 6  # bytes: shorter matches are chance
 GAINS = 13
 
 
@@ -41,12 +43,14 @@ def windows(text, size=WINDOW, step=STEP):
     return [b" " + b" ".join(words[i : i + size]) + b" " for i in range(0, max(1, len(words) - size + step), step)]
 
 
-def _compressor(content, level=LEVEL):
+def _compressor(content):
+    settings = zstandard.ZstdCompressionParameters(
+        window_log=17, hash_log=15, chain_log=15, search_log=3, min_match=LEAST_MATCH, target_length=0,
+        strategy=zstandard.STRATEGY_GREEDY, write_content_size=False, write_checksum=False, write_dict_id=False,
+    )
     dictionary = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-    dictionary.precompute_compress(level=level)
-    return zstandard.ZstdCompressor(
-        level=level, dict_data=dictionary, write_content_size=False, write_checksum=False, write_dict_id=False
-    )
+    dictionary.precompute_compress(compression_params=settings)
+    return zstandard.ZstdCompressor(compression_params=settings, dict_data=dictionary)
 
 
 class Distance:
@@ -74,28 +78,37 @@ class Distance:
         return out
 
 
-def peculiar_words(sample, least_documents=LEAST_DOCUMENTS, least_log_odds=LEAST_LOG_ODDS, most_bytes=PECULIAR_BYTES):
-    """Words of toxic documents whose log odds against ordinary ones are surely high, the surest last.
+def peculiar_words(sample, least=LEAST_CONTEXTS, least_log_odds=LEAST_LOG_ODDS, most_bytes=PECULIAR_BYTES):
+    """Words of toxic text whose log odds against ordinary text are surely high, the surest last.
 
-    sample: _bytes, label. Counts are formed in Spark; the words that come back fill at most most_bytes.
+    sample: _bytes, label. What counts is in how many different contexts (the words on both sides) a word
+    stands: near copies of one toxic document repeat their words, but always in the same places. Counts
+    are formed in Spark; what comes back fills at most most_bytes.
     """
     texts = F.regexp_replace(F.lower(F.col("_bytes").cast("string")), r"[\x20\x09-\x0D]+", " ")
-    words = F.array_distinct(F.filter(F.split(texts, " "), lambda w: w != ""))
-    sizes = sample.groupBy().agg(F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("plain")).first()
-    toxic, plain = sizes["toxic"] or 0, sizes["plain"] or 0
-    counts = (
-        sample.select("label", F.explode(words).alias("word"))
-        .groupBy("word")
-        .agg(F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b"))
-        .filter(F.col("a") >= least_documents)
-    )
-    a, b = F.col("a") + 0.5, F.col("b") + 0.5
-    log_odds = F.log(a / (toxic + 1 - a)) - F.log(b / (plain + 1 - b))
-    bound = log_odds - 2 * F.sqrt(1 / a + 1 / b)
-    found = counts.select("word", bound.alias("bound")).filter(F.col("bound") > least_log_odds)
-    rows = found.orderBy(F.desc("bound"), "word").limit(most_bytes // 2).collect()
+    step = sample.select("label", F.filter(F.split(texts, " "), lambda w: w != "").alias("words"))
+    sizes = step.groupBy("label").agg(F.sum(F.size("words")).alias("n"))
+    n = {r["label"]: r["n"] for r in sizes.collect()}  # two rows
+    toxic, plain = max(1, n.get(1, 0)), max(1, n.get(0, 0))
+
+    def surely(a, b):
+        a, b = F.col(a) + 0.5, F.col(b) + 0.5
+        return F.log(a / toxic) - F.log(b / plain) - 2 * F.sqrt(1 / a + 1 / b)
+
+    def counted(rows):
+        return rows.groupBy("word").agg(F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b")).filter(F.col("a") >= least)
+
+    documents = counted(step.select("label", F.explode(F.array_distinct("words")).alias("word")))
+    likely = documents.filter((F.octet_length("word") <= WORD_BYTES) & (surely("a", "b") > 0))
+    likely = likely.orderBy(F.desc(surely("a", "b")), "word").limit(CANDIDATES).select("word")
+    places = step.select("label", "words", F.posexplode("words").alias("i", "word"))
+    places = places.join(F.broadcast(likely), "word")  # CANDIDATES words of WORD_BYTES at most
+    contexts = places.select(
+        "label", "word", F.xxhash64(F.get("words", F.col("i") - 1), F.get("words", F.col("i") + 1)).alias("context")
+    ).distinct()
+    found = counted(contexts).select("word", surely("a", "b").alias("bound")).filter(F.col("bound") > least_log_odds)
     chosen, used = [], 0
-    for row in rows:
+    for row in found.orderBy(F.desc("bound"), "word").limit(most_bytes // 2).collect():
         word = row["word"].encode()
         if used + len(word) + 1 <= most_bytes:
             chosen.append(word)
