@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from casewatch.llm import (
+    context_tree,
     decontamination,
     line_frequency,
     personal_data,
@@ -17,6 +18,10 @@ from casewatch.llm import (
 from casewatch.llm.common import remainder, table
 
 
+def op1_context_tree(spark, folder):
+    return context_tree.score(table(spark, folder, "documents"))
+
+
 def op2_line_frequency(spark, folder):
     return line_frequency.judged(table(spark, folder, "documents"))
 
@@ -67,6 +72,7 @@ def op10_substring_dedup(spark, folder):
 
 
 QUERIES = {
+    "op1_context_tree": op1_context_tree,
     "op2_line_frequency": op2_line_frequency,
     "op3_quality_classifier": op3_quality_classifier,
     "op4_decontamination": op4_decontamination,
