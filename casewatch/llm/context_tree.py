@@ -30,8 +30,8 @@ from casewatch.sources.workspace import staged
 DEPTH = 5
 SPLIT = 3
 FOLDS, HELD_OUT = 5, 1
-BUNDLE_BYTES = 48_000_000
-CHUNK_BYTES = 2_000_000
+BUNDLE_BYTES = 32_000_000
+CHUNK_BYTES = 1_000_000
 CHUNK_ROWS = 500_000
 END = 255  # no byte of UTF-8: the end of a text and what stands before its start
 STRINGS, WORDS = 0, 1
@@ -325,7 +325,7 @@ class Lookup:
     EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
     def __init__(self, keys, values):
-        self.bits = max(4, int(2.5 * len(keys) + 1).bit_length())
+        self.bits = max(4, int(1.5 * len(keys) + 1).bit_length())
         self.slots, self.values = np.full(1 << self.bits, self.EMPTY), np.zeros(1 << self.bits)
         rows, at = np.arange(len(keys)), self._slot(keys)
         while len(rows):
