@@ -11,6 +11,7 @@ In-row work (words, repeated windows, repeated lines) needs no shuffle. Only lin
 from pyspark.sql import functions as F
 
 from casewatch.llm.common import SPACE_CLASS, row_key, text_or_empty, words
+from casewatch.sources.workspace import staged
 
 MIN_WORDS = 10
 WINDOW = 5
@@ -118,21 +119,29 @@ def frequent_lines(lines, documents, min_documents=MIN_DOCUMENTS, max_share=MAX_
     )
 
 
-def removed_words(docs, text="text", host="source", min_documents=MIN_DOCUMENTS, max_share=MAX_SHARE):
-    """key, doc_id, removed: words of a document in lines above its host's limit; only documents that have some."""
+def _hits(docs, text, host, min_documents, max_share, checkpoint):
+    """The rows of line_rows() in lines above their host's limit.
+
+    The frequent lines are few and kept as a table first, so that Spark knows their size and need not
+    shuffle all lines to meet them; where they are many, salts spread a line that a third of all rows has.
+    """
     lines = line_rows(docs, text, host)
     documents = docs.select(F.col(host).alias("host"), F.xxhash64(text_or_empty(text)).alias("content"))
-    frequent = frequent_lines(lines, documents, min_documents, max_share)
+    frequent = checkpoint(frequent_lines(lines, documents, min_documents, max_share), "frequent-lines")
     salted = frequent.select(
         F.col("host").alias("_host"), F.col("line").alias("_line"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
     )
-    per_line = lines.groupBy("key", "doc_id", "host", "line").agg(F.sum("words").alias("words"))
-    hit = per_line.join(
+    return lines.join(
         salted,
         (F.col("line") == F.col("_line"))
         & F.col("host").eqNullSafe(F.col("_host"))
         & (F.pmod(F.col("key"), F.lit(SALTS)) == F.col("_salt")),
     )
+
+
+def removed_words(docs, text="text", host="source", min_documents=MIN_DOCUMENTS, max_share=MAX_SHARE, checkpoint=staged):
+    """key, doc_id, removed: words of a document in lines above its host's limit; only documents that have some."""
+    hit = _hits(docs, text, host, min_documents, max_share, checkpoint)
     return hit.groupBy("key", "doc_id").agg(F.sum("words").alias("removed"))
 
 
@@ -163,20 +172,11 @@ def judged(docs, text="text", host="source", min_documents=MIN_DOCUMENTS, max_sh
     )
 
 
-def without_frequent_lines(docs, text="text", host="source", min_documents=MIN_DOCUMENTS, max_share=MAX_SHARE):
+def without_frequent_lines(
+    docs, text="text", host="source", min_documents=MIN_DOCUMENTS, max_share=MAX_SHARE, checkpoint=staged
+):
     """docs with the lines above their host's limit taken out of the text; other columns as they are."""
-    lines = line_rows(docs, text, host)
-    documents = docs.select(F.col(host).alias("host"), F.xxhash64(text_or_empty(text)).alias("content"))
-    frequent = frequent_lines(lines, documents, min_documents, max_share)
-    salted = frequent.select(
-        F.col("host").alias("_host"), F.col("line").alias("_line"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
-    )
-    hit = lines.join(
-        salted,
-        (F.col("line") == F.col("_line"))
-        & F.col("host").eqNullSafe(F.col("_host"))
-        & (F.pmod(F.col("key"), F.lit(SALTS)) == F.col("_salt")),
-    )
+    hit = _hits(docs, text, host, min_documents, max_share, checkpoint)
     drop = hit.groupBy(F.col("key").alias("_key")).agg(F.collect_set("line").alias("_drop"))  # at most a text's own lines
     keyed = docs.withColumn("_row", row_key("doc_id", host, text))
     left = F.filter(
