@@ -24,7 +24,7 @@ WEIGHTS = (5, 2, 1)
 SHARE_PERCENT = 150
 MOST = 2  # times a source's own size
 BLOCKS = 1 << 20  # the block is total / BLOCKS tokens, rounded up
-SHARD_DOCUMENTS = 20_000  # documents of a shard, about
+SHARD_DOCUMENTS = 4_000  # documents of a shard, about
 SEED = "mix-1"
 
 

@@ -91,7 +91,7 @@ WITH RECURSIVE sizes AS (
   SELECT o.*, t.source_size, t.target, q.quota AS source_quota, s.block,
          md5(concat_ws('/', 'mix-1', coalesce(o.doc_id::VARCHAR, 'null'), o.size::VARCHAR)) AS digest,
          ('0x' || substring(md5(concat_ws('/', 'mix-1', coalesce(o.doc_id::VARCHAR, 'null'), o.size::VARCHAR)), 1, 8))::BIGINT
-           % ceil(t.documents / 20000.0)::BIGINT AS shard
+           % ceil(t.documents / 4000.0)::BIGINT AS shard
   FROM one o JOIN targets t ON o.source IS NOT DISTINCT FROM t.source
   JOIN source_quota q ON o.source IS NOT DISTINCT FROM q.source, seats s
 ), ordered AS (
