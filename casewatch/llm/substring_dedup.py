@@ -77,6 +77,8 @@ def repeats(docs, text="text", min_words=MIN_WORDS, checkpoint=staged):
     rows = checkpoint(units(docs, text, min_words), "units")
     place = F.struct(F.col("doc_id").isNull().alias("unknown"), F.col("doc_id"), F.col("start"))
     firsts = rows.groupBy("digest").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1")
+    # as a table of its own, so that a digest with a third of all rows is a skewed key that Spark can split
+    firsts = checkpoint(firsts, "first-places")
     found = rows.join(firsts.withColumnRenamed("digest", "_digest"), F.col("digest") == F.col("_digest"))
     return found.filter(~place.eqNullSafe(F.col("first"))).select(
         "doc_id", "start", "end", "words", F.col("first.doc_id").alias("first_doc_id"), F.col("first.start").alias("first_start")
