@@ -72,7 +72,7 @@ def apportion(shares, seats, share, keys, group=()):
     """
     every = Window.partitionBy(*group)
     total, n = F.sum(share).over(every), F.count("*").over(every)
-    scaled = shares.withColumn("_per", F.col(share) / total)
+    scaled = shares.withColumn("_per", F.coalesce(F.try_divide(F.col(share), total), F.lit(0.0)))
 
     def rounded(count):
         return F.floor(F.greatest(F.col("_per") * count, F.lit(0.0)) + F.lit(0.5)).cast("long")
