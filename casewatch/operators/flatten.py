@@ -27,8 +27,13 @@ def mentions_drug(products, drug):
 
 
 def received_between(start, end):
-    """Inclusive range on the yyyyMMdd text, which reaches the file scan as a filter."""
-    return F.col("receivedate").between(start.replace("-", ""), end.replace("-", ""))
+    """Inclusive range on the yyyyMMdd text; a bound that is None does not limit."""
+    received, within = F.col("receivedate"), F.lit(True)
+    if start is not None:
+        within = within & (received >= start.replace("-", ""))
+    if end is not None:
+        within = within & (received <= end.replace("-", ""))
+    return within
 
 
 def scan_reports(reports, drugs=config.DRUGS, start=config.START_DATE, end=config.END_DATE):

@@ -111,9 +111,13 @@ def merge_labels(summaries, labels):
     return ids.join(labels.drop("severity_before"), "safetyreportid", "inner")
 
 
-def upsert(store, new, key="id"):
+def upsert(store, new, key="id", order=None):
     """The store with rows of the same key replaced and the others added.
 
+    Of several new rows of one key the last by `order` is taken; without an order, the largest row.
     Write the result to a new path and switch readers over; the old version stays whole.
     """
-    return store.join(new.select(key), key, "left_anti").unionByName(new)
+    row = F.struct(*new.columns)
+    last = new.groupBy(F.col(key).alias("_key")).agg(F.max_by(row, F.struct(order, row) if order else row).alias("_row"))
+    one = last.select("_row.*").select(*store.columns)
+    return store.join(one.select(key), key, "left_anti").select(*store.columns).unionByName(one)

@@ -6,7 +6,9 @@ that runs in a Python worker. It is built once per task by `load`.
 """
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 ERROR = T.StructField("error", T.StringType())
 ROWS_PER_RESULT = 4096
@@ -42,17 +44,22 @@ def infer(df, load, schema, batch_size, id_column="safetyreportid"):
 
     load: no-argument function returning the model function.
     schema: StructType of the model's output, which includes id_column.
+    Answers of a wrong type, to foreign ids or repeated ones fail their batch like an exception.
     A failed batch gives one row per input id with only `error` set; such ids are not done
     and come back in the next run.
     """
     out = T.StructType([*schema.fields, ERROR])
     names = [f.name for f in schema.fields]
+    types = to_arrow_schema(schema)
 
     def answers(frames):
         model = load()
         for batch in _slices(frames, batch_size):
             try:
                 result = model(batch)[names].astype(object)
+                pa.RecordBatch.from_pandas(result, types, preserve_index=False)  # refuses values of another type
+                if result[id_column].duplicated().any() or not result[id_column].isin(batch[id_column]).all():
+                    raise ValueError("answers to ids that were not asked, or repeated ones")
                 result["error"] = None
             except Exception as failure:  # noqa: BLE001 - any model failure is isolated
                 result = pd.DataFrame({n: [None] * len(batch) for n in names}, dtype=object)

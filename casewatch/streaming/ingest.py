@@ -1,6 +1,9 @@
 """Structured Streaming lane: resumable ingestion and running daily counts."""
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+BUCKETS = 64
 
 
 def read_files(spark, folder, schema, glob=None):
@@ -16,18 +19,36 @@ def with_event_time(stream, column="ts"):
     return stream.withColumn(column, F.col(column).cast("timestamp"))
 
 
-def ingest(stream, out, checkpoint, id_column, time_column="ts", delay="1 day"):
-    """Append each report once; start again with the same checkpoint to resume.
+def _first_rows(batch, id_column):
+    """One row per id of a micro-batch: the smallest, so that a replay takes the same."""
+    row = F.struct(*batch.columns)
+    return batch.groupBy(F.col(id_column).alias("_id")).agg(F.min(row).alias("_row")).select("_row.*")
+
+
+def _append_new(batch, batch_id, out, id_column):
+    """Store the rows of a micro-batch whose id no other micro-batch has stored, and return them.
 
-    Runs over all files present and stops. Exactly-once by the file sink's own log.
+    Every micro-batch has a folder, which a replay overwrites, and stores its rows by hash bucket of the
+    id; only ids of the touched buckets are compared. No state expires: a row may come however late.
     """
+    spark = batch.sparkSession
+    bucket = F.pmod(F.xxhash64(F.col(id_column).cast("string")), F.lit(BUCKETS)).cast("int")
+    rows = _first_rows(batch, id_column).withColumn("bucket", bucket)
+    if batch_id > 0:
+        touched = [r[0] for r in rows.select("bucket").distinct().collect()]  # BUCKETS numbers at most
+        stored = spark.read.schema(T.StructType(rows.schema.fields).add("batch_id", "long")).parquet(out)
+        stored = stored.filter(F.col("bucket").isin(touched) & (F.col("batch_id") < batch_id))
+        ids = stored.select(F.col(id_column).alias("_stored"))
+        rows = rows.join(ids, F.col(id_column).eqNullSafe(F.col("_stored")), "left_anti")
+    path = f"{out}/batch_id={batch_id}"
+    rows.write.mode("overwrite").partitionBy("bucket").parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def _run(stream, checkpoint, write):
     query = (
-        stream.withWatermark(time_column, delay)
-        .dropDuplicatesWithinWatermark([id_column])
-        .writeStream.format("parquet")
+        stream.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
-        .option("path", out)
-        .outputMode("append")
         .trigger(availableNow=True)
         .start()
     )
@@ -35,33 +56,35 @@ def ingest(stream, out, checkpoint, id_column, time_column="ts", delay="1 day"):
     return query
 
 
-def daily_counts(stream, out, checkpoint, key, time_column="ts", delay="1 day"):
-    """Running count per (key, day), written as one folder of changed rows per micro-batch.
+def ingest(stream, out, checkpoint, id_column):
+    """Store each report once, whatever the order in which reports arrive; start again to resume.
 
-    A repeated micro-batch overwrites its own folder, so a restart adds nothing twice.
+    Runs over all files present and stops. out belongs to one checkpoint; it holds the stored rows with
+    their batch_id and bucket. Rows without an id count as one.
     """
-    counted = (
-        stream.withWatermark(time_column, delay)
-        .groupBy(F.window(time_column, "1 day").alias("w"), F.col(key).alias("drug"))
-        .agg(F.count("*").alias("count"))
-        .select("drug", F.to_date("w.start").alias("date"), "count")
-    )
 
     def write(batch, batch_id):
-        batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        _append_new(batch, batch_id, out, id_column)
 
-    query = (
-        counted.writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("update")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return query
+    return _run(stream, checkpoint, write)
+
+
+def daily_counts(stream, out, checkpoint, key, time_column="ts", id_column=None):
+    """Counts per (key, day), written as one folder per micro-batch for latest_counts to sum.
+
+    With id_column every id counts once, in the micro-batch that brings it first; without, every row counts.
+    A replayed micro-batch overwrites its own folder. Nothing expires, so late rows count in full.
+    """
+
+    def write(batch, batch_id):
+        rows = batch if id_column is None else _append_new(batch, batch_id, f"{out}/seen", id_column)
+        counted = rows.groupBy(F.col(key).alias("drug"), F.to_date(time_column).alias("date")).agg(F.count("*").alias("count"))
+        counted.write.mode("overwrite").parquet(f"{out}/counts/batch_id={batch_id}")
+
+    return _run(stream, checkpoint, write)
 
 
 def latest_counts(spark, out):
-    """Current state of daily_counts: the last written count of every (drug, day)."""
-    changes = spark.read.schema("drug string, date date, count bigint, batch_id bigint").parquet(out)
-    return changes.groupBy("drug", "date").agg(F.max_by("count", "batch_id").alias("count"))
+    """Current counts per (drug, day): the sum over all micro-batches."""
+    parts = spark.read.schema("drug string, date date, count bigint, batch_id bigint").parquet(f"{out}/counts")
+    return parts.groupBy("drug", "date").agg(F.sum("count").alias("count"))

@@ -427,6 +427,46 @@ def test_stream_resumes_without_repeats(spark, tmp_path):
     assert run() == [0, 1, 2, 3]
 
 
+def test_stream_takes_late_rows_and_replays(spark, tmp_path):
+    source, out, counts_out, cp, cp2 = (str(tmp_path / n) for n in ("in", "out", "counts", "cp", "cp2"))
+    schema = T.StructType([T.StructField("id", T.StringType()), T.StructField("k", T.StringType()), T.StructField("ts", T.TimestampNTZType())])
+    day = lambda d: dt.datetime(2024, 1, d)
+    for rows in ([("a", "x", day(20)), ("b", "x", day(20))], [("late1", "x", day(2)), ("late2", "y", day(1)), ("a", "x", day(20))]):
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(source)
+        live = stream.with_event_time(stream.read_files(spark, source, schema))
+        stream.ingest(live, out, cp, "id")
+        stream.daily_counts(live, counts_out, cp2, "k", id_column="id")
+    assert sorted(r.id for r in spark.read.parquet(out).collect()) == ["a", "b", "late1", "late2"]
+    again = spark.createDataFrame([("late1", "x", day(2)), ("late2", "y", day(1)), ("a", "x", day(20))], schema)
+    stream._append_new(again, 1, out, "id")  # the second micro-batch once more
+    assert sorted(r.id for r in spark.read.parquet(out).collect()) == ["a", "b", "late1", "late2"]
+    got = {(r.drug, r.date.day): r["count"] for r in stream.latest_counts(spark, counts_out).collect()}
+    assert got == {("x", 20): 2, ("x", 2): 1, ("y", 1): 1}
+
+
+def test_upsert_takes_the_last_of_repeated_keys(spark):
+    store = spark.createDataFrame([("a", 1), ("b", 1)], "id string, v int")
+    new = spark.createDataFrame([("a", 9, 1), ("a", 3, 2), ("c", 5, 1)], "id string, v int, place int")
+    got = incremental.upsert(store, new, order="place").collect()
+    assert sorted(map(tuple, got)) == [("a", 3), ("b", 1), ("c", 5)]
+
+
+def test_wrongly_typed_answers_fail_their_batch_only(spark):
+    schema = T.StructType([T.StructField("safetyreportid", T.StringType()), T.StructField("tags", T.ArrayType(T.StringType()))])
+    df = spark.createDataFrame([(str(i),) for i in range(6)], "safetyreportid string").coalesce(1)
+
+    def load():
+        def model(batch):
+            out = batch[["safetyreportid"]].copy()
+            out["tags"] = [7 if i == "3" else ["t"] for i in batch["safetyreportid"]]
+            return out
+
+        return model
+
+    rows = inference.infer(df, load, schema, batch_size=2).collect()
+    assert {r["safetyreportid"] for r in rows if r["error"]} == {"2", "3"} and len(rows) == 6
+
+
 def test_stream_counts_equal_batch(spark, tmp_path):
     source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
     schema = T.StructType([T.StructField("k", T.StringType()), T.StructField("ts", T.TimestampNTZType())])
