@@ -17,7 +17,10 @@ A text is its lower-cased words with single spaces and an end mark. Work is spli
   65,536 contexts each), and the root from at most 65,280 rows on the driver.
 """
 
+import contextlib
+import ctypes
 import math
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -30,9 +33,9 @@ from casewatch.sources.workspace import staged
 DEPTH = 5
 SPLIT = 3
 FOLDS, HELD_OUT = 5, 1
-BUNDLE_BYTES = 32_000_000
+BUNDLE_BYTES = 48_000_000
 CHUNK_BYTES = 1_000_000
-CHUNK_ROWS = 500_000
+CHUNK_ROWS = 250_000
 END = 255  # no byte of UTF-8: the end of a text and what stands before its start
 STRINGS, WORDS = 0, 1
 
@@ -61,26 +64,35 @@ def byte_strings(texts, depth=DEPTH):
 
 
 def _merge(found):
-    """Sums of (keys, counts) pieces."""
-    keys = np.concatenate([k for k, _ in found]) if found else np.zeros(0, np.uint64)
-    counts = np.concatenate([c for _, c in found]) if found else np.zeros(0, np.int64)
-    unique, inverse = np.unique(keys, return_inverse=True)
-    return unique, np.bincount(inverse, counts, len(unique)).astype(np.int64)
+    """Sums of sorted (keys, counts) pieces, without arrays of the length of all pieces but one."""
+    unique = np.unique(np.concatenate([k for k, _ in found])) if found else np.zeros(0, np.uint64)
+    counts = np.zeros(len(unique), np.int64)
+    for k, c in found:
+        counts[np.searchsorted(unique, k)] += c
+    return unique, counts
 
 
-def _chunks(values):
-    """Lists of canonical texts of about CHUNK_BYTES, with their positions."""
-    held, at, size = [], [], 0
+def _give_back():
+    """Return freed memory to the system: workers live on, and what they hold counts against the executor."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def _chunks(values, flags=None):
+    """Lists of canonical texts of about CHUNK_BYTES, with their positions and their common flag."""
+    held = {}
     for i, value in enumerate(values):
+        flag = flags[i].as_py() if flags is not None else None
+        texts, at, size = held.get(flag, ([], [], 0))
         text = canonical(value.as_py())
-        held.append(text)
+        texts.append(text)
         at.append(i)
-        size += len(text) + DEPTH + 1
-        if size >= CHUNK_BYTES:
-            yield held, at
-            held, at, size = [], [], 0
-    if held:
-        yield held, at
+        held[flag] = texts, at, size + len(text) + DEPTH + 1
+        if held[flag][2] >= CHUNK_BYTES:
+            yield *held.pop(flag)[:2], flag
+    for flag, (texts, at, _) in held.items():
+        yield texts, at, flag
 
 
 def _word_keys(words):
@@ -92,24 +104,21 @@ COUNTS = "bundle int, kind int, key long, n long"
 
 def _count(table):
     """COUNTS rows of one bundle: every string and word in it, n of them in training texts."""
-    import pyarrow.compute as pc
-    from collections import Counter
-
     strings, words, other = [], Counter(), set()
-    for learns in (True, False):
-        part = table.filter(pc.equal(table.column("learns"), learns))
-        for texts, _ in _chunks(part.column("text")):
-            unique, counts = np.unique(byte_strings(texts)[0], return_counts=True)
-            strings.append((unique, counts if learns else np.zeros(len(unique), np.int64)))
-            if len(strings) > 8:
-                strings = [_merge(strings)]
-            for text in texts:
-                words.update(text.split()) if learns else other.update(text.split())
+    for texts, _, learns in _chunks(table.column("text"), table.column("learns")):
+        unique, counts = np.unique(byte_strings(texts)[0], return_counts=True)
+        strings.append((unique, counts if learns else np.zeros(len(unique), np.int64)))
+        if len(strings) > 4:
+            strings = [_merge(strings)]
+        for text in texts:
+            words.update(text.split()) if learns else other.update(text.split())
     keys, counts = _merge(strings)
     other.difference_update(words)
     listed = [*words, *other]
     many = np.array([*words.values(), *([0] * len(other))], np.int64)
     n = len(keys) + len(listed)
+    del strings, words, other
+    _give_back()
     return pa.table(
         {
             "bundle": pa.array(np.full(n, table.column("bundle")[0].as_py(), np.int32)),
@@ -288,6 +297,7 @@ def _probabilities(batches):
                 mixed, left = _descend(mixed, left, level.one[level.of], level.stop[level.of], deeper)
             total += np.log10(np.where(one == 1, mixed, 1 - mixed))
         yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(total)], names=["key", "value"])
+    _give_back()
 
 
 def string_probabilities(strings, checkpoint=staged):
@@ -326,7 +336,7 @@ class Lookup:
 
     def __init__(self, keys, values):
         self.bits = max(4, int(1.5 * len(keys) + 1).bit_length())
-        self.slots, self.values = np.full(1 << self.bits, self.EMPTY), np.zeros(1 << self.bits)
+        self.slots, self.values = np.full(1 << self.bits, self.EMPTY), np.zeros(1 << self.bits, values.dtype)
         rows, at = np.arange(len(keys)), self._slot(keys)
         while len(rows):
             free = rows[self.slots[at[rows]] == self.EMPTY]
@@ -361,7 +371,8 @@ def _score(docs, known, train_tokens, vocabulary, train_documents, names):
     n = docs.num_rows
     tokens, known_tokens, length = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, np.int64)
     base, score, counts = np.zeros(n), np.zeros(n), {}
-    for texts, at in _chunks(docs.column("text")):
+    del kinds, keys, values, order
+    for texts, at, _ in _chunks(docs.column("text")):
         found, starts = byte_strings(texts)
         score[at] = np.add.reduceat(strings[found], starts)
         length[at] = np.diff(np.append(starts, len(found)))
@@ -374,6 +385,8 @@ def _score(docs, known, train_tokens, vocabulary, train_documents, names):
             tokens[i] = len(words) + 1
             known_tokens[i] = np.count_nonzero(c) + (train_documents > 0)
             base[i] = np.log10((c + 0.5) / size).sum() + end
+    del strings, counts, word_keys, word_counts
+    _give_back()
     columns = [docs.column(c) for c in docs.column_names if c not in ("bundle", "text", "learns")]
     return pa.table(
         [*columns, pa.array(tokens), pa.array(known_tokens), pa.array(np.full(n, train_tokens, np.int64)), pa.array(base),
