@@ -108,7 +108,7 @@ def _count(table):
     for texts, _, learns in _chunks(table.column("text"), table.column("learns")):
         unique, counts = np.unique(byte_strings(texts)[0], return_counts=True)
         strings.append((unique, counts if learns else np.zeros(len(unique), np.int64)))
-        if len(strings) > 12:
+        if len(strings) > 6:
             strings = [_merge(strings)]
         for text in texts:
             words.update(text.split()) if learns else other.update(text.split())
