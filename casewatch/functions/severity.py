@@ -38,5 +38,5 @@ def severity_by_ladder(column):
 
 
 def changed_by(column, normal):
-    """True where normalising altered more than case and outer blanks."""
-    return normalized(column) != normal
+    """True where normalising altered more than case and outer blanks, or filled in a missing value."""
+    return ~normalized(column).eqNullSafe(normal)

@@ -4,8 +4,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def stripped(column):
+    """Without white space of any kind at both ends."""
+    return F.regexp_replace(column, r"(?U)^\s+|\s+\z", "")
+
+
 def normalized(column):
-    return F.lower(F.trim(column))
+    return F.lower(stripped(column))
 
 
 def blank_if_missing(column):
@@ -13,7 +18,7 @@ def blank_if_missing(column):
 
 
 def non_blank(column):
-    return F.trim(column) != ""
+    return stripped(column) != ""
 
 
 def names_of(array, field):
@@ -28,7 +33,7 @@ def join_tags(array, separator="; "):
 
 
 def normalize_array(array):
-    return F.transform(array, lambda v: F.lower(F.trim(v)))
+    return F.transform(array, normalized)
 
 
 def tokens_as_phrase(column):

@@ -1,5 +1,6 @@
 """Categorisation of report texts: built-in keyword rules and the pluggable model form."""
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -52,15 +53,25 @@ def first_product(text):
     return F.regexp_extract(text, r"patient taking (.*?)(?:,| experienced)", 1)
 
 
-def label_columns(text, rules=None):
-    """The label fields of one report text, as named columns."""
-    severity = severity_by_ladder(stated_seriousness(text))
-    several = F.contains(F.regexp_extract(text, r"patient taking (.*?) experienced", 1), F.lit(","))
-    organ = organ_system(text, rules)
+def label_columns(reports, text="patient_summary_text", rules=None):
+    """The label fields of reports, as named columns.
+
+    Organ keywords are searched in the reactions and drugs are read from drugs_involved where the
+    rows have these columns, so that a product's name is no symptom; bare texts are searched whole.
+    """
+    sentence = F.col(text)
+    severity = severity_by_ladder(stated_seriousness(sentence))
+    organ = organ_system(F.col("reactions") if "reactions" in reports.columns else sentence, rules)
+    if "drugs_involved" in reports.columns:
+        products = F.split("drugs_involved", "; ")
+        cause, several = F.coalesce(F.nullif(F.get(products, 0), F.lit("")), first_product(sentence)), F.size(products) > 1
+    else:
+        several = F.contains(F.regexp_extract(sentence, r"patient taking (.*?) experienced", 1), F.lit(","))
+        cause = first_product(sentence)
     return {
         "primary_organ_system": organ,
         "severity": severity,
-        "likely_causal_drug": first_product(text),
+        "likely_causal_drug": cause,
         "category_tags": F.array_compact(
             F.array(
                 F.lit("known_side_effect"),
@@ -74,7 +85,7 @@ def label_columns(text, rules=None):
 
 def categorize_rules(reports, rules=None, text="patient_summary_text", id_column="safetyreportid"):
     """Rule-based label rows, all inside the JVM."""
-    fields = label_columns(F.col(text), rules)
+    fields = label_columns(reports, text, rules)
     return reports.select(
         F.col(id_column).cast("string").alias("id"), *[c.alias(n) for n, c in fields.items()]
     )
@@ -82,7 +93,7 @@ def categorize_rules(reports, rules=None, text="patient_summary_text", id_column
 
 def with_rule_labels(reports, rules=None, text="patient_summary_text"):
     """Reports with their rule labels beside them, without a join."""
-    return reports.withColumns(label_columns(F.col(text), rules))
+    return reports.withColumns(label_columns(reports, text, rules))
 
 
 def keyword_model(rules=None, text="patient_summary_text", id_column="safetyreportid"):
@@ -90,14 +101,14 @@ def keyword_model(rules=None, text="patient_summary_text", id_column="safetyrepo
     rules = CLINICAL_RULES if rules is None else rules
 
     def load():
-        def best(value):
-            value = value.lower()
-            hits = {name: sum(w in value for w in words) for name, words in rules.items()}
-            top = max(hits, key=hits.get)  # the earlier rule on ties
-            return top if hits[top] else OTHER
+        names = np.array([*rules, OTHER], dtype=object)
 
         def model(batch: pd.DataFrame) -> pd.DataFrame:
-            organ = [best(value) for value in batch[text]]
+            lowered = batch[text].str.lower()
+            hits = [sum(lowered.str.contains(w, regex=False, na=False).to_numpy(int) for w in words) for words in rules.values()]
+            counted = np.stack(hits, axis=1)
+            # argmax takes the earlier rule on ties
+            organ = names[np.where(counted.max(axis=1) > 0, counted.argmax(axis=1), len(rules))]
             return pd.DataFrame(
                 {
                     "id": batch[id_column].astype(str),

@@ -17,15 +17,16 @@ def window_days(anomalies, days=config.CONTEXT_DAYS):
     return anomalies.withColumn("day", F.explode(span))
 
 
-def context_reports(anomalies, reports, days=config.CONTEXT_DAYS):
+def context_reports(anomalies, reports, days=config.CONTEXT_DAYS, id_column="safetyreportid", salts=16):
     """All reports of the same drug within +/- days of each anomaly, both ends included.
 
-    The interval becomes an equality on (drug, day): work spreads over days as well as
-    drugs, and no range condition is evaluated per pair.
-    reports: needs drug, received (date).
+    The interval becomes an equality on (drug, day, salt): work spreads over days as well as
+    drugs, a crowded day over its salts, and no range condition is evaluated per pair.
+    reports: needs drug, received (date) and the id.
     """
-    dated = reports.withColumnRenamed("received", "day")
-    joined = window_days(anomalies, days).join(dated, ["drug", "day"])
+    dated = reports.withColumnRenamed("received", "day").withColumn("__salt", id_salt([id_column], salts))
+    wanted = window_days(anomalies, days).withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    joined = wanted.join(dated, ["drug", "day", "__salt"]).drop("__salt")
     return joined.withColumn("distance", F.abs(F.datediff("day", "date"))).withColumnRenamed(
         "day", "received"
     )
@@ -58,7 +59,7 @@ def context_top_n(
     )
     per_day = top_n_per_key(candidates, ["drug", "received"], [id_column], n, salt_column="__salt")
     return top_n_per_key(
-        context_reports(anomalies, per_day, days),
+        context_reports(anomalies, per_day, days, id_column, salts=1),
         ["drug", "date"],
         ["distance", id_column],
         n,

@@ -5,7 +5,7 @@ from pyspark.sql import types as T
 
 from casewatch import config
 from casewatch.functions.numbers import percent
-from casewatch.functions.text import non_blank, normalized
+from casewatch.functions.text import non_blank, normalized, stripped
 from casewatch.operators.ranking import stratified_even
 
 
@@ -58,9 +58,9 @@ def label_mismatches(template, n=config.MISMATCHES_SHOWN):
 def ground_truth_template(explanations, seeds=None):
     """Explanations with truth columns, blank but for the seeded (drug, date) rows.
 
-    seeds: a literal argument of known rows, joined as a small fixed table.
+    seeds: a literal argument of known rows, {(drug, date): {column: text}}, joined as a small table.
     """
-    seeds = config.SEEDED_GROUND_TRUTH if seeds is None else seeds
+    seeds = seeds or {}
     fields = ("is_real_signal", "fda_reference_url", "notes")
     schema = T.StructType([T.StructField(c, T.StringType()) for c in ("drug", "date", *[f"_{f}" for f in fields])])
     known = explanations.sparkSession.createDataFrame(
@@ -76,7 +76,7 @@ def ground_truth_template(explanations, seeds=None):
 
 def anomaly_precision(template):
     """One row: flagged, labelled Y or N, confirmed, precision (null without labels)."""
-    mark = F.upper(F.trim("is_real_signal"))
+    mark = F.upper(stripped(F.col("is_real_signal")))
     judged = mark.isin("Y", "N")
     return template.agg(
         F.count("*").alias("n_flagged"),
@@ -117,7 +117,7 @@ def score_summary(scores):
 
 
 def report_lines(accuracy, mismatches):
-    """The accuracy report as numbered lines; the mismatch list is already limited."""
+    """The accuracy report as numbered lines, a fixed format; the mismatch list is already limited."""
     head = accuracy.select(
         F.posexplode(
             F.array(
@@ -152,6 +152,7 @@ def report_lines(accuracy, mismatches):
 
 
 def precision_lines(precision):
+    """The precision report as numbered lines, a fixed format."""
     return precision.select(
         F.posexplode(
             F.array(

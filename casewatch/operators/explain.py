@@ -6,8 +6,8 @@ from casewatch.functions.severity import changed_by, severity_by_ladder
 from casewatch.functions.text import normalize_array
 from casewatch.operators.timeseries import direction
 
-NO_PATTERN = "no clear pattern beyond the aggregate stats"
-CAVEAT = "Exploratory signal from a limited sample of reports, not a clinical conclusion."
+NO_PATTERN = "no reaction stands out in the reports nearby"
+CAVEAT = "Drawn from a few nearby reports: a hint where to look, not a medical finding."
 
 
 def _most_frequent(values):

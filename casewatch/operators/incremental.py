@@ -1,7 +1,5 @@
 """Resumable work: what is pending, batches with stable ids, label batches, upserts."""
 
-import math
-
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -9,6 +7,8 @@ from casewatch import schemas
 from casewatch.functions.ids import batch_id, hash_bucket
 from casewatch.operators.ranking import keep_first, stratified_sample
 
+BUCKETS = 1024
+
 
 def pending(rows, done, id_column="safetyreportid", done_column=None):
     """Rows whose id is not done yet. Ids are compared as text."""
@@ -30,15 +30,14 @@ def pending_sample(rows, done, per_drug=None, cap_all=False, seed=42, id_column=
 
 
 def make_batches(
-    rows, size, rows_per_bucket=100_000, id_column="safetyreportid", payload=("patient_summary_text",)
+    rows, size, buckets=BUCKETS, id_column="safetyreportid", payload=("patient_summary_text",)
 ):
     """Batches of at most `size` rows with a digest id and their items.
 
-    Positions are counted inside hash buckets of the id, never over the whole table. The
-    number of buckets follows the row count, so a bucket stays about rows_per_bucket large
-    at any scale. Ids must be unique. `rows` is read twice: pass a stored table.
+    Positions are counted inside hash buckets of the id, never over the whole table. The number of
+    buckets belongs to the results and must stay the same for them: then new rows change only
+    the batches of the buckets they fall into. Ids must be unique.
     """
-    buckets = max(1, math.ceil(rows.count() / rows_per_bucket))
     bucket = hash_bucket(F.col(id_column), buckets)
     within = Window.partitionBy("bucket").orderBy(id_column)
     numbered = rows.withColumn("bucket", bucket).withColumn(

@@ -11,12 +11,12 @@ import zlib
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from casewatch import config
 from casewatch.functions.numbers import round_half_even
+from casewatch.operators.ranking import top_n_per_key
 from casewatch.operators.timeseries import FEATURES, by_day, by_drug
 from casewatch.session import spread
 
@@ -123,20 +123,11 @@ def grow_forest(features, trees=config.FOREST_TREES, sample=config.FOREST_SAMPLE
         features.select("drug", "date", "n_rows", *FEATURES)
         .withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
         .withColumn("draw", draw)
-        # Only rows that can be among the first `sample` draws are sorted. The expected
-        # number kept is four times the sample; a series of that size is kept whole.
-        .filter(F.col("draw") < F.lit(float(1 << 32)) * 4 * sample / F.col("n_rows"))
     )
-    grouped = drawn.withColumn("tree_group", F.floor(F.col("tree") / TREES_PER_GROUP).cast("int"))
-    # One shuffle serves the per-tree limit and the growing of a group of trees.
-    first = Window.partitionBy("drug", "tree_group", "tree").orderBy("draw", "date")
-    samples = (
-        spread(grouped, "drug", "tree_group")
-        .withColumn("r", F.row_number().over(first))
-        .filter(F.col("r") <= sample)
-        .drop("r", "draw")
-    )
-    return samples.groupBy("drug", "tree_group").applyInPandas(_grow_group(seed), TREE_SCHEMA)
+    # The limit acts in every task first, so at most `sample` days per tree and task are shuffled.
+    samples = top_n_per_key(drawn, ["drug", "tree"], ["draw", "date"], sample).drop("draw")
+    grouped = samples.withColumn("tree_group", F.floor(F.col("tree") / TREES_PER_GROUP).cast("int"))
+    return spread(grouped, "drug", "tree_group").groupBy("drug", "tree_group").applyInPandas(_grow_group(seed), TREE_SCHEMA)
 
 
 def _score_group(carried):

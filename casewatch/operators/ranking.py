@@ -53,14 +53,17 @@ def list_position(column, values):
 
 
 def dedup_reports(mentions, drugs, id_column="safetyreportid", drug_column="drug", then_by=()):
-    """A report that names several tracked drugs belongs to the earliest in the list."""
-    order = [list_position(F.col(drug_column), drugs), *then_by]
+    """A report that names several tracked drugs belongs to the earliest in the list.
+
+    Versions of a report that are equal up to there are told apart by their whole content.
+    """
+    order = [list_position(F.col(drug_column), drugs), *then_by, *mentions.columns]
     return keep_first(mentions, id_column, order)
 
 
 def cap_per_drug(df, n, date_column="receivedate", id_column="safetyreportid", salts=16):
-    """At most n reports per drug, oldest first."""
-    return top_n_per_key(df, ["drug"], [date_column, id_column], n, salts=salts)
+    """At most n reports per drug, oldest first, then by id, then by their whole content."""
+    return top_n_per_key(df, ["drug"], [date_column, id_column, *df.columns], n, salts=salts)
 
 
 def sample_order(id_column, seed):

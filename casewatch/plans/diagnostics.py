@@ -33,6 +33,15 @@ def labelled_context(
     return with_rule_labels(flatten_reports(nearest, keep=(*FIGURES, "position", "distance")), rules)
 
 
+def labelled_nearest(nearest, reports, rules=None):
+    """The same from context_top_n rows of narrow mentions and the raw reports they name.
+
+    Only ids, drugs and days travel through the ranking; the nested reports join the few chosen rows.
+    """
+    chosen = nearest.select("safetyreportid", "drug", *FIGURES, "position", "distance").join(reports, "safetyreportid")
+    return with_rule_labels(flatten_reports(chosen, keep=(*FIGURES, "position", "distance")), rules)
+
+
 def explain_and_score(context):
     """(explanations, scores) from labelled context; pass a staged context."""
     explanations = explain_extractive(context)

@@ -1,7 +1,6 @@
 """DuckDB statements that state, independently, what the registered queries must return."""
 
-from casewatch.functions.severity import LADDER, LADDER_DEFAULT
-from casewatch.plans.registry import FIXED_WEIGHTS, ROWS_PER_BUCKET
+from casewatch.plans.registry import BATCH_BUCKETS, FIXED_WEIGHTS
 from casewatch.sources.bindings import REACTION_RULES, TOXIC_WORDS, TRACKED
 
 
@@ -10,14 +9,18 @@ def rnd(x, digits):
     return f"(CASE WHEN round_even(({x})*{scale},0)=0 THEN 0.0 ELSE round_even(({x})*{scale},0)/{scale} END)"
 
 
+def _strip(value):
+    return f"regexp_replace({value}, '^[\\s\\v]+|[\\s\\v]+$', '', 'g')"
+
+
 def _ladder(value):
-    cases = " ".join(
-        "WHEN " + " OR ".join(f"contains(v,'{w}')" for w in words) + f" THEN '{label}'"
-        for words, label in LADDER
-    )
     return (
-        f"(SELECT CASE WHEN v IS NULL THEN '{LADDER_DEFAULT}' {cases} ELSE '{LADDER_DEFAULT}' END "
-        f"FROM (SELECT lower(trim({value})) AS v))"
+        "(SELECT CASE WHEN contains(v, 'fatal') OR contains(v, 'death') THEN 'fatal' "
+        "WHEN contains(v, 'life-threatening') OR contains(v, 'life threatening') THEN 'life-threatening' "
+        "WHEN contains(v, 'hospitalization') OR contains(v, 'disabling') OR contains(v, 'severe') THEN 'severe' "
+        "WHEN contains(v, 'non-serious') OR contains(v, 'non serious') THEN 'mild' "
+        "WHEN contains(v, 'serious') THEN 'moderate' WHEN contains(v, 'mild') THEN 'mild' ELSE 'moderate' END "
+        f"FROM (SELECT lower({_strip(value)}) AS v))"
     )
 
 
@@ -42,14 +45,14 @@ _W7 = "(PARTITION BY drug ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW
 _W30 = "(PARTITION BY drug ORDER BY date ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)"
 _A, _B, _G = FIXED_WEIGHTS
 _SEVERITY_RAW = (
-    "CASE WHEN serious='1' THEN ' Hospitalization ' ELSE CASE drug WHEN 'ECONOMY' THEN 'NON-SERIOUS' "
+    "CASE WHEN serious='1' THEN chr(9) || 'Hospitalization ' || chr(10) ELSE CASE drug WHEN 'ECONOMY' THEN 'NON-SERIOUS' "
     "WHEN 'LARGE' THEN ' unknown ' WHEN 'MEDIUM' THEN 'non-serious/other' WHEN 'PROMO' THEN 'Severe' "
     "WHEN 'SMALL' THEN 'odd' ELSE 'mild' END END"
 )
 
 
 def _lookup(value):
-    v = f"lower(trim({value}))"
+    v = f"lower({_strip(value)})"
     return (
         f"(CASE {v} WHEN 'hospitalization' THEN 'severe' WHEN 'non-serious' THEN 'mild' "
         f"WHEN 'non-serious/other' THEN 'mild' WHEN 'unknown' THEN 'moderate' ELSE {v} END)"
@@ -121,7 +124,7 @@ CTES = {
         SELECT * FROM flat
         QUALIFY row_number() OVER (PARTITION BY safetyreportid ORDER BY {_DRUG_POSITION}) = 1""",
     "categorized": f"""
-        SELECT *, {_organ('patient_summary_text')} AS primary_organ_system,
+        SELECT *, {_organ('reactions')} AS primary_organ_system,
                {_ladder("regexp_extract(patient_summary_text, 'Seriousness: ([^.]*)[.]', 1)")} AS severity
         FROM summaries""",
     "first_labels": f"""
@@ -133,7 +136,7 @@ CTES = {
                   AS batch
         FROM (SELECT safetyreportid, patient_summary_text,
                      CAST(CAST('0x' || substr(sha256(safetyreportid), 1, 8) AS BIGINT)
-                          % CAST(ceil(count(*) OVER () / {ROWS_PER_BUCKET}.0) AS BIGINT) AS INT) AS bucket
+                          % {BATCH_BUCKETS} AS INT) AS bucket
               FROM summaries)""",
     "batches": """
         SELECT bucket, batch, count(*) AS n_items,
@@ -151,7 +154,7 @@ CTES = {
         SELECT *, row_number() OVER (PARTITION BY drug, date ORDER BY distance, safetyreportid) AS position
         FROM near QUALIFY position <= 8""",
     "ctx": f"""
-        SELECT t.*, f.patient_summary_text, f.names, {_organ('f.patient_summary_text')} AS organ,
+        SELECT t.*, f.patient_summary_text, f.names, {_organ('f.reactions')} AS organ,
                {_ladder("regexp_extract(f.patient_summary_text, 'Seriousness: ([^.]*)[.]', 1)")} AS severity
         FROM top8 t JOIN flat f ON f.safetyreportid = t.safetyreportid AND f.drug = t.drug""",
     "bundle": """
@@ -175,8 +178,8 @@ CTES = {
                  || ': ' || f.count || ' reports for ' || f.drug || ' on ' || f.date || '.' AS summary,
                o.organ AS dominant_organ_systems, s.severity AS dominant_severity,
                CASE WHEN r.n >= 2 THEN 'most frequent reaction: ' || r.r || ', ' || r.n || ' mentions'
-                    ELSE 'no clear pattern beyond the aggregate stats' END AS notable_pattern,
-               'Exploratory signal from a limited sample of reports, not a clinical conclusion.'
+                    ELSE 'no reaction stands out in the reports nearby' END AS notable_pattern,
+               'Drawn from a few nearby reports: a hint where to look, not a medical finding.'
                  AS confidence_caveat
         FROM flagged f JOIN bundle b USING (drug, date) JOIN top_organ o USING (drug, date)
         JOIN top_severity s USING (drug, date) LEFT JOIN top_reaction r USING (drug, date)""",
@@ -325,7 +328,7 @@ def statements():
     )
     s["daily_counts"] = _sql(f"SELECT drug, {_DAY}, cnt AS count FROM daily", "daily")
     s["daily_counts_from_reports"] = _sql(
-        f"SELECT drug, {_DAY}, cnt AS count FROM daily WHERE date BETWEEN DATE '1996-01-01' AND DATE '2000-12-31'",
+        f"SELECT drug, {_DAY}, cnt AS count FROM daily",
         "daily",
     )
     s["counts_summary"] = _sql(
@@ -421,8 +424,9 @@ def statements():
         "first_labels",
     )
     s["normalized_count"] = _sql(
-        "SELECT count(*) FILTER (WHERE lower(trim(severity_before)) <> severity) AS n_changed, count(*) AS n "
-        "FROM first_labels",
+        f"SELECT count(*) FILTER (WHERE lower({_strip('severity_before')}) IS DISTINCT FROM severity) AS n_changed, "
+        f"count(*) FILTER (WHERE lower({_strip('given')}) IS DISTINCT FROM {_ladder('given')}) AS n_changed_by_ladder, "
+        "count(*) AS n FROM (SELECT *, nullif(severity_before, 'odd') AS given FROM first_labels)",
         "first_labels",
     )
     s["pending_anti"] = (
@@ -472,7 +476,9 @@ def statements():
         "categorized",
     )
     s["categorize_mapinpandas"] = _sql(
-        "SELECT safetyreportid AS id, primary_organ_system FROM categorized", "categorized"
+        "SELECT safetyreportid AS id, primary_organ_system, CAST(NULL AS VARCHAR) AS severity, CAST(NULL AS VARCHAR) "
+        "AS likely_causal_drug, 'known_side_effect' AS category_tags, 'keyword model' AS rationale FROM categorized",
+        "categorized",
     )
     s["inference_errors"] = (
         "SELECT CAST(doc_id AS VARCHAR) AS safetyreportid, CASE WHEN NOT bad THEN length(text) END AS n, "

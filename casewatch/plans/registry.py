@@ -31,7 +31,7 @@ from casewatch.streaming import ingest as stream
 QUERIES = {}
 FIXED_WEIGHTS = (0.3, 0.05, 0.1)
 LIST_SEPARATOR = "|"
-ROWS_PER_BUCKET = 1000
+BATCH_BUCKETS = 16
 
 
 def query(fn):
@@ -89,7 +89,12 @@ def flagged(spark, sf):
 
 
 def labelled_context(spark, sf):
-    return diagnostics.labelled_context(flagged(spark, sf), named_reports(spark, sf), b.REACTION_RULES)
+    """Nearest mentions of every flagged day first, then the reports of those alone."""
+    mentions = b.case_mentions(spark, sf).select("safetyreportid", "drug", F.col("date").alias("received"))
+    wanted = staged(flagged(spark, sf).select("drug", *diagnostics.FIGURES), "anomalies")
+    nearest = staged(context.context_top_n(wanted, mentions), "nearest")
+    reports = b.case_reports(spark, sf, ids=nearest.select("safetyreportid"))
+    return diagnostics.labelled_nearest(nearest, reports, b.REACTION_RULES)
 
 
 def explanations(spark, sf):
@@ -114,7 +119,8 @@ def joined(column):
 
 @query
 def scan_reports(spark, sf):
-    reports = flatten.scan_reports(b.case_reports(spark, sf), b.TRACKED, "1996-01-01", "1998-12-31")
+    period = ("1996-01-01", "1998-12-31")
+    reports = flatten.scan_reports(b.case_reports(spark, sf, *period), b.TRACKED, *period)
     return reports.select("safetyreportid", "drug", "receivedate")
 
 
@@ -134,7 +140,7 @@ def daily_counts(spark, sf):
 @query
 def daily_counts_from_reports(spark, sf):
     """The same counts from the nested reports, by phrase match on their product names."""
-    return counts.daily_counts(counts.mentions_of(named_reports(spark, sf)), "1996-01-01", "2000-12-31")
+    return counts.daily_counts(counts.mentions_of(named_reports(spark, sf)))
 
 
 @query
@@ -262,7 +268,7 @@ def date_formats(spark, sf):
 
 @query
 def normalize_array(spark, sf):
-    tags = F.array(F.concat(F.lit(" "), F.upper("p_name"), F.lit(" ")), F.col("p_brand"))
+    tags = F.array(F.concat(F.lit("\t"), F.upper("p_name"), F.lit(" \n")), F.col("p_brand"))
     return b.table(spark, sf, "part").select("p_partkey", joined(text.normalize_array(tags)).alias("tags"))
 
 
@@ -311,7 +317,7 @@ def _raw_severity():
         "SMALL": "odd",
         "STANDARD": "mild",
     }
-    chain = F.when(F.col("serious") == "1", F.lit(" Hospitalization "))
+    chain = F.when(F.col("serious") == "1", F.lit("\tHospitalization \n"))
     for drug, value in by_drug.items():
         chain = chain.when(F.col("drug") == drug, F.lit(value))
     return chain
@@ -362,8 +368,11 @@ def merge_labels(spark, sf):
 
 @query
 def normalized_count(spark, sf):
+    """Labels changed by the lookup, and by the ladder where "odd" labels are missing ones."""
     first = _first_labels(spark, sf)
+    some = F.nullif(F.col("severity_before"), F.lit("odd"))
     return first.agg(
+        explain.normalized_count(some, severity.severity_by_ladder(some)).alias("n_changed_by_ladder"),
         explain.normalized_count(F.col("severity_before"), F.col("severity")).alias("n_changed"),
         F.count("*").alias("n"),
     )
@@ -383,8 +392,8 @@ def progress_status(spark, sf):
 
 
 def _batches(spark, sf):
-    rows = staged(summaries(spark, sf).select("safetyreportid", "patient_summary_text"), "summaries")
-    return incremental.make_batches(rows, config.CATEGORIZE_BATCH, ROWS_PER_BUCKET)
+    rows = summaries(spark, sf).select("safetyreportid", "patient_summary_text")
+    return incremental.make_batches(rows, config.CATEGORIZE_BATCH, BATCH_BUCKETS)
 
 
 @query
@@ -502,7 +511,7 @@ def categorize_mapinpandas(spark, sf):
     reports = summaries(spark, sf).select("safetyreportid", "patient_summary_text")
     load = categorize.keyword_model(b.REACTION_RULES, id_column="id")
     labels = inference.succeeded(categorize.categorize(reports, load))
-    return labels.select("id", "primary_organ_system")
+    return labels.withColumn("category_tags", joined("category_tags"))
 
 
 def _refusing_model():
@@ -891,7 +900,7 @@ def report_lines(spark, sf):
 
 def _ground_truth(spark, sf):
     z = F.col("zscore")
-    mark = F.when(z >= 3, " y").when(z >= 2.6, "N").otherwise("Uncertain")
+    mark = F.when(z >= 3, "\ty\n").when(z >= 2.6, "N").otherwise("Uncertain")
     return flagged(spark, sf).withColumn("is_real_signal", mark)
 
 

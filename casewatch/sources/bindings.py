@@ -78,13 +78,40 @@ def case_mentions(spark, sf_dir, serious_only=False):
     )
 
 
-def case_reports(spark, sf_dir):
+def received_between(start, end):
+    """Inclusive range of days on the order time itself, so that it reaches the scan; None does not limit."""
+    within = []
+    if start is not None:
+        within.append(F.col("o_orderdate") >= F.lit(start).cast("timestamp_ntz"))
+    if end is not None:
+        within.append(F.col("o_orderdate") < F.date_add(F.lit(end).cast("date"), 1).cast("timestamp_ntz"))
+    return within
+
+
+def case_reports(spark, sf_dir, start=None, end=None, ids=None):
     """Nested raw reports in the declared raw schema.
 
+    start, end: inclusive days; ids: a frame with the safetyreportid of the reports wanted. Both narrow
+    the lines before their names are collected.
+
     Product and reaction lists are sets over small vocabularies (types x brands, part
     names), collected with map-side combining: their size does not grow with the rows.
     """
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"
+    )
+    limits = received_between(start, end)
+    for limit in limits:
+        orders = orders.filter(limit)
+    if ids is not None:
+        keys = ids.select(F.col("safetyreportid").cast("bigint").alias("o_orderkey")).distinct()
+        orders = orders.join(keys, "o_orderkey", "left_semi")
     lines = _lines(spark, sf_dir, "p_type", "p_brand", "p_name", "p_size")
+    if ids is not None:
+        lines = lines.join(keys, lines.l_orderkey == keys.o_orderkey, "left_semi")
+    elif limits:
+        wanted = orders.select("o_orderkey")
+        lines = lines.join(wanted, lines.l_orderkey == wanted.o_orderkey, "left_semi")
     per_order = lines.groupBy("l_orderkey").agg(
         F.sort_array(F.collect_set(F.concat_ws(" ", "p_type", "p_brand"))).alias("products"),
         # a few blank names stand for entries without a coded reaction
@@ -92,9 +119,6 @@ def case_reports(spark, sf_dir):
             "names"
         ),
     )
-    orders = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"
-    )
     prio, status, cust = F.col("o_orderpriority"), F.col("o_orderstatus"), F.col("o_custkey")
     flag = lambda cond: F.when(cond, "1").otherwise("2")
     return per_order.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(

@@ -29,10 +29,9 @@ def fresh_path(spark, name):
     return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def staged(df, name, partitions=None):
+def staged(df, name):
     """Write df once to the shared folder and return a scan of the written table."""
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    out = df if partitions is None else df.coalesce(partitions)
-    out.write.parquet(path)
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

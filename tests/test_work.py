@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from casewatch import config, schemas
+from casewatch.functions import severity
 from casewatch.operators import (
     categorize,
     context,
@@ -87,13 +88,43 @@ def test_cap_of_whole_set_does_not_drift(spark):
 
 
 def test_batches_cover_every_row_once(spark):
-    got = incremental.make_batches(ids_frame(spark, range(205)), 20, rows_per_bucket=50).collect()
+    got = incremental.make_batches(ids_frame(spark, range(205)), 20, buckets=5).collect()
     covered = [i["id"] for r in got for i in r["items"]]
     assert sorted(covered) == sorted(map(str, range(205)))
     assert max(r.n_items for r in got) <= 20
     assert len({r.batch_id for r in got}) == len(got)
 
 
+def test_batches_of_other_buckets_keep_their_ids(spark):
+    before = {r.batch_id: r.bucket for r in incremental.make_batches(ids_frame(spark, range(60)), 7, buckets=4).collect()}
+    more = ids_frame(spark, range(5000, 5003))
+    touched = {r.bucket for r in incremental.make_batches(more, 7, buckets=4).collect()}
+    after = incremental.make_batches(ids_frame(spark, range(60)).unionByName(more), 7, buckets=4).collect()
+    kept = {i for i, bucket in before.items() if bucket not in touched}
+    assert kept and kept <= {r.batch_id for r in after}
+
+
+def test_missing_severity_that_is_filled_counts_as_changed(spark):
+    df = spark.createDataFrame([(None,), ("\tMild\n",), ("Hospitalization\n",)], "s string")
+    got = df.select(explain.normalized_count(F.col("s"), severity.severity_by_ladder(F.col("s"))).alias("n")).first()
+    assert got.n == 2
+
+
+def test_versions_of_a_report_are_chosen_by_content(spark):
+    rows = [("1", "a", "20240101", v) for v in "cab"]
+    df = spark.createDataFrame(rows, "safetyreportid string, drug string, receivedate string, v string")
+    for parts in (1, 3):
+        shuffled = df.repartition(parts, "v")
+        assert ranking.dedup_reports(shuffled, ["a"], then_by=["receivedate"]).first().v == "a"
+        assert sorted(r.v for r in ranking.cap_per_drug(shuffled, 2).collect()) == ["a", "b"]
+
+
+def test_product_names_are_no_symptoms(spark):
+    df = spark.createDataFrame([("1", "patient taking RASHOFF experienced: Nausea", "Nausea", "RASHOFF")], "safetyreportid string, patient_summary_text string, reactions string, drugs_involved string")
+    got = categorize.categorize_rules(df).first()
+    assert (got.primary_organ_system, got.likely_causal_drug) == ("gastrointestinal", "RASHOFF")
+
+
 def test_label_batches_checked_and_merged(spark):
     good = {"reports": [{"id": 7, "severity": "Hospitalization", "category_tags": ["x"]}, {"id": "8", "severity": "odd"}]}
     again = {"reports": [{"id": "7", "severity": "mild"}]}
@@ -322,7 +353,8 @@ def test_precision_of_published_labels(spark):
 
 def test_seeded_truth(spark):
     df = spark.createDataFrame([("amoxicillin", "2022-11-22"), ("amoxicillin", "2022-03-02")], "drug string, date string")
-    got = {r.date: r.is_real_signal for r in evaluate.ground_truth_template(df).collect()}
+    seeds = {("amoxicillin", "2022-11-22"): {"is_real_signal": "Y"}}
+    got = {r.date: r.is_real_signal for r in evaluate.ground_truth_template(df, seeds).collect()}
     assert got == {"2022-11-22": "Y", "2022-03-02": ""}
 
 
