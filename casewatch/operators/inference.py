@@ -39,6 +39,27 @@ def _regroup(results, rows):
         yield pd.concat(held, ignore_index=True)
 
 
+def _guarded(schema, id_column):
+    """A function of (model, batch) that returns checked answers, or the batch's ids with the reason."""
+    names = [f.name for f in schema.fields]
+    types = to_arrow_schema(schema)
+
+    def answer(model, batch):
+        try:
+            result = model(batch)[names].astype(object)
+            pa.RecordBatch.from_pandas(result, types, preserve_index=False)  # refuses values of another type
+            if result[id_column].duplicated().any() or not result[id_column].isin(batch[id_column]).all():
+                raise ValueError("answers to ids that were not asked, or repeated ones")
+            result["error"] = None
+        except Exception as failure:  # noqa: BLE001 - any model failure is isolated
+            result = pd.DataFrame({n: [None] * len(batch) for n in names}, dtype=object)
+            result[id_column] = batch[id_column].to_numpy()
+            result["error"] = f"{type(failure).__name__}: {failure}"
+        return result
+
+    return answer
+
+
 def infer(df, load, schema, batch_size, id_column="safetyreportid"):
     """Run a model over df and isolate failing batches.
 
@@ -49,23 +70,12 @@ def infer(df, load, schema, batch_size, id_column="safetyreportid"):
     and come back in the next run.
     """
     out = T.StructType([*schema.fields, ERROR])
-    names = [f.name for f in schema.fields]
-    types = to_arrow_schema(schema)
+    answer = _guarded(schema, id_column)
 
     def answers(frames):
         model = load()
         for batch in _slices(frames, batch_size):
-            try:
-                result = model(batch)[names].astype(object)
-                pa.RecordBatch.from_pandas(result, types, preserve_index=False)  # refuses values of another type
-                if result[id_column].duplicated().any() or not result[id_column].isin(batch[id_column]).all():
-                    raise ValueError("answers to ids that were not asked, or repeated ones")
-                result["error"] = None
-            except Exception as failure:  # noqa: BLE001 - any model failure is isolated
-                result = pd.DataFrame({n: [None] * len(batch) for n in names}, dtype=object)
-                result[id_column] = batch[id_column].to_numpy()
-                result["error"] = f"{type(failure).__name__}: {failure}"
-            yield result
+            yield answer(model, batch)
 
     def run(frames):
         yield from _regroup(answers(frames), ROWS_PER_RESULT)
@@ -73,6 +83,22 @@ def infer(df, load, schema, batch_size, id_column="safetyreportid"):
     return df.mapInPandas(run, out)
 
 
+def infer_batches(batches, load, schema, id_column="id"):
+    """Run a model once per batch of make_batches: its batch_id, answers and `error`, as in infer."""
+    out = T.StructType([T.StructField("batch_id", T.StringType()), *schema.fields, ERROR])
+    types, answer = to_arrow_schema(out), _guarded(schema, id_column)
+
+    def run(tables):
+        model = load()
+        for table in tables:
+            for batch_id, items in zip(table.column(0), table.column(1), strict=True):
+                result = answer(model, pa.RecordBatch.from_struct_array(items.values).to_pandas())
+                result.insert(0, "batch_id", batch_id.as_py())
+                yield pa.RecordBatch.from_pandas(result, types, preserve_index=False)
+
+    return batches.select("batch_id", "items").mapInArrow(run, out)
+
+
 def succeeded(results):
     return results.filter("error is null").drop("error")
 

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from casewatch import config
 from casewatch.functions.text import blank_if_missing, join_tags
 from casewatch.operators.incremental import pending, upsert
-from casewatch.operators.inference import infer
+from casewatch.operators.inference import infer, succeeded
 from casewatch.operators.ranking import top_n_per_key
 
 METADATA = ("drug", "primary_organ_system", "severity", "likely_causal_drug", "category_tags", "receivedate")
@@ -67,16 +67,18 @@ def embed_with(docs, load, batch_size=config.EMBED_BATCH, id_column="id"):
     return infer(docs, load, schema, batch_size, id_column)
 
 
-def build_vectors(reports, store, model, text="patient_summary_text", id_column="safetyreportid"):
-    """Embed the reports that the store lacks and return the new version of the store."""
+def build_vectors(reports, store, model=None, text="patient_summary_text", id_column="safetyreportid", load=None):
+    """Embed the reports that the store lacks and return the new version of the store.
+
+    model: from fit_embedding; load: a model for embed_with instead. Reports of its failed batches stay pending.
+    """
     rows = reports.withColumn(id_column, F.col(id_column).cast("string"))
     todo = pending(rows, store, id_column, "id")
-    new = embed(
-        vector_metadata(todo).select(
-            F.col(id_column).alias("id"), F.col(text).alias("document"), *METADATA
-        ),
-        model,
-    )
+    docs = vector_metadata(todo).select(F.col(id_column).alias("id"), F.col(text).alias("document"), *METADATA)
+    if load is None:
+        new = embed(docs, model)
+    else:
+        new = docs.join(succeeded(embed_with(docs.select("id", "document"), load)), "id")
     return upsert(store, new.select(*store.columns))
 
 

@@ -481,9 +481,24 @@ def statements():
         "categorized",
     )
     s["inference_errors"] = (
-        "SELECT CAST(doc_id AS VARCHAR) AS safetyreportid, CASE WHEN NOT bad THEN length(text) END AS n, "
-        "CASE WHEN bad THEN 'ValueError: refused' END AS error "
-        f"FROM (SELECT doc_id, text, {_toxic('text')} AS bad FROM documents)"
+        "WITH n AS (SELECT *, CAST(floor((row_number() OVER (PARTITION BY bucket ORDER BY id) - 1) / 5) AS INT) AS batch "
+        "FROM (SELECT CAST(doc_id AS VARCHAR) AS id, text, CAST('0x' || substr(sha256(CAST(doc_id AS VARCHAR)), 1, 8) "
+        f"AS BIGINT) % {BATCH_BUCKETS} AS bucket FROM documents)), g AS (SELECT bucket, batch, "
+        f"bool_or({_toxic('text')}) AS bad, substr(sha256('[\"' || string_agg(id, '\", \"' ORDER BY id) || '\"]'), 1, 24) "
+        "AS batch_id FROM n GROUP BY bucket, batch) SELECT batch_id, id, CASE WHEN NOT bad THEN length(text) END AS n, "
+        "CASE WHEN bad THEN 'ValueError: refused' END AS error FROM n JOIN g USING (bucket, batch)"
+    )
+    s["embed_model"] = (
+        "SELECT CAST(doc_id AS VARCHAR) AS id, CASE WHEN lang <> 'de' THEN source ELSE '' END AS drug, "
+        "CAST(length(text) AS DOUBLE) AS length, CAST(length(text) - length(replace(text, ' ', '')) AS DOUBLE) AS blanks "
+        "FROM documents"
+    )
+    s["judge_model"] = _sql(
+        f"SELECT substr(sha256(drug || '_' || date), 1, 16) AS entity_id, drug, {_DAY}, CAST(0.5 AS DOUBLE) AS score, "
+        "sha256('SOURCES:' || chr(10) || context || chr(10) || chr(10) || 'CLAIM:' || chr(10) || claim) AS justification "
+        "FROM claims JOIN bundle USING (drug, date)",
+        "claims",
+        "bundle",
     )
 
     s["gap_fill"] = _sql(f"SELECT drug, {_DAY}, cnt AS count FROM filled", "filled")
@@ -596,6 +611,14 @@ def statements():
         "flagged",
         "bundle",
     )
+    s["explain_model"] = _sql(
+        "SELECT drug, f.date AS date, f.count AS count, zscore, n_context_reports, sha256(stats) AS summary, 'x' AS organs "
+        f"FROM (SELECT drug, CAST(date AS VARCHAR) AS date, count, zscore FROM flagged) f JOIN ("
+        + s["stats_block"][s["stats_block"].rindex("SELECT drug, CAST(date") :]
+        + ") USING (drug, date) JOIN (SELECT drug, CAST(date AS VARCHAR) AS date, n_context_reports FROM bundle) USING (drug, date)",
+        "flagged",
+        "bundle",
+    )
     s["explain_extractive"] = _sql(
         f"SELECT * REPLACE (CAST(date AS VARCHAR) AS date) FROM explained", "explained"
     )

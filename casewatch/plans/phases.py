@@ -29,6 +29,20 @@ JUDGED = T.StructType(
 )
 
 
+SLICES = 16
+
+
+def append_in_slices(todo, id_column, work, results, slices=SLICES):
+    """work(part) appended to the result folder for one part of the ids after another.
+
+    A model's answers cost: a run that breaks keeps those of its finished parts, and the next run does not
+    ask for them again. todo is staged, because results grow while it is read.
+    """
+    todo = staged(todo, "todo")
+    for part in range(slices):
+        files.append_results(work(todo.filter(ids.hash_bucket(F.col(id_column), slices) == part)), results)
+
+
 # ---- 1: reports in
 
 
@@ -67,23 +81,28 @@ def categorize_pending(
     rules=None,
     per_drug=None,
     batch_size=config.CATEGORIZE_BATCH,
+    slices=SLICES,
 ):
     """Label the reports without a label and append the good rows to the result folder.
 
     load: a model for `inference.infer`, or None for the keyword rules. run_id orders the
-    runs. Failed batches are left out, so the next run takes them again.
+    runs. Failed batches are left out, so the next run takes them again. A model's labels are
+    appended in slices.
     """
     rows = files.required_parquet(spark, summaries, schemas.PATIENT_SUMMARIES, "Ingest reports first.")
     done = files.optional_parquet(spark, results, LABELS).select(F.col("id").alias("safetyreportid")).distinct()
     todo = incremental.pending_sample(rows, done, per_drug)
+
+    def stamped(labels):
+        return labels.select(
+            F.lit(run_id).cast("string").alias("batch_id"), F.lit(0).cast("bigint").alias("position"), *schemas.LABEL_ROW.names
+        )
+
     if load is None:
-        labels = categorize.categorize_rules(todo, rules)
+        files.append_results(stamped(categorize.categorize_rules(todo, rules)), results)
     else:
-        labels = inference.succeeded(categorize.categorize(todo, load, batch_size))
-    stamped = labels.select(
-        F.lit(run_id).cast("string").alias("batch_id"), F.lit(0).cast("bigint").alias("position"), *schemas.LABEL_ROW.names
-    )
-    files.append_results(stamped, results)
+        label = lambda part: stamped(inference.succeeded(categorize.categorize(part, load, batch_size)))
+        append_in_slices(todo, "safetyreportid", label, results, slices)
 
 
 def import_label_batches(spark, folder, results):
@@ -124,14 +143,17 @@ def labels_status(spark, summaries, results):
 # ---- 3: vectors
 
 
-def build_store(spark, categorized, new_store, old_store=None, model_path=None):
+def build_store(spark, categorized, new_store, old_store=None, model_path=None, load=None):
     """Write the next version of the vector store; only reports it lacks are embedded.
 
     The embedding is fitted with the first version and saved at model_path; later versions
-    load it, so all vectors stay comparable.
+    load it, so all vectors stay comparable. load: a model for vectors.embed_with instead.
     """
     reports = files.required_parquet(spark, categorized, CATEGORIZED, "Merge labels first.")
-    if old_store is None:
+    if load is not None:
+        model = None
+        store = files.optional_parquet(spark, old_store, schemas.VECTORS) if old_store else spark.createDataFrame([], schemas.VECTORS)
+    elif old_store is None:
         store = spark.createDataFrame([], schemas.VECTORS)
         model = vectors.fit_embedding(reports.select(F.col("patient_summary_text").alias("document")))
         if model_path:
@@ -139,13 +161,14 @@ def build_store(spark, categorized, new_store, old_store=None, model_path=None):
     else:
         store = spark.read.schema(schemas.VECTORS).parquet(old_store)
         model = PipelineModel.load(model_path)
-    files.write_parquet(vectors.build_vectors(reports, store, model), new_store)
+    files.write_parquet(vectors.build_vectors(reports, store, model, load=load), new_store)
     return model
 
 
-def search_text(spark, store, model, text, k=config.SEARCH_K, where=None):
-    """Nearest stored reports to a text, with their documents and metadata."""
-    question = vectors.embed(spark.createDataFrame([(text,)], "document string"), model)
+def search_text(spark, store, model, text, k=config.SEARCH_K, where=None, load=None):
+    """Nearest stored reports to a text, with their documents and metadata; load as in build_store."""
+    asked = spark.createDataFrame([("question", text)], "id string, document string")
+    question = vectors.embed(asked, model) if load is None else inference.succeeded(vectors.embed_with(asked, load, 1))
     stored = spark.read.schema(schemas.VECTORS).parquet(store)
     hits = vectors.search(stored, [question.first()["embedding"]], k, where)
     shown = ["document", "drug", "primary_organ_system", "severity"]
@@ -181,17 +204,28 @@ def diagnose(
     rules=None,
     n=config.CONTEXT_REPORTS,
     days=config.CONTEXT_DAYS,
+    load=None,
+    batch_size=1,
+    slices=SLICES,
 ):
-    """Explain the flagged days that have no explanation yet; days without reports are skipped."""
+    """Explain the flagged days that have no explanation yet; days without reports are skipped.
+
+    load: a model for diagnostics.explain_with, or None for the extractive explanations. A model's
+    answers are appended in slices; days whose batch failed stay open.
+    """
     table = files.read_csv(spark, anomalies, schemas.ANOMALIES)
     flagged = detection.high_confidence(table).withColumn("entity_id", _explanation_id())
     todo = incremental.pending(flagged, files.optional_parquet(spark, results, EXPLAINED), "entity_id")
     reports = files.read_report_pages(spark, pages).withColumn(
         "drug", F.explode(flatten.tracked_drugs_named(F.col("patient.drug"), drugs))
     )
-    explained = explain.explain_extractive(diagnostics.labelled_context(todo, reports, rules, n, days))
-    rows = explained.withColumn("entity_id", _explanation_id()).withColumn("date", F.col("date").cast("string"))
-    files.append_results(rows.select(*EXPLAINED.names), results)
+    found = diagnostics.labelled_context(todo, reports, rules, n, days)
+    as_stored = lambda rows: rows.withColumn("date", F.col("date").cast("string")).select(*EXPLAINED.names)
+    if load is None:
+        files.append_results(as_stored(explain.explain_extractive(found).withColumn("entity_id", _explanation_id())), results)
+    else:
+        answered = lambda part: as_stored(inference.succeeded(diagnostics.explain_with(part, load, batch_size)))
+        append_in_slices(diagnostics.to_explain(staged(found, "context"), days), "entity_id", answered, results, slices)
 
 
 def merge_diagnoses(spark, results, out):
@@ -263,8 +297,14 @@ def judge(
     drugs=config.DRUGS,
     n=config.CONTEXT_REPORTS,
     days=config.CONTEXT_DAYS,
+    load=None,
+    batch_size=1,
+    slices=SLICES,
 ):
-    """Score the explanations that have no score yet. Returns mean score and count of all."""
+    """Score the explanations that have no score yet. Returns mean score and count of all.
+
+    load: a model for diagnostics.judge_with, or None for word coverage; its scores are appended in slices.
+    """
     rows = files.read_csv(spark, explanations, schemas.EXPLANATIONS).withColumn(
         "entity_id", ids.entity_id(F.col("drug"), F.col("date"))
     )
@@ -274,9 +314,13 @@ def judge(
         "drug", F.explode(flatten.tracked_drugs_named(F.col("patient.drug"), drugs))
     )
     found = diagnostics.labelled_context(todo, reports, None, n, days)
-    scores = evaluate.faithfulness(todo, context.context_bundle(found), context.claim_text())
-    rows = scores.withColumn("date", F.col("date").cast("string")).withColumn(
-        "entity_id", ids.entity_id(F.col("drug"), F.col("date"))
-    )
-    files.append_results(rows.select(*SCORED.names), results)
+    bundles = context.context_bundle(found)
+    as_stored = lambda rows: rows.withColumn("date", F.col("date").cast("string")).select(*SCORED.names)
+    if load is None:
+        scores = evaluate.faithfulness(todo, bundles, context.claim_text())
+        entity = ids.entity_id(F.col("drug"), F.col("date").cast("string"))
+        files.append_results(as_stored(scores.withColumn("entity_id", entity)), results)
+    else:
+        answered = lambda part: as_stored(inference.succeeded(diagnostics.judge_with(part, load, batch_size)))
+        append_in_slices(diagnostics.to_judge(todo, bundles), "entity_id", answered, results, slices)
     return evaluate.score_summary(spark.read.schema(SCORED).parquet(results))

@@ -1,5 +1,8 @@
 """Registered queries: each one runs an operator over the whole of the given tables."""
 
+import hashlib
+
+import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,6 +35,7 @@ QUERIES = {}
 FIXED_WEIGHTS = (0.3, 0.05, 0.1)
 LIST_SEPARATOR = "|"
 BATCH_BUCKETS = 16
+REFUSED_BATCH = 5
 
 
 def query(fn):
@@ -521,20 +525,74 @@ def _refusing_model():
         for value in batch["text"]:
             if any(word in value.lower() for word in b.TOXIC_WORDS):
                 raise ValueError("refused")
-        return batch.assign(n=batch["text"].str.len())[["safetyreportid", "n"]]
+        return batch.assign(n=batch["text"].str.len())[["id", "n"]]
+
+    return model
+
+
+def _digest_model(*columns):
+    """A model that answers with the digest of the text it got, so that SQL can tell what it was given."""
+
+    def load():
+        def model(batch):
+            digests = [hashlib.sha256(value.encode()).hexdigest() for value in batch["text"]]
+            answer = {"entity_id": batch["entity_id"], "score": 0.5, "dominant_organ_systems": [["x"]] * len(batch)}
+            answer |= {c: digests for c in columns}
+            known = ("summary", "dominant_severity", "notable_pattern", "confidence_caveat", "justification")
+            return pd.DataFrame({c: None for c in known if c not in answer} | answer, index=batch.index)
+
+        return model
+
+    return load
+
+
+def _length_model():
+    """An embedding by the length of a text and its number of blanks; it gives no vector to empty texts."""
+
+    def model(batch):
+        texts = batch["document"]
+        vectors_ = [[float(len(t)), float(t.count(" "))] for t in texts]
+        return pd.DataFrame({"id": batch["id"], "embedding": vectors_})
 
     return model
 
 
 @query
 def inference_errors(spark, sf):
-    docs = b.spread_table(spark, sf, "documents").select(
-        F.col("doc_id").cast("string").alias("safetyreportid"), "text"
-    )
-    schema = T.StructType(
-        [T.StructField("safetyreportid", T.StringType()), T.StructField("n", T.LongType())]
-    )
-    return inference.infer(docs, lambda: _refusing_model(), schema, batch_size=1)
+    """A refused text fails exactly the batch that it is in."""
+    docs = b.table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("safetyreportid"), "text")
+    batches = incremental.make_batches(docs, REFUSED_BATCH, BATCH_BUCKETS, payload=("text",))
+    schema = T.StructType([T.StructField("id", T.StringType()), T.StructField("n", T.LongType())])
+    return inference.infer_batches(batches, lambda: _refusing_model(), schema)
+
+
+@query
+def explain_model(spark, sf):
+    """Explanations by a model, which gets the figures and the numbered reports of a flagged day."""
+    asked = staged(diagnostics.to_explain(staged(labelled_context(spark, sf), "context")), "asked")
+    rows = inference.succeeded(diagnostics.explain_with(asked, _digest_model("summary"), 4))
+    return rows.select("drug", "date", "count", "zscore", "n_context_reports", "summary", joined("dominant_organ_systems").alias("organs"))
+
+
+@query
+def judge_model(spark, sf):
+    """Scores by a model, which gets the numbered sources and the claim of an explanation."""
+    found = staged(labelled_context(spark, sf), "context")
+    asked = diagnostics.to_judge(explain.explain_extractive(found), context.context_bundle(found))
+    rows = inference.succeeded(diagnostics.judge_with(staged(asked, "asked"), _digest_model("justification"), 4))
+    return rows.select("entity_id", "drug", "date", "score", "justification")
+
+
+@query
+def embed_model(spark, sf):
+    """A store built by a pluggable embedding; labelled documents are stored already."""
+    reports = _document_rows(spark, sf)
+    done = b.table(spark, sf, "labels").select(F.col("doc_id").cast("string").alias("safetyreportid"))
+    empty = spark.createDataFrame([], schemas.VECTORS)
+    first = vectors.build_vectors(reports.join(done, "safetyreportid", "left_semi"), empty, load=lambda: _length_model())
+    built = vectors.build_vectors(reports, staged(first, "store"), load=lambda: _length_model())
+    component = lambda i: F.element_at("embedding", i).cast("double")
+    return built.select("id", "drug", component(1).alias("length"), component(2).alias("blanks"))
 
 
 # ---- series

@@ -4,10 +4,12 @@ import datetime as dt
 import json
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from casewatch.plans import phases
+from casewatch.sources import files
 
 START = dt.date(2023, 1, 1)
 DRUGS = ("metformin", "ibuprofen")
@@ -112,6 +114,79 @@ def test_counts_to_explanations_to_scores(spark, folder):
     assert (got.n_flagged, got.n_labelled, got.precision) == (once, 1, 1.0)
 
 
+def logged(log, answer):
+    """A model that writes the ids it is asked to a file."""
+
+    def load():
+        def model(batch):
+            with open(log, "a") as f:
+                f.writelines(f"{i}\n" for i in batch.iloc[:, 0])
+            return answer(batch)
+
+        return model
+
+    return load
+
+
+def test_broken_run_keeps_what_a_model_has_answered(spark, tmp_path, monkeypatch):
+    rows = [(str(i), "a", "20240101", "male", "1", "Rash", "A", "", f"text {i}") for i in range(60)]
+    spark.createDataFrame(rows, phases.schemas.PATIENT_SUMMARIES).write.parquet(str(tmp_path / "summaries"))
+    summaries, results, log = (str(tmp_path / n) for n in ("summaries", "labels", "log"))
+
+    def answer(batch):
+        tags = [["t"]] * len(batch)
+        return pd.DataFrame({"id": batch["id"], "category_tags": tags}).assign(
+            primary_organ_system="x", severity="mild", likely_causal_drug=None, rationale=None
+        )
+
+    append, calls = files.append_results, []
+
+    def breaks(df, path):
+        calls.append(path)
+        if len(calls) == 3:
+            raise RuntimeError("lost")
+        append(df, path)
+
+    monkeypatch.setattr(files, "append_results", breaks)
+    with pytest.raises(RuntimeError, match="lost"):
+        phases.categorize_pending(spark, summaries, results, 1, logged(log, answer), batch_size=5, slices=4)
+    assert 0 < spark.read.parquet(results).count() < 60
+    phases.categorize_pending(spark, summaries, results, 2, logged(log, answer), batch_size=5, slices=4)
+    asked = open(log).read().split()
+    assert len(asked) == len(set(asked)) == 60 == spark.read.parquet(results).count()
+
+
+def test_models_explain_judge_and_embed(spark, folder):
+    pages, anomalies, categorized = (at(folder, n) for n in ("pages", "anomalies", "categorized"))
+    results, scores, merged, log = (at(folder, n) for n in ("m-explained", "m-scores", "m-merged", "log"))
+
+    def explain(batch):
+        assert batch["text"].str.startswith("Drug: ").all()
+        systems = [["Hepatic"]] * len(batch)
+        return pd.DataFrame({"entity_id": batch["entity_id"], "dominant_organ_systems": systems}).assign(
+            summary="s", dominant_severity="Death", notable_pattern="p", confidence_caveat="c"
+        )
+
+    def score(batch):
+        assert batch["text"].str.contains("CLAIM:\nOrgan systems affected: ['hepatic']", regex=False).all()
+        return pd.DataFrame({"entity_id": batch["entity_id"], "score": 0.25, "justification": "j"})
+
+    for _ in range(2):
+        phases.diagnose(spark, anomalies, pages, results, DRUGS, load=logged(log, explain), slices=2)
+    assert len(open(log).read().split()) == spark.read.parquet(results).count() > 0
+    phases.merge_diagnoses(spark, results, merged)
+    found = phases.judge(spark, merged, pages, scores, DRUGS, load=logged(log, score), slices=2).first()
+    assert (found.mean_score, found.n) == (0.25, spark.read.parquet(results).count())
+
+    def lengths(batch):
+        return pd.DataFrame({"id": batch["id"], "embedding": [[1.0, float("Jaundice" in t)] for t in batch["document"]]})
+
+    store = at(folder, "m-store")
+    phases.build_store(spark, categorized, store, load=lambda: lengths)
+    hits = phases.search_text(spark, store, None, "Jaundice", 3, load=lambda: lengths).collect()
+    assert len(hits) == 3 and all("Jaundice" in h.document for h in hits)
+
+
 def test_imported_batches_and_foreign_tables(spark, tmp_path):
     folder = tmp_path / "batches"
     folder.mkdir()
