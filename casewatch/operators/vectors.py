@@ -13,6 +13,7 @@ from casewatch.functions.text import blank_if_missing, join_tags
 from casewatch.operators.incremental import pending, upsert
 from casewatch.operators.inference import infer, succeeded
 from casewatch.operators.ranking import top_n_per_key
+from casewatch.sources.workspace import staged
 
 METADATA = ("drug", "primary_organ_system", "severity", "likely_causal_drug", "category_tags", "receivedate")
 
@@ -164,8 +165,13 @@ def fit_lsh(vectors, bucket_length=1.0, tables=6, seed=config.SEED):
 
 
 def search_lsh(model, rows, query, k=config.SEARCH_K):
-    """Approximate top k for unit vectors: similarity = 1 - distance^2 / 2."""
+    """Approximate top k for unit vectors: similarity = 1 - distance^2 / 2.
+
+    Where the buckets of the query hold fewer than k vectors, the exact search answers, so k rows come back
+    from any store that has them.
+    """
     from pyspark.ml.linalg import Vectors
 
     near = model.approxNearestNeighbors(rows, Vectors.dense(query), k, distCol="distance")
-    return near.select("id", (1 - F.col("distance") * F.col("distance") / 2).alias("similarity"))
+    hits = staged(near.select("id", (1 - F.col("distance") * F.col("distance") / 2).alias("similarity")), "near")
+    return hits if hits.count() >= k else search(rows, [query], k).select("id", "similarity")

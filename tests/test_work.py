@@ -229,6 +229,13 @@ def test_lsh_recall_against_exact(spark, folder):
     assert found / 25 >= 0.6
 
 
+def test_lsh_answers_exactly_where_buckets_are_too_small(spark):
+    matrix = np.eye(6, dtype=np.float32)
+    model, rows = vectors.fit_lsh(vector_frame(spark, matrix), bucket_length=0.01, tables=1)
+    got = vectors.search_lsh(model, rows, matrix[2].astype(float), 5).collect()
+    assert len(got) == 5 and "2" in {r.id for r in got}
+
+
 def test_embedding_is_unit_length_and_finds_itself(spark):
     texts = ["severe liver damage after tablets", "mild headache", "liver failure and jaundice", "knee pain"]
     docs = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "id string, document string")
