@@ -121,7 +121,8 @@ def write_csv(df, path, partition_by=None, mode="errorifexists"):
 
 
 def write_parquet(df, path, partition_by=None, mode="errorifexists"):
-    writer = df.write.mode(mode)
+    """partition_by: rows of a value meet in tasks of about equal size first, so that folders get few large files."""
+    writer = (df.hint("rebalance", partition_by) if partition_by else df).write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
