@@ -11,10 +11,12 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from casewatch.llm import (
     boosted_trees,
     context_tree,
     decontamination,
+    jaccard_dedup,
     line_frequency,
     personal_data,
     quality_classifier,
@@ -79,6 +81,7 @@ OPERATORS = {
     "personal": lambda s, d: personal_data.report(d),
     "redacted": lambda s, d: personal_data.redacted(d),
     "toxicity": lambda s, d: toxicity.classify(d, toxicity.learn(d, labels(s))),
+    "jaccard": lambda s, d: jaccard_dedup.near_duplicates(d),
     "simhash": lambda s, d: simhash_dedup.near_duplicates(d),
     "substring": lambda s, d: substring_dedup.deduplicated(d),
 }
@@ -147,6 +150,43 @@ def test_links_equal_all_pairs(spark):
     assert len(got) == len(set(got)) and set(got) == want
 
 
+def test_shingle_components_equal_all_pairs(spark):
+    """Copies with scattered edits, a passage that many texts hold, chains, short texts: as by comparing all pairs."""
+    rng = np.random.default_rng(7)
+    passage = [f"p{i}" for i in range(30)]
+    rows = [(500, "", "s"), (501, None, "s"), (502, "one two", "s"), (503, "ONE  two", "s"), (504, "one two three", "s")]
+    for group in range(12):
+        words = [f"w{group}x{i}" for i in range(150)] + passage
+        for copy in range(14):
+            for at in rng.choice(len(words), 1 + copy % 2, replace=False):
+                words = words[:at] + [f"e{group}x{copy}x{at}"] + words[at + 1 :]  # each copy drifts from the last one
+            rows.append((group * 20 + copy, " ".join(words), "s"))
+
+    def sets(text):
+        w = (text or "").lower().split()
+        return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+    found = {i: sets(t) for i, t, _ in rows}
+    label = {i: i for i in found}
+    for a in found:
+        for b in found:
+            union = len(found[a] | found[b])
+            if a < b and label[a] != label[b] and (not union or 5 * len(found[a] & found[b]) >= 4 * union):
+                x, y = sorted((label[a], label[b]))
+                label = {i: x if v == y else v for i, v in label.items()}
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_dedup.near_duplicates(docs(spark, rows)).collect()}
+    assert got == label and len(set(label.values())) < len(rows) / 2
+
+
+def test_pipeline_drops_copies_of_jaccard_0_8(spark, folder):
+    words = [f"w{i}" for i in range(200)]
+    near = words[:60] + ["x"] + words[61:140] + ["y"] + words[141:]
+    far = [w if i % 25 else "z" for i, w in enumerate(words)]
+    rows = [(1, " ".join(words), "s"), (2, " ".join(near), "s"), (3, " ".join(far), "s")]
+    kept = corpus_pipeline.near_duplicates(spark, docs(spark, rows), folder)
+    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 3]
+
+
 def test_components_along_a_chain(spark):
     n = 40
     nodes = spark.createDataFrame([(i, 1000 - i) for i in range(n)], "fp long, doc_id long")
