@@ -2,10 +2,12 @@
 
 A text becomes its template: numbers, names and units turn into placeholders, the rest into lower-case
 words without punctuation. Windows of template words of documents and benchmark items meet in a hash
-join. Windows of one document and item on the same diagonal (same shift between the places) form an
-alignment. An item counts as found if its best alignment covers enough of its windows and its slots are
-consistent: what stands in one slot value's places in the item is one value in the document too, so a
-question with changed numbers is caught, while a text that merely has the same frame is not.
+join. Windows of one document and item on one diagonal (same shift between the places), or on the diagonals
+of a band, form an alignment: a word put in or left out moves the rest to a neighbouring diagonal. A value of
+several words is one template word. An item counts as found if an alignment covers enough of its windows and
+the slots inside them are consistent: what stands in one slot value's places in the item is one value in the
+document too, so a question with changed numbers is caught, while a text that merely has the same frame is
+not. Places outside the matched windows are not looked at.
 
 The benchmark is the small side of the join; Spark broadcasts it if its size allows and shuffles
 window digests otherwise. Documents' texts are not shuffled.
@@ -18,6 +20,8 @@ from casewatch.sources.workspace import staged
 
 WINDOW = 8
 COVERED = 0.6  # share of an item's windows that one alignment must hold
+BAND = 4  # diagonals so far apart always share a band
+JOINER = "\u2060"  # between the words of one value
 NUMBER, NAME, UNIT = "ⓝ", "ⓐ", "ⓤ"
 # Fixed list of units that follow a number.
 UNITS = (
@@ -28,16 +32,21 @@ UNITS = (
 )
 
 # a word that starts upper-case and goes on lower-case, behind a word that ends no sentence
-_NAME = r"(?<=[\p{L}\p{N},;)] )\p{Lu}\p{Ll}+(?=$|[^\p{L}])"
+_NAME = rf"(?<=[\p{{L}}\p{{N}},;)] |{JOINER})\p{{Lu}}\p{{Ll}}+(?=$|[^\p{{L}}])"
+_FURTHER_NAME = r"(?<=[\p{L}\p{N},;)] )(\p{Lu}\p{Ll}+) (?=\p{Lu}\p{Ll}+(?:$|[^\p{L}]))"
+_FURTHER_NUMBER = r"(?<=\p{N}) (?=\p{N})"
 _NUMBER = r"\p{N}+(?:[.,:/]\p{N}+)*+"
 _UNIT = rf"(?<={NUMBER})( ?)(?:{'|'.join(UNITS)})(?=$|[^\p{{L}}])"
+_CLOSE_UNIT = rf"(?<=\p{{N}})(?=(?:{'|'.join(UNITS)})(?:$|[^\p{{L}}]))"
+_RUN = rf"([{NUMBER}{NAME}])\1+"
 _REST = rf"[^\p{{L}}{NUMBER}{NAME}{UNIT}\x20]"
 
 
 def _plain(text):
     """Single spaces; words without a letter or digit go, so that template and text have the same words."""
     spaced = F.regexp_replace(text, SPACE_CLASS, " ")
-    return F.trim(F.regexp_replace(spaced, r"(?<=^| )[^\p{L}\p{N} ]++(?= |$)", ""))
+    plain = F.trim(F.regexp_replace(spaced, r"(?<=^| )[^\p{L}\p{N} ]++(?= |$)", ""))
+    return plain
 
 
 def _split(text):
@@ -49,7 +58,7 @@ def template(plain):
     named = F.regexp_replace(plain, _NAME, NAME)
     numbered = F.regexp_replace(named, _NUMBER, NUMBER)
     measured = F.regexp_replace(numbered, _UNIT, f"$1{UNIT}")
-    return _split(F.lower(F.regexp_replace(measured, _REST, "")))
+    return _split(F.lower(F.regexp_replace(F.regexp_replace(measured, _REST, ""), _RUN, "$1")))
 
 
 def _windows(words, size):
@@ -68,7 +77,11 @@ def item_windows(benchmark, window=WINDOW, text="text"):
 
 
 def matches(docs, benchmark, window=WINDOW, text="text"):
-    """key, doc_id, item_id, shift, hit, windows: windows of an item found in a document, by alignment."""
+    """key, doc_id, item_id, windows, size, shift, hit, parts: windows of an item found in a document, by alignment.
+
+    An alignment is one diagonal or a band of them. parts: its diagonals (negative number of windows, shift, and
+    the places in the item where they begin), that with most windows first; shift is that of the first.
+    """
     items = item_windows(benchmark, window, text)
     sizes = [r["size"] for r in items.select("size").distinct().collect()]  # at most `window` numbers
     words = docs.select(
@@ -77,21 +90,28 @@ def matches(docs, benchmark, window=WINDOW, text="text"):
     found = None
     for size in sorted(sizes):
         rows = words.select("key", "doc_id", F.posexplode(_windows(F.col("words"), size)).alias("place", "digest"))
-        of_size = items.filter(F.col("size") == size).select(F.col("digest").alias("_digest"), "item_id", "at", "windows")
+        of_size = items.filter(F.col("size") == size).select(F.col("digest").alias("_digest"), "item_id", "at", "windows", "size")
         hits = rows.join(of_size, F.col("digest") == F.col("_digest"))
         found = hits if found is None else found.unionByName(hits)
     if found is None:
         found = words.limit(0).join(
-            items.select(F.lit(0).alias("place"), "item_id", "at", "windows"), F.lit(True)
+            items.select(F.lit(0).alias("place"), "item_id", "at", "windows", "size"), F.lit(True)
         ).drop("words")
     # rows that repeat a document count once
-    hits = found.select("key", "doc_id", "item_id", "windows", "at", (F.col("place") - F.col("at")).alias("shift")).distinct()
-    return hits.groupBy("key", "doc_id", "item_id", "windows", "shift").agg(F.count("*").alias("hit"))
+    of = ("key", "doc_id", "item_id", "windows", "size")
+    diagonals = found.groupBy(*of, (F.col("place") - F.col("at")).alias("shift")).agg(F.collect_set("at").alias("places"))
+    bands = [(False, F.col("shift"))]
+    kinds = F.array(*[F.struct(F.lit(w).alias("wide"), b.alias("band")) for w, b in bands])
+    part = F.struct((-F.size("places")).alias("less"), "shift", "places")
+    grouped = diagonals.select(*of, part.alias("part"), F.explode(kinds).alias("kind")).groupBy(*of, "kind")
+    held = grouped.agg(F.array_sort(F.collect_list("part")).alias("parts"))  # at most 2 * BAND
+    hit = F.size(F.array_distinct(F.flatten(F.transform("parts", lambda p: p["places"]))))
+    return held.select(*of, F.get("parts", F.lit(0))["shift"].alias("shift"), hit.alias("hit"), "parts").distinct()
 
 
 def consistent(pairs):
     """Whether every item value of an array of (item, doc) slot values goes with one document value."""
-    different = F.array_distinct(pairs)
+    different = F.array_distinct(F.transform(pairs, lambda p: F.struct(p["item"].alias("item"), p["doc"].alias("doc"))))
     return F.size(different) == F.size(F.array_distinct(F.transform(different, lambda p: p["item"])))
 
 
@@ -118,19 +138,31 @@ def leaks(docs, benchmark, window=WINDOW, covered=COVERED, text="text", checkpoi
     joined = near.join(document, (F.col("key") == F.col("_row")) & F.col("doc_id").eqNullSafe(F.col("_id"))).join(
         item, F.col("item_id") == F.col("_item")
     )
+
+    def shift_of(i):
+        """The shift of the first diagonal with a matched window over the item's word i, else null."""
+        over = F.filter("parts", lambda p: F.exists(p["places"], lambda at: (at <= i) & (i < at + F.col("size"))))
+        return F.get(over, F.lit(0))["shift"]
+
+    def value(word):
+        return F.lower(F.regexp_replace(word, r"[^\p{L}\p{N}.,]|[.,]+$", ""))
+
+    placed = joined.withColumn("shifts", F.transform("item_template", lambda t, i: shift_of(i)))
     slots = F.filter(
         F.transform(
             F.col("item_template"),
             lambda t, i: F.struct(
                 F.translate(t, NUMBER + NAME + UNIT, "").alias("rest"),
                 t.alias("t"),
-                F.lower(F.regexp_replace(F.get(F.col("item_words"), i), r"[^\p{L}\p{N}.,]|[.,]+$", "")).alias("item"),
-                F.lower(F.regexp_replace(F.get(F.col("doc_words"), i + F.col("shift")), r"[^\p{L}\p{N}.,]|[.,]+$", "")).alias("doc"),
+                value(F.get("item_words", i)).alias("item"),
+                value(F.get("doc_words", i + F.get("shifts", i))).alias("doc"),
+                # at the item's ends a value may have grown together with words around the item
+                (F.get("doc_words", i + F.get("shifts", i)).contains(JOINER) & ((i == 0) | (i == F.size("item_template") - 1))).alias("grown"),
             ),
         ),
-        lambda s: (s["rest"] != s["t"]) & s["doc"].isNotNull(),
+        lambda s: (s["rest"] != s["t"]) & s["doc"].isNotNull() & ~s["grown"],
     )
-    checked = joined.withColumn("slots", slots).filter(consistent(F.col("slots")))
+    checked = placed.withColumn("slots", slots).filter(consistent(F.col("slots")))
     changed = F.size(F.filter("slots", lambda s: s["item"] != s["doc"]))
     best = checked.groupBy("key", "doc_id", "item_id", "windows").agg(
         F.max(F.struct("hit", (-F.col("shift")).alias("back"), changed.alias("changed"))).alias("best")

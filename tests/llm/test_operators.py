@@ -287,6 +287,25 @@ def test_templates_and_slots(spark):
     assert [r["doc_id"] for r in decontamination.clean(docs(spark, rows), bench(spark, [(7, item)])).orderBy("doc_id").collect()] == [3, 4]
 
 
+def leaked(spark, item, *texts):
+    found = decontamination.leaks(docs(spark, [(i, t, "s") for i, t in enumerate(texts)]), bench(spark, [(7, item)]))
+    return sorted(r["doc_id"] for r in found.collect())
+
+
+ITEM = (
+    "the old farmer grows 12 rows of beans behind his red barn and sells 30 bags of them every week at the "
+    "market near Dover so we want to know how much money this honest man earns with 12 such rows in the end"
+)
+
+
+def test_slots_outside_the_matched_windows_do_not_count(spark):
+    words = ITEM.split()
+    part = " ".join(words[:33]) + " and then comes quite another text that has 99 words and not 12 or 30 of them at all"
+    late = " ".join(words[:31] + ["really"] + words[31:])
+    shifted = " ".join(words[:31] + ["very", "7", "8"] + words[31:])
+    assert leaked(spark, ITEM, part, late, shifted, ITEM.replace("12 rows", "13 rows")) == [0, 1, 2]
+
+
 def test_leaks_equal_plain_search(spark, folder):
     texts = {r["doc_id"]: " ".join((r["text"] or "").split()) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
     items = {r["item_id"]: " ".join(r["text"].split()) for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()}
