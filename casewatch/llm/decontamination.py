@@ -43,10 +43,14 @@ _REST = rf"[^\p{{L}}{NUMBER}{NAME}{UNIT}\x20]"
 
 
 def _plain(text):
-    """Single spaces; words without a letter or digit go, so that template and text have the same words."""
+    """Single spaces; words without a letter or digit go, so that template and text have the same words.
+
+    Units stand apart from their number, and numbers or names that follow each other are one word.
+    """
     spaced = F.regexp_replace(text, SPACE_CLASS, " ")
     plain = F.trim(F.regexp_replace(spaced, r"(?<=^| )[^\p{L}\p{N} ]++(?= |$)", ""))
-    return plain
+    named = F.regexp_replace(F.regexp_replace(plain, " +", " "), _FURTHER_NAME, f"$1{JOINER}")
+    return F.regexp_replace(F.regexp_replace(named, _FURTHER_NUMBER, JOINER), _CLOSE_UNIT, " ")
 
 
 def _split(text):
@@ -100,7 +104,8 @@ def matches(docs, benchmark, window=WINDOW, text="text"):
     # rows that repeat a document count once
     of = ("key", "doc_id", "item_id", "windows", "size")
     diagonals = found.groupBy(*of, (F.col("place") - F.col("at")).alias("shift")).agg(F.collect_set("at").alias("places"))
-    bands = [(False, F.col("shift"))]
+    band = F.floor(F.col("shift") / BAND).cast("int")
+    bands = [(True, band), (True, band - 1), (False, F.col("shift"))]  # two bands, and the diagonal alone
     kinds = F.array(*[F.struct(F.lit(w).alias("wide"), b.alias("band")) for w, b in bands])
     part = F.struct((-F.size("places")).alias("less"), "shift", "places")
     grouped = diagonals.select(*of, part.alias("part"), F.explode(kinds).alias("kind")).groupBy(*of, "kind")

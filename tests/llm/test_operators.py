@@ -306,6 +306,16 @@ def test_slots_outside_the_matched_windows_do_not_count(spark):
     assert leaked(spark, ITEM, part, late, shifted, ITEM.replace("12 rows", "13 rows")) == [0, 1, 2]
 
 
+def test_single_edits_and_longer_values_keep_an_item_found(spark):
+    words = ITEM.split()
+    middle = len(words) // 2
+    put_in, left_out = words[:middle] + ["clearly"] + words[middle:], words[:middle] + words[middle + 1 :]
+    longer = ITEM.replace("12", "12 000").replace("Dover", "New Haven")
+    item = "a cook needs 5kg of flour and then 3 l of milk for the cakes that he wants to bake for all of us today"
+    assert leaked(spark, ITEM, " ".join(put_in), " ".join(left_out), longer, ITEM.replace("12", "x").replace("and", "or")) == [0, 1, 2]
+    assert leaked(spark, item, item.replace("5kg", "5 kg").replace("3 l", "3l"), item.replace("5kg", "1 200 kg")) == [0, 1]
+
+
 def test_leaks_equal_plain_search(spark, folder):
     texts = {r["doc_id"]: " ".join((r["text"] or "").split()) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
     items = {r["item_id"]: " ".join(r["text"].split()) for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()}
