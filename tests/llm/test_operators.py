@@ -434,6 +434,29 @@ def test_repeats_equal_brute_force(spark):
         assert left[i]["text"] == re.sub("\x00", "", "".join("\x00" if any(a <= k < b for a, b in left[i]["removed"]) else c for k, c in enumerate(t)))
 
 
+def test_passages_inside_longer_sentences_hold_common_units(spark):
+    rng = np.random.default_rng(11)
+
+    def some(n):
+        return [f"w{k}" for k in rng.integers(0, 10**9, n)]
+
+    rows, passages = [], []
+    for i in range(60):
+        passage = some(51 + i % 20)
+        if i % 3 == 1:
+            passage[25] += "."  # the end of one sentence and the start of another
+        passages.append(passage)
+        for copy in range(2):
+            rows.append((2 * i + copy, " ".join(some(rng.integers(0, 40)) + passage + some(rng.integers(0, 40))), "s"))
+    rows += [(1000, " ".join(["junk"] * 300), "s"), (1001, " ".join(some(3) + ["junk"] * 100), "s")]
+    left = {r["doc_id"]: r["text"] for r in substring_dedup.deduplicated(docs(spark, rows)).collect()}
+    for i, passage in enumerate(passages):
+        assert left[2 * i] == rows[2 * i][1]
+        gone = set(rows[2 * i + 1][1].split()) - set(left[2 * i + 1].split())
+        assert gone and gone <= set(passage)
+    assert len(left[1001].split()) < 50
+
+
 def test_boilerplate_counts_distinct_documents(spark):
     line = "Subscribe to our newsletter for more stories like this one today"
     rows = [(i, f"{line}\nshort {i}", "h") for i in range(12)] + [(100 + i, "exact copy " * 6 + "unique", "h") for i in range(40)]
