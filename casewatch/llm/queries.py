@@ -6,6 +6,7 @@ from casewatch.llm import (
     context_tree,
     decontamination,
     line_frequency,
+    periodic_runs,
     personal_data,
     quality_classifier,
     simhash_dedup,
@@ -71,6 +72,10 @@ def op10_substring_dedup(spark, folder):
     return substring_dedup.repeats(table(spark, folder, "documents"))
 
 
+def op11_periodic_runs(spark, folder):
+    return periodic_runs.report(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_context_tree": op1_context_tree,
     "op2_line_frequency": op2_line_frequency,
@@ -82,6 +87,7 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_simhash": op9_simhash,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 SQL = {
     "op2_line_frequency": sql.LINE_FREQUENCY,

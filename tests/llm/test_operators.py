@@ -18,6 +18,7 @@ from casewatch.llm import (
     decontamination,
     jaccard_dedup,
     line_frequency,
+    periodic_runs,
     personal_data,
     quality_classifier,
     queries,
@@ -83,6 +84,8 @@ OPERATORS = {
     "toxicity": lambda s, d: toxicity.classify(d, toxicity.learn(d, labels(s))),
     "jaccard": lambda s, d: jaccard_dedup.near_duplicates(d),
     "simhash": lambda s, d: simhash_dedup.near_duplicates(d),
+    "periodic_runs": lambda s, d: periodic_runs.runs_of(d),
+    "periodic_report": lambda s, d: periodic_runs.report(d),
     "substring": lambda s, d: substring_dedup.deduplicated(d),
 }
 
