@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from casewatch.llm import (
     context_tree,
     decontamination,
+    embedding_whitening,
     line_frequency,
     periodic_runs,
     personal_data,
@@ -76,6 +77,11 @@ def op11_periodic_runs(spark, folder):
     return periodic_runs.report(table(spark, folder, "documents"))
 
 
+def op12_embedding_whitening(spark, folder):
+    found = embedding_whitening.whiten(table(spark, folder, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 QUERIES = {
     "op1_context_tree": op1_context_tree,
     "op2_line_frequency": op2_line_frequency,
@@ -88,6 +94,7 @@ QUERIES = {
     "op9_simhash": op9_simhash,
     "op10_substring_dedup": op10_substring_dedup,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_embedding_whitening": op12_embedding_whitening,
 }
 SQL = {
     "op2_line_frequency": sql.LINE_FREQUENCY,
