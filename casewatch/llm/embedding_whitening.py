@@ -60,6 +60,26 @@ def _matrix(column):
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1).astype(np.int64, copy=False)
 
 
+def _summed(table, of, shape):
+    """Sum over all rows of a matrix that of() tells for a block of them; one small row per entry and task is shuffled."""
+
+    def run(batches):
+        total = None
+        for batch in batches:
+            if batch.num_rows:
+                part = of(_matrix(batch.column(0)))
+                total = part if total is None else total + part
+        if total is not None:
+            entries = [pa.array(np.arange(total.size), pa.int32()), pa.array(total.ravel())]
+            yield pa.RecordBatch.from_arrays(entries, ["at", "part"])
+
+    parts = table.select("x").mapInArrow(run, "at int, part double")
+    out = np.zeros(shape)
+    for r in parts.groupBy("at").agg(F.sum("part")).collect():  # as many rows as the matrix has entries
+        out.flat[r[0]] = r[1]
+    return out
+
+
 class Covariance:
     """The covariance of staged vectors, known by its products with narrow matrices."""
 
@@ -71,34 +91,18 @@ class Covariance:
         self.trace = 0.0
 
     def products(self, *matrices, squares=False):
-        """V times each matrix, summed by Spark over rows (row of V, columns); squares adds the trace of V."""
+        """V times each matrix; squares also finds the trace of V."""
         q = np.concatenate(matrices, axis=1)
         d, width = q.shape
         base, rest = self.base, self.rest
-        names = [f"c{j}" for j in range(width + 1)]
-        schema = "at int, " + ", ".join(f"{c} double" for c in names)
-
-        def run(batches):
-            total = np.zeros((d, width + 1))
-            seen = False
-            for batch in batches:
-                if batch.num_rows:
-                    rows = (_matrix(batch.column(0)) - base) - rest
-                    total[:, :width] += rows.T @ (rows @ q)
-                    if squares:
-                        total[:, width] += np.einsum("ij,ij->j", rows, rows)
-                    seen = True
-            if seen:
-                columns = [pa.array(np.arange(d), pa.int32()), *[pa.array(np.ascontiguousarray(c)) for c in total.T]]
-                yield pa.RecordBatch.from_arrays(columns, ["at", *names])
-
-        parts = self.table.select("x").mapInArrow(run, schema)
-        rows = parts.groupBy("at").agg(*[F.sum(c).alias(c) for c in names]).collect()  # d rows
+
+        def products_of(x):
+            rows = (x - base) - rest
+            own = np.einsum("ij,ij->j", rows, rows) if squares else np.zeros(d)
+            return np.concatenate([rows.T @ (rows @ q), own[:, None]], axis=1)
+
+        out = _summed(self.table, products_of, (d, width + 1)) / self.n
         self.passes += 1
-        out = np.zeros((d, width + 1))
-        for r in rows:
-            out[r["at"]] = r[1:]
-        out /= self.n
         if squares:
             self.trace = float(out[:, width].sum())
         return np.split(out[:, :width], np.cumsum([m.shape[1] for m in matrices])[:-1], axis=1)
@@ -269,23 +273,14 @@ def whiten(rows, keep=("vec_id",), vector="embedding", components=COMPONENTS, ch
     project = np.where(full, vectors / np.sqrt(np.where(full, values, 1.0)), 0.0)
     base, rest = v.base, v.rest
 
-    def whitened(column):
-        return ((_matrix(column) - base) - rest) @ project
+    def whitened(x):
+        return ((x - base) - rest) @ project
 
-    def moments(batches):
-        total = np.zeros((k, k + 1))
-        for batch in batches:
-            w = whitened(batch.column(0)) if batch.num_rows else np.zeros((0, k))
-            total[:, :k] += w.T @ w
-            total[:, k] += w.sum(axis=0)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(k), pa.int32()), *[pa.array(np.ascontiguousarray(c)) for c in total.T]], ["at", *names]
-        )
-
-    names = [f"c{j}" for j in range(k + 1)]
-    parts = table.select("x").mapInArrow(moments, "at int, " + ", ".join(f"{c} double" for c in names))
-    sums_of = {r["at"]: r[1:] for r in parts.groupBy("at").agg(*[F.sum(c).alias(c) for c in names]).collect()}  # k rows
-    second = np.array([sums_of[i] for i in range(k)]) / n
+    def moments(x):
+        w = whitened(x)
+        return np.concatenate([w.T @ w, w.sum(axis=0)[:, None]], axis=1)
+
+    second = _summed(table, moments, (k, k + 1)) / n
     error = np.abs(second[:, :k] - np.outer(second[:, k], second[:, k]) - np.diag(full.astype(float)))
     error = float(error.max()) if full.any() else None
     explained = [float(e / v.trace) for e in values] if v.trace > 0 else [None] * k
@@ -295,10 +290,9 @@ def whiten(rows, keep=("vec_id",), vector="embedding", components=COMPONENTS, ch
             m = batch.num_rows
             if not m:
                 continue
-            column = batch.column(batch.num_columns - 1)
-            w = whitened(column)
+            x = _matrix(batch.column(batch.num_columns - 1))
             repeat = np.repeat(np.arange(m), k)
-            deviations = _deviations(_matrix(column), n, sums, base)
+            deviations = _deviations(x, n, sums, base)
             exact = pa.array([Decimal(e) if e < 10**38 else None for e in deviations], pa.decimal128(38, 0))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -306,7 +300,7 @@ def whiten(rows, keep=("vec_id",), vector="embedding", components=COMPONENTS, ch
                     pa.array(np.tile(np.arange(1, k + 1), m), pa.int32()),
                     pa.array(np.full(m * k, n), pa.int64()),
                     exact.take(pa.array(repeat)),
-                    pa.array(w.ravel(), mask=~np.tile(full, m)),
+                    pa.array(whitened(x).ravel(), mask=~np.tile(full, m)),
                     pa.array(explained * m, pa.float64()),
                     pa.array([error] * (m * k), pa.float64()),
                 ],
