@@ -6,6 +6,7 @@ from casewatch.llm import (
     context_tree,
     decontamination,
     embedding_whitening,
+    interleaving,
     line_frequency,
     periodic_runs,
     personal_data,
@@ -82,6 +83,12 @@ def op12_embedding_whitening(spark, folder):
     return found.withColumn("deviation", F.col("deviation").try_cast("long"))
 
 
+def op13_sharding(spark, folder):
+    found = interleaving.assigned(table(spark, folder, "documents"))
+    told = F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    return found.select("doc_id", "size", "text_crc32", *told)
+
+
 QUERIES = {
     "op1_context_tree": op1_context_tree,
     "op2_line_frequency": op2_line_frequency,
@@ -95,9 +102,11 @@ QUERIES = {
     "op10_substring_dedup": op10_substring_dedup,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_sharding": op13_sharding,
 }
 SQL = {
     "op2_line_frequency": sql.LINE_FREQUENCY,
     "op5_source_mixing": sql.SOURCE_MIXING,
     "op8_warc": sql.WARC,
+    "op13_sharding": sql.SHARDING,
 }

@@ -138,3 +138,32 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN first IS DISTINCT FROM
        CASE WHEN first IS DISTINCT FROM page_id THEN first END AS refers_to
 FROM firsts
 """
+
+# Plain ranks over whole sources and the whole table; the check sum byte by byte.
+SHARDING = """
+WITH byte_table AS (
+  SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_prepend(i, range(8)),
+      lambda c, j: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+    FROM (SELECT unnest(range(256)) AS i))
+), rows AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h,
+         CASE WHEN source IS NULL THEN '' ELSE '=' || source END AS stratum,
+         md5(concat_ws('/', 'shard-1', coalesce(doc_id::VARCHAR, 'null'), md5(coalesce(text, '')))) AS digest
+  FROM documents
+), ranked AS (
+  SELECT *, (row_number() OVER (PARTITION BY stratum ORDER BY digest) - 1
+    + ('0x' || substring(md5('shard-1/' || stratum), 1, 8))::BIGINT / 4294967296.0::DOUBLE)
+    / (count(*) OVER (PARTITION BY stratum))::DOUBLE AS fraction
+  FROM rows
+), ordered AS (
+  SELECT *, row_number() OVER (ORDER BY fraction, stratum, digest) - 1 AS position, count(*) OVER () AS n FROM ranked
+)
+SELECT doc_id, length(h) // 2 + 1 AS size,
+       xor(list_reduce(list_prepend(4294967295::BIGINT,
+           list_transform(regexp_extract_all(h, '..'), lambda b: ('0x' || b)::BIGINT)),
+         lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1])), 4294967295)::BIGINT AS text_crc32,
+       'rows' AS law, (position * 8 // n)::INTEGER AS shard,
+       (position - (position * 8 // n * n + 7) // 8)::BIGINT AS slot, NULL::INTEGER AS grown_shard
+FROM ordered, byte_table
+"""

@@ -16,6 +16,7 @@ from casewatch.llm import (
     boosted_trees,
     context_tree,
     decontamination,
+    interleaving,
     jaccard_dedup,
     line_frequency,
     periodic_runs,
@@ -86,6 +87,8 @@ OPERATORS = {
     "simhash": lambda s, d: simhash_dedup.near_duplicates(d),
     "periodic_runs": lambda s, d: periodic_runs.runs_of(d),
     "periodic_report": lambda s, d: periodic_runs.report(d),
+    "sharded": lambda s, d: interleaving.sharded(d),
+    "assigned": lambda s, d: interleaving.assigned(d),
     "substring": lambda s, d: substring_dedup.deduplicated(d),
 }
 
