@@ -6,10 +6,10 @@
 2. All rows stand by fractional rank. Any stretch of them holds each source in proportion, to within a row or two.
 3. The order is cut into shards whose row counts differ by one at most; a row's slot is its place behind the cut.
 
-Neither order needs a task that sees a whole source, or all rows: digests and fractions fall into buckets of about
-BUCKET_ROWS rows, buckets into blocks of BLOCK_BUCKETS. A place is the rows in blocks before, in buckets of the
-block before, and in the bucket before; the first two are running sums over few rows, at most one row for some 16
-million of the input in one task. A source with a third of all rows has a third of the buckets.
+Neither order needs a task that sees a whole source, or all rows: digests and fractions fall into buckets of at most
+about BUCKET_ROWS rows, buckets into blocks of BLOCK_BUCKETS. A place is the rows in blocks before, in buckets of the
+block before, and in the bucket before; the first two are running sums over few rows, one row for some 16
+million of the input in one task. A source with a third of all rows is in all buckets.
 """
 
 from pyspark.sql import Window
@@ -40,7 +40,7 @@ def leading(digest):
 
 
 def _before(rows, keys, bucket):
-    """keys, bucket and how many rows with the same keys lie in smaller buckets."""
+    """keys, bucket, n rows with the same keys, and how many of them lie in smaller buckets."""
     counts = rows.groupBy(*keys, bucket).agg(F.count("*").alias("here"))
     counts = counts.withColumn("block", F.floor(F.col(bucket) / BLOCK_BUCKETS))
     blocks = counts.groupBy(*keys, "block").agg(F.sum("here").alias("in_block"))
@@ -49,10 +49,12 @@ def _before(rows, keys, bucket):
         running = Window.partitionBy(*within).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
         return F.coalesce(F.sum(value).over(running), F.lit(0))
 
-    blocks = blocks.select(*keys, "block", earlier("in_block", "block", *keys).alias("blocks_before"))
+    blocks = blocks.select(
+        *keys, "block", F.sum("in_block").over(Window.partitionBy(*keys)).alias("n"), earlier("in_block", "block", *keys).alias("blocks_before")
+    )
     inside = counts.withColumn("buckets_before", earlier("here", bucket, *keys, "block"))
     both = inside.join(blocks, [*keys, "block"])
-    return both.select(*keys, bucket, (F.col("blocks_before") + F.col("buckets_before")).alias("before"))
+    return both.select(*keys, bucket, "n", (F.col("blocks_before") + F.col("buckets_before")).alias("before"))
 
 
 def interleave(rows, shards=SHARDS, seed=SEED, bucket_rows=BUCKET_ROWS, checkpoint=staged):
@@ -62,13 +64,11 @@ def interleave(rows, shards=SHARDS, seed=SEED, bucket_rows=BUCKET_ROWS, checkpoi
     reruns have to agree. No rows give no rows; with fewer rows than shards some shards stay empty.
     """
     rows = checkpoint(rows, "rows")
-    sizes = rows.groupBy("stratum").agg(F.count("*").alias("n"))
-    total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total")).first()["total"]
+    total = rows.count()
     buckets = max(1, -(-total // bucket_rows))
 
-    placed = rows.join(sizes, "stratum").withColumn(
-        "bucket", F.floor(leading("digest") * F.ceil(F.col("n") / bucket_rows) / 2.0**32)
-    )
+    # as many buckets for every source: rows need not meet the size of their source, which a hot one would crowd
+    placed = rows.withColumn("bucket", F.floor(leading("digest") * buckets / 2.0**32))
     within = Window.partitionBy("stratum", "bucket").orderBy("digest")
     ranked = placed.join(_before(placed, ["stratum"], "bucket"), ["stratum", "bucket"]).withColumn(
         "rank", F.col("before") + F.row_number().over(within)
