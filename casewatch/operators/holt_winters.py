@@ -3,11 +3,13 @@
 A series is one row per calendar day, so a group handed to Python is bounded by the
 observed period. Groups of different drugs run in parallel.
 
-Fitting: for given smoothing weights the one-step errors are an affine function of the
-initial level, trend and season, so the best initial states are a least-squares solution.
-Only the three weights are searched, on a coarse grid that is then narrowed around its
-best point. All weights of a grid and all initial states are folded together, one day at a
-time, as array operations.
+Fitting: the weights are those of a fixed grid with the least squared one-step error, start states come
+from the first two seasons. Errors are compared to six digits and equal ones by the weights, so the choice does not
+depend on the order of additions. All weights are folded together, one day at a time, as array operations.
+
+Refining (optional): for given weights the one-step errors are an affine function of the initial level,
+trend and season, so the best initial states are a least-squares solution. Only the three weights are
+searched, on the grid that is then narrowed around its best point.
 """
 
 import numpy as np
@@ -18,6 +20,8 @@ from casewatch.session import spread
 
 FITTED_SCHEMA = "drug string, date date, count bigint, fitted double"
 FIT_ROUNDS = 6
+GRID = (0.01, 0.1, 0.3, 0.6, 0.9), (0.0, 0.05, 0.2), (0.0, 0.05, 0.2, 0.5)
+ERROR_DIGITS = 6
 
 
 def _fold(y, alpha, beta, gamma, level, trend, season):
@@ -49,6 +53,25 @@ def fixed_fit(y, alpha, beta, gamma, m=config.SEASON):
     return _fold(y, alpha, beta, gamma, level, trend, season)
 
 
+def grid(axes=GRID):
+    """Rows of (alpha, beta, gamma) with beta <= alpha and gamma <= 1 - alpha."""
+    points = np.array(np.meshgrid(*axes, indexing="ij")).reshape(3, -1).T
+    return points[(points[:, 1] <= points[:, 0]) & (points[:, 2] <= 1 - points[:, 0])]
+
+
+def grid_fit(y, m=config.SEASON, axes=GRID):
+    """Weights of the grid with the least squared error, ties to the smaller weights, and their fitted values."""
+    y = np.asarray(y, dtype=float)
+    weights = grid(axes)
+    level, trend, season = heuristic_start(y, m)
+    zero = np.zeros(len(weights))
+    fitted = _fold(y, *weights.T, zero + level, zero + trend, [zero + s for s in season])
+    errors = y[:, None] - fitted
+    told = np.round(np.einsum("ng,ng->g", errors, errors), ERROR_DIGITS)
+    best = np.lexsort((weights[:, 2], weights[:, 1], weights[:, 0], told))[0]
+    return weights[best], fitted[:, best]
+
+
 def _profile(y, weights, m):
     """Best errors for each (alpha, beta, gamma) row: (squared errors, start states)."""
     n, g, k = len(y), len(weights), m + 1
@@ -88,19 +111,19 @@ def _box(centre, step):
 
 
 def estimated_fit(y, m=config.SEASON, rounds=FIT_ROUNDS):
-    """Fitted values minimising the squared one-step error over weights and start states."""
+    """Fitted values minimising the squared one-step error over weights and start states; never worse than grid_fit()."""
     y = np.asarray(y, dtype=float)
-    axes = np.meshgrid((0.01, 0.1, 0.3, 0.6, 0.9), (0.0, 0.05, 0.2), (0.0, 0.05, 0.2, 0.5), indexing="ij")
-    points = _admissible(np.array(axes).reshape(3, -1).T)
-    best, best_sse, best_fit = None, np.inf, None
+    points = _admissible(np.array(np.meshgrid(*GRID, indexing="ij")).reshape(3, -1).T)
+    best, best_fit = grid_fit(y, m)
+    best_sse = float(((y - best_fit) ** 2).sum())
+    if not np.isfinite(best_sse):
+        raise ValueError("no finite fit")
     step = np.array([0.15, 0.08, 0.1])
     for turn in range(rounds + 1):
         sse, _, fit = _profile(y, points, m)
         i = int(np.argmin(np.where(np.isfinite(sse), sse, np.inf)))
         if np.isfinite(sse[i]) and sse[i] < best_sse:
             best, best_sse, best_fit = points[i], sse[i], fit[i]
-        elif best is None:
-            raise ValueError("no finite fit")
         points = _box(best, step)
         step = step / 2
     return best_fit
@@ -121,15 +144,18 @@ def _per_drug(fit, min_length):
     return run
 
 
-def holt_winters(series, weights=None, min_length=config.MIN_SERIES_LENGTH, m=config.SEASON):
+def holt_winters(series, weights=None, min_length=config.MIN_SERIES_LENGTH, m=config.SEASON, refine=False):
     """Add `fitted` to (drug, date, count); null for a short or constant series.
 
-    weights: (alpha, beta, gamma) for fixed weights, or None to estimate them.
+    weights: (alpha, beta, gamma) for fixed weights, or None to take them from the grid; refine searches
+    weights and start states further.
     """
-    if weights is None:
+    if weights is not None:
+        fit = lambda y: fixed_fit(y, *weights, m)
+    elif refine:
         fit = lambda y: estimated_fit(y, m)
     else:
-        fit = lambda y: fixed_fit(y, *weights, m)
+        fit = lambda y: grid_fit(y, m)[1]
     return (
         spread(series.select("drug", "date", "count"), "drug")
         .groupBy("drug")

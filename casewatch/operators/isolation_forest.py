@@ -1,27 +1,36 @@
-"""Isolation Forest per drug, grown and scored by Spark tasks.
+"""Isolation Forest per drug, grown and scored by Spark tasks, the same wherever and however often it runs.
 
-Growing: every (drug, tree) draws its sample by a hash of (seed, drug, tree, day), so the
-sample does not depend on partitioning; a group holds the samples of a few trees only.
+Nothing is drawn from a generator: every choice is a digest of what it is made for, so the forest is a table that
+plain SQL can rebuild.
+
+Samples: in every round the days of a drug stand in the order of a digest of (seed, drug, round, day), and each
+stretch of `sample` days is one tree's sample. There are as many rounds as the trees need.
+Growing: a node's digest of (seed, drug, tree, node) picks a feature that differs in the node and a cut between its
+ends. Nodes are numbered as in a heap: 1 is the root, 2 k and 2 k + 1 stand below k. A group holds the samples of
+a few trees only and grows them level by level.
 Scoring: the days of a drug are cut into chunks, and each chunk meets the drug's trees in a
-cogroup, so neither side of a group grows with the data.
+cogroup, so neither side of a group grows with the data. Path lengths add up as whole millionths.
 """
 
+import hashlib
 import math
-import zlib
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from casewatch import config
 from casewatch.functions.numbers import round_half_even
-from casewatch.operators.ranking import top_n_per_key
 from casewatch.operators.timeseries import FEATURES, by_day, by_drug
 from casewatch.session import spread
 
-TREES_PER_GROUP = 10
+TREES_PER_GROUP = 25
 ROWS_PER_CHUNK = 4096
+FEATURE_DIGITS = 6  # features enter with so many digits
+SCORE_DIGITS = 9
+UNITS = 1_000_000  # path lengths count in millionths
 _EULER = 0.5772156649015329
 
 TREE_SCHEMA = T.StructType(
@@ -32,9 +41,7 @@ TREE_SCHEMA = T.StructType(
         T.StructField("psi", T.IntegerType()),
         T.StructField("feature", T.ArrayType(T.IntegerType())),
         T.StructField("threshold", T.ArrayType(T.DoubleType())),
-        T.StructField("left", T.ArrayType(T.IntegerType())),
-        T.StructField("right", T.ArrayType(T.IntegerType())),
-        T.StructField("depth", T.ArrayType(T.DoubleType())),
+        T.StructField("size", T.ArrayType(T.IntegerType())),
     ]
 )
 
@@ -48,106 +55,146 @@ def average_path(n):
     return 2.0 * (math.log(n - 1.0) + _EULER) - 2.0 * (n - 1.0) / n
 
 
-def grow_tree(points, rng):
-    """One isolation tree as parallel arrays; feature -1 marks a leaf."""
-    limit = math.ceil(math.log2(max(len(points), 2)))
-    feature, threshold, left, right, depth = [], [], [], [], []
-
-    def add(rows, level):
-        node = len(feature)
-        feature.append(-1)
-        threshold.append(0.0)
-        left.append(-1)
-        right.append(-1)
-        depth.append(level + average_path(len(rows)))
-        if level >= limit or len(rows) <= 1:
-            return node
-        values = points[rows]
-        low, high = values.min(axis=0), values.max(axis=0)
-        usable = np.flatnonzero(high > low)
-        if len(usable) == 0:
-            return node
-        f = int(usable[rng.integers(len(usable))])
-        cut = float(rng.uniform(low[f], high[f]))
-        goes_left = values[:, f] <= cut
-        feature[node], threshold[node] = f, cut
-        left[node] = add(rows[goes_left], level + 1)
-        right[node] = add(rows[~goes_left], level + 1)
-        return node
-
-    add(np.arange(len(points)), 0)
-    return feature, threshold, left, right, depth
-
-
-def path_lengths(points, feature, threshold, left, right, depth):
-    node = np.zeros(len(points), dtype=np.int64)
-    rows = np.arange(len(points))
-    while True:
-        f = feature[node]
-        inner = f >= 0
-        if not inner.any():
-            return depth[node]
-        goes_left = points[rows, np.maximum(f, 0)] <= threshold[node]
-        node = np.where(inner, np.where(goes_left, left[node], right[node]), node)
-
-
-def tree_seed(seed, drug, tree):
-    return np.random.default_rng([seed, zlib.crc32(drug.encode()), tree])
+def path_units(n):
+    """average_path() in whole millionths."""
+    return round(average_path(n) * UNITS)
 
 
-def _grow_group(seed):
-    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for tree, sample in pdf.groupby("tree", sort=True):
-            sample = sample.sort_values("date")
-            drug = key[0]
-            points = sample[list(FEATURES)].to_numpy(dtype=float)
-            arrays = grow_tree(points, tree_seed(seed, drug, int(tree)))
-            out.append((drug, int(sample["n_rows"].iloc[0]), int(tree), len(points), *arrays))
-        return pd.DataFrame(out, columns=TREE_SCHEMA.names)
+def depth_limit(psi):
+    return math.ceil(math.log2(max(psi, 2)))
+
+
+def node_choice(seed, drug, tree, node):
+    """A whole number that picks the feature and a fraction in [0, 1) that places the cut."""
+    digest = hashlib.sha256(f"{seed}/{drug}/{tree}/{node}".encode()).hexdigest()
+    return int(digest[:8], 16), int(digest[8:20], 16) / 2.0**48
 
-    return run
+
+def grow_trees(points, owner, numbers, drug, seed):
+    """Heap-numbered arrays (trees, nodes) of feature (-1: leaf), threshold and size.
+
+    points: the samples of all trees; owner: index into `numbers`, the trees' own numbers, per point; all
+    samples of a drug have the same size.
+    """
+    psi = len(points) // len(numbers)
+    limit = depth_limit(psi)
+    width = 2 << limit
+    feature = np.full((len(numbers), width), -1, np.int32)
+    threshold = np.zeros((len(numbers), width))
+    size = np.zeros((len(numbers), width), np.int32)
+    points, key = points, owner.astype(np.int64) * width + 1
+    for level in range(limit + 1):
+        order = np.argsort(key, kind="stable")
+        points, key = points[order], key[order]
+        starts = np.flatnonzero(np.diff(key, prepend=-1))
+        nodes, counts = key[starts], np.diff(starts, append=len(key))
+        size.flat[nodes] = counts
+        if level == limit or not len(nodes):
+            break
+        low, high = np.minimum.reduceat(points, starts), np.maximum.reduceat(points, starts)
+        usable = high > low
+        n_usable = usable.sum(axis=1)
+        inner = np.flatnonzero(n_usable)
+        for i in inner:
+            tree, node = divmod(int(nodes[i]), width)
+            pick, part = node_choice(seed, drug, numbers[tree], node)
+            f = np.flatnonzero(usable[i])[pick % n_usable[i]]
+            feature.flat[nodes[i]] = f
+            threshold.flat[nodes[i]] = low[i, f] + part * (high[i, f] - low[i, f])
+        going = feature.flat[key] >= 0
+        points, key = points[going], key[going]
+        right = points[np.arange(len(key)), feature.flat[key]] > threshold.flat[key]
+        key = key + key % width + right
+    return feature, threshold, size
+
+
+def total_paths(points, feature, threshold, size):
+    """Whole millionths of the path length of every point, summed over trees."""
+    units = np.array([path_units(n) for n in range(int(size.max(initial=0)) + 1)], np.int64)
+    total, rows = np.zeros(len(points), np.int64), np.arange(len(points))
+    for f, cut, n in zip(feature, threshold, size):
+        node, depth = np.ones(len(points), np.int64), np.zeros(len(points), np.int64)
+        while True:
+            at = f[node]
+            inner = at >= 0
+            if not inner.any():
+                break
+            right = points[rows, np.maximum(at, 0)] > cut[node]
+            node = np.where(inner, 2 * node + right, node)
+            depth += inner
+        total += depth * UNITS + units[n[node]]
+    return total
 
 
 def with_chunks(features):
-    """Add the series length and the chunk a day is scored in."""
-    return features.withColumn("n_rows", F.count("*").over(by_drug())).withColumn(
-        "chunk", F.floor((F.row_number().over(by_day()) - 1) / ROWS_PER_CHUNK).cast("int")
+    """Features as the forest takes them, the series length and the chunk a day is scored in."""
+    rounded = {f: round_half_even(F.col(f), FEATURE_DIGITS) for f in FEATURES if f != "count"}
+    return (
+        features.withColumns(rounded)
+        .withColumn("n_rows", F.count("*").over(by_drug()))
+        .withColumn("chunk", F.floor((F.row_number().over(by_day()) - 1) / ROWS_PER_CHUNK).cast("int"))
     )
 
 
+def samples(features, trees=config.FOREST_TREES, sample=config.FOREST_SAMPLE, seed=config.SEED):
+    """(drug, date, n_rows, the five features) with the tree a day is drawn for, once per round.
+
+    A tree has `sample` days, or all of a shorter series.
+    """
+    per_round = F.greatest(F.floor(F.col("n_rows") / sample), F.lit(1)).cast("int")
+    rounds = F.explode(F.sequence(F.lit(0), (F.ceil(trees / per_round) - 1).cast("int")))
+    drawn = features.select("drug", "date", "n_rows", *FEATURES, per_round.alias("per_round")).withColumn("round", rounds)
+    order = F.sha2(F.concat_ws("/", F.lit(seed), "drug", "round", F.col("date").cast("string")), 256)
+    turn = Window.partitionBy("drug", "round").orderBy(order, "date")
+    slot = F.floor((F.row_number().over(turn) - 1) / sample).cast("int")
+    placed = drawn.withColumn("slot", slot).withColumn("tree", F.col("round") * F.col("per_round") + F.col("slot"))
+    return placed.filter((F.col("slot") < F.col("per_round")) & (F.col("tree") < trees)).drop("slot", "round", "per_round")
+
+
+def _grow_group(seed):
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        points = pdf[list(FEATURES)].to_numpy(dtype=float)
+        numbers, owner = np.unique(pdf["tree"].to_numpy(), return_inverse=True)
+        arrays = grow_trees(points, owner, numbers.tolist(), key[0], seed)
+        n_rows, psi = int(pdf["n_rows"].iloc[0]), len(points) // len(numbers)
+        rows = [(key[0], n_rows, tree, psi, *(a[i] for a in arrays)) for i, tree in enumerate(numbers.tolist())]
+        return pd.DataFrame(rows, columns=TREE_SCHEMA.names)
+
+    return run
+
+
 def grow_forest(features, trees=config.FOREST_TREES, sample=config.FOREST_SAMPLE, seed=config.SEED):
-    """features: (drug, date, n_rows, the five features) to one row per (drug, tree)."""
-    draw = F.pmod(F.xxhash64(F.lit(seed), "drug", "tree", "date"), F.lit(1 << 32)).alias("draw")
-    drawn = (
-        features.select("drug", "date", "n_rows", *FEATURES)
-        .withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-        .withColumn("draw", draw)
-    )
-    # The limit acts in every task first, so at most `sample` days per tree and task are shuffled.
-    samples = top_n_per_key(drawn, ["drug", "tree"], ["draw", "date"], sample).drop("draw")
-    grouped = samples.withColumn("tree_group", F.floor(F.col("tree") / TREES_PER_GROUP).cast("int"))
+    """features: from with_chunks, to one row per (drug, tree)."""
+    drawn = samples(features, trees, sample, seed)
+    grouped = drawn.withColumn("tree_group", F.floor(F.col("tree") / TREES_PER_GROUP).cast("int"))
     return spread(grouped, "drug", "tree_group").groupBy("drug", "tree_group").applyInPandas(_grow_group(seed), TREE_SCHEMA)
 
 
+def forest_nodes(forest):
+    """One row per node that holds days: feature is the name of the column it cuts, null for a leaf."""
+    names = F.array(*[F.lit(f) for f in FEATURES])
+    each = F.posexplode(F.arrays_zip("feature", "threshold", "size")).alias("node", "n")
+    inner = F.col("n.feature") >= 0
+    return forest.select("drug", "tree", each).filter("n.size > 0").select(
+        "drug",
+        "tree",
+        "node",
+        F.when(inner, F.get(names, F.col("n.feature"))).alias("feature"),
+        F.when(inner, F.col("n.threshold")).alias("threshold"),
+        F.col("n.size").alias("size"),
+    )
+
+
 def _score_group(carried):
     def run(key: tuple, days: pd.DataFrame, trees: pd.DataFrame) -> pd.DataFrame:
         points = days[list(FEATURES)].to_numpy(dtype=float)
-        total = np.zeros(len(days))
-        trees = trees.sort_values("tree")
-        for row in trees.itertuples(index=False):
-            total += path_lengths(
-                points,
-                np.asarray(row.feature),
-                np.asarray(row.threshold),
-                np.asarray(row.left),
-                np.asarray(row.right),
-                np.asarray(row.depth),
-            )
-        scale = average_path(int(trees["psi"].iloc[0])) if len(trees) else 0.0
-        mean = total / max(len(trees), 1)
-        score = np.power(2.0, -mean / scale) if scale > 0 else np.full(len(days), 0.5)
-        return days[carried].assign(anomaly_score=score)
+        units = path_units(int(trees["psi"].iloc[0])) if len(trees) else 0
+        if units:
+            arrays = [np.stack(trees[c].to_numpy()) for c in ("feature", "threshold", "size")]
+            score = np.power(2.0, -(total_paths(points, *arrays) / (len(trees) * units)))
+        else:
+            score = np.full(len(days), 0.5)
+        return days[carried].assign(anomaly_score=np.round(score, SCORE_DIGITS))
 
     return run
 

@@ -30,13 +30,16 @@ def anomaly_table(
     min_length=config.MIN_SERIES_LENGTH,
     window=config.ROLLING_WINDOW,
     seed=config.SEED,
+    refine=False,
 ):
     """Days of every drug with expectation, z-score, forest score and flags.
 
+    refine: search the Holt-Winters weights and start states beyond the grid.
+
     The modelled series is staged once: the forest reads it to draw samples and again to
     score, and the report scan behind it must not run twice.
     """
-    modelled = holt_winters(ts.gap_fill(daily), min_length=min_length)
+    modelled = holt_winters(ts.gap_fill(daily), min_length=min_length, refine=refine)
     features = staged(with_chunks(ts.forest_features(modelled)), "features")
     scored = isolation_scores(features, seed=seed)
     detected = ts.zscore_detector(

@@ -306,6 +306,111 @@ hw AS (
     FROM (SELECT h.*, f.pos AS pos1, f.cnt AS y, {_A} * (f.cnt - h.s0) + (1 - {_A}) * (h.l + h.b) AS nl
           FROM hw h JOIN filled f ON f.drug = h.drug AND f.pos = h.pos + 1) AS t(drug, old, l, b, s0, s1, s2,
           s3, s4, s5, s6, old_fit, pos, y, nl))"""
+# The weight grid, all its recursions side by side, and per drug the weights with the least squared error.
+_GRID = """
+grid AS (
+    SELECT row_number() OVER (ORDER BY a, b, g) AS w, a, b, g
+    FROM (SELECT unnest([0.01, 0.1, 0.3, 0.6, 0.9]::DOUBLE[]) AS a), (SELECT unnest([0, 0.05, 0.2]::DOUBLE[]) AS b),
+         (SELECT unnest([0, 0.05, 0.2, 0.5]::DOUBLE[]) AS g)
+    WHERE b <= a AND g <= 1 - a),
+begin_state AS (
+    SELECT drug, avg(cnt) FILTER (WHERE pos < 7) AS l,
+           (avg(cnt) FILTER (WHERE pos BETWEEN 7 AND 13) - avg(cnt) FILTER (WHERE pos < 7)) / 7 AS t,
+           """ + ", ".join(f"max(cnt) FILTER (WHERE pos = {i}) - avg(cnt) FILTER (WHERE pos < 7) AS s{i}" for i in range(7)) + """
+    FROM filled GROUP BY drug HAVING count(*) >= 60 AND stddev_samp(cnt) > 0),
+folded AS (
+    SELECT drug, w, a, b, g, CAST(-1 AS BIGINT) AS pos, l, t, s0, s1, s2, s3, s4, s5, s6,
+           CAST(NULL AS DOUBLE) AS fitted, CAST(0 AS DOUBLE) AS sse
+    FROM begin_state, grid
+    UNION ALL
+    SELECT drug, w, a, b, g, pos + 1, nl, b * (nl - l) + (1 - b) * t, s1, s2, s3, s4, s5, s6,
+           g * (y - (l + t)) + (1 - g) * s0, l + t + s0, sse + (y - (l + t + s0)) * (y - (l + t + s0))
+    FROM (SELECT f.*, d.cnt AS y, f.a * (d.cnt - f.s0) + (1 - f.a) * (f.l + f.t) AS nl
+          FROM folded f JOIN filled d ON d.drug = f.drug AND d.pos = f.pos + 1)),
+chosen AS MATERIALIZED (
+    SELECT drug, arg_min(w, (round_even(sse, 6), w)) AS w FROM folded
+    WHERE pos = (SELECT max(pos) FROM filled WHERE filled.drug = folded.drug) GROUP BY drug),
+hw AS MATERIALIZED (SELECT drug, pos, fitted FROM folded JOIN chosen USING (drug, w))"""
+
+
+def _forest():
+    """The forest level by level: samples, nodes, and the walk of every day through every tree."""
+    values = ["x1", "x2", "x3", "x4", "x5"]
+    angle = "2 * pi() * (isodow(date) - 1) / 7"
+    parts = [
+        f"""feats AS MATERIALIZED (
+    SELECT drug, date, cnt, CAST(cnt AS DOUBLE) AS x1, {rnd(f'avg(cnt) OVER {_W7}', 6)} AS x2,
+           {rnd(f'coalesce(stddev_samp(cnt) OVER {_W7}, 0)', 6)} AS x3, {rnd(f'sin({angle})', 6)} AS x4,
+           {rnd(f'cos({angle})', 6)} AS x5, count(*) OVER (PARTITION BY drug) AS n
+    FROM filled)""",
+        """drawn AS (
+    SELECT *, row_number() OVER (PARTITION BY drug, round
+                                 ORDER BY sha256('42/' || drug || '/' || round || '/' || date), date) - 1 AS place
+    FROM (SELECT *, greatest(n // 256, 1) AS per_round, unnest(range(CAST(ceil(100 / greatest(n // 256, 1)) AS BIGINT))) AS round
+          FROM feats)),
+level0 AS MATERIALIZED (
+    SELECT drug, CAST(round * per_round + place // 256 AS INTEGER) AS tree, date, least(n, 256) AS psi, 1 AS node,
+           x1, x2, x3, x4, x5
+    FROM drawn WHERE place // 256 < per_round AND round * per_round + place // 256 < 100)""",
+    ]
+    columns = ", ".join(values)
+    for k in range(9):
+        ends = ", ".join(f"min({v}) AS low_{v}, max({v}) AS high_{v}" for v in values)
+        lows, highs = "[" + ", ".join(f"low_{v}" for v in values) + "]", "[" + ", ".join(f"high_{v}" for v in values) + "]"
+        parts.append(f"""nodes{k} AS MATERIALIZED (
+    SELECT drug, tree, node, size, f, CASE WHEN f > 0 THEN lows[f] + part * (highs[f] - lows[f]) END AS cut
+    FROM (SELECT *, CASE WHEN {k} < ceil(log2(greatest(psi, 2))) AND len(usable) > 0
+                         THEN usable[('0x' || substring(h, 1, 8))::BIGINT % len(usable) + 1] ELSE 0 END AS f,
+                 ('0x' || substring(h, 9, 12))::BIGINT / 281474976710656::DOUBLE AS part
+          FROM (SELECT *, list_filter([1, 2, 3, 4, 5], lambda i: highs[i] > lows[i]) AS usable,
+                       sha256('42/' || drug || '/' || tree || '/' || node) AS h
+                FROM (SELECT drug, tree, node, psi, size, {lows} AS lows, {highs} AS highs
+                      FROM (SELECT drug, tree, node, psi, count(*) AS size, {ends} FROM level{k}
+                            GROUP BY drug, tree, node, psi)))))""")
+        if k < 8:
+            parts.append(f"""level{k + 1} AS MATERIALIZED (
+    SELECT l.drug, l.tree, l.date, l.psi, CASE WHEN [{columns}][f] > cut THEN 2 * l.node + 1 ELSE 2 * l.node END AS node, {columns}
+    FROM level{k} l JOIN nodes{k} n ON l.drug = n.drug AND l.tree = n.tree AND l.node = n.node WHERE f > 0)""")
+    parts.append("nodes AS MATERIALIZED (" + " UNION ALL ".join(f"SELECT *, {k} AS depth FROM nodes{k}" for k in range(9)) + ")")
+    parts.append("""walk0 AS (
+    SELECT drug, date, n, unnest(range(100)) AS tree, 1 AS node, 0 AS depth, x1, x2, x3, x4, x5 FROM feats)""")
+    for k in range(8):
+        parts.append(f"""walk{k + 1} AS (
+    SELECT w.drug, date, n, w.tree, CASE WHEN f > 0 THEN 2 * w.node + CASE WHEN [{columns}][f] > cut THEN 1 ELSE 0 END ELSE w.node END AS node,
+           CASE WHEN f > 0 THEN w.depth + 1 ELSE w.depth END AS depth, {columns}
+    FROM walk{k} w LEFT JOIN nodes{k} m ON w.drug = m.drug AND w.tree = m.tree AND w.node = m.node)""")
+
+    def units(n):
+        path = f"2 * (ln({n} - 1) + 0.5772156649015329) - 2 * ({n} - 1) / CAST({n} AS DOUBLE)"
+        return f"CASE WHEN {n} <= 1 THEN 0 WHEN {n} = 2 THEN 1000000 ELSE CAST(round_even(({path}) * 1000000, 0) AS BIGINT) END"
+
+    parts.append(f"""forest_score AS (
+    SELECT w.drug, date, {rnd(f"CASE WHEN max(n) <= 1 THEN 0.5 ELSE pow(2, -(sum(w.depth * 1000000 + {units('coalesce(m.size, 0)')}) / CAST(100 * ({units('max(least(n, 256))')}) AS DOUBLE))) END", 9)} AS score
+    FROM walk8 w LEFT JOIN nodes m ON w.drug = m.drug AND w.tree = m.tree AND w.node = m.node GROUP BY w.drug, date),
+forest AS MATERIALIZED (
+    SELECT *, score - quantile_cont(score, 1 - 0.03) OVER (PARTITION BY drug) AS raw_forest FROM forest_score)""")
+    return ",\n".join(parts)
+
+
+_FOREST_SCORE = rnd("raw_forest", 3) + " AS isolation_forest_score"
+# Expectation by the grid, the trailing mean where there is none; residual z-score and forest together.
+_DETECTED = f"""
+modelled AS (
+    SELECT f.*, f.cnt - coalesce(h.fitted, avg(f.cnt) OVER (PARTITION BY f.drug ORDER BY f.date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW))
+             AS raw_residual,
+           coalesce(h.fitted, avg(f.cnt) OVER (PARTITION BY f.drug ORDER BY f.date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)) AS expected
+    FROM filled f LEFT JOIN hw h ON h.drug = f.drug AND h.pos = f.pos),
+rated AS (
+    SELECT *, CASE WHEN count(*) OVER {_W30} >= 7 THEN coalesce((raw_residual - avg(raw_residual) OVER {_W30})
+             / nullif(stddev_samp(raw_residual) OVER {_W30}, 0), 0) ELSE 0 END AS raw_z
+    FROM modelled),
+detected AS (
+    SELECT r.drug, r.date, r.cnt AS count, {rnd('r.expected', 2)} AS expected_count,
+           {rnd('r.cnt - ' + rnd('r.expected', 2), 2)} AS residual, {rnd('raw_z', 2)} AS zscore,
+           pos >= 45 AND abs(raw_z) > 2.5 AS is_anomaly_zscore, {_FOREST_SCORE},
+           pos >= 45 AND raw_forest > 0 AS is_anomaly_isoforest,
+           pos >= 45 AND abs(raw_z) > 2.5 AND raw_forest > 0 AS is_anomaly_high_confidence
+    FROM rated r JOIN forest f ON f.drug = r.drug AND f.date = r.date)"""
 _FLAT = (
     "safetyreportid, drug, receivedate, patient_sex, patient_age, reactions, drugs_involved, "
     "seriousness_flags, patient_summary_text"
@@ -536,14 +641,35 @@ def statements():
         "FROM filled",
         "filled",
     )
+    s["holt_winters_fit"] = _sql(
+        "SELECT f.drug, CAST(f.date AS VARCHAR) AS date, f.cnt AS count, "
+        f"{rnd('h.fitted', 4)} AS fitted FROM filled f LEFT JOIN hw h ON h.drug = f.drug AND h.pos = f.pos",
+        "filled",
+        recursive=_GRID,
+    )
+    s["isolation_sample"] = _sql(f"SELECT drug, tree, {_DAY} FROM level0", "filled", recursive=_forest())
+    names = "['count', 'roll_mean_7', 'roll_std_7', 'dow_sin', 'dow_cos']"
+    s["isolation_nodes"] = _sql(
+        f"SELECT drug, tree, node, CASE WHEN f > 0 THEN {names}[f] END AS feature, {rnd('cut', 6)} AS threshold, "
+        "CAST(size AS INTEGER) AS size FROM nodes",
+        "filled",
+        recursive=_forest(),
+    )
+    s["isolation_forest"] = _sql(
+        f"SELECT f.drug, CAST(f.date AS VARCHAR) AS date, f.cnt AS count, {_FOREST_SCORE}, "
+        "raw_forest > 0 AS is_anomaly_isoforest FROM forest s JOIN filled f ON f.drug = s.drug AND f.date = s.date",
+        "filled",
+        recursive=_forest(),
+    )
+    s["anomaly_table"] = _sql(
+        f"SELECT {_DAY}, detected.* EXCLUDE (date) FROM detected", "filled", recursive=f"{_GRID},\n{_forest()},{_DETECTED}"
+    )
     s["anomaly_table_totals"] = _sql(
-        "SELECT drug, count(*) AS n_days, CAST(sum(cnt) AS BIGINT) AS total_reports, "
-        + ", ".join(
-            f"CAST(0 AS BIGINT) AS {c}"
-            for c in ("wrong_residuals", "wrong_ensembles", "early_flags", "wrong_forest_flags")
-        )
-        + " FROM filled GROUP BY drug",
+        "SELECT drug, count(*) AS n_days, CAST(sum(count) AS BIGINT) AS total_reports, "
+        + ", ".join(f"count(*) FILTER (WHERE is_anomaly_{c}) AS n_{c}" for c in ("zscore", "isoforest", "high_confidence"))
+        + " FROM detected GROUP BY drug",
         "filled",
+        recursive=f"{_GRID},\n{_forest()},{_DETECTED}",
     )
     s["anomaly_direction"] = _sql(
         f"SELECT drug, {_DAY}, CASE WHEN zscore >= 0 THEN 'SPIKE (higher than expected)' "

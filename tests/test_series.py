@@ -154,6 +154,27 @@ def test_estimated_fit_beats_a_dense_grid():
     assert best <= sse.min() * 1.001
 
 
+def test_grid_fit_is_the_best_of_its_recursions():
+    y = np.random.default_rng(9).poisson(20 + 6 * np.sin(np.arange(90) * 2 * np.pi / 7)).astype(float)
+    start = hw.heuristic_start(y)
+    errors = {tuple(w): ((y - plain_fit(y, *w, *start)) ** 2).sum() for w in hw.grid()}
+    weights, fitted = hw.grid_fit(y)
+    assert errors[tuple(weights)] == min(errors.values())
+    np.testing.assert_allclose(fitted, plain_fit(y, *weights, *start), atol=1e-9)
+
+
+def test_equal_errors_take_the_smaller_weights():
+    weights, fitted = hw.grid_fit(np.tile([1.0, 2, 3, 4, 5, 6, 7], 12))
+    assert tuple(weights) == min(map(tuple, hw.grid())) and fitted[20] == 7
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_refining_is_never_worse_than_the_grid(seed):
+    rng = np.random.default_rng(seed)
+    y = rng.poisson(rng.uniform(0.5, 30), 120).astype(float)
+    assert ((y - hw.estimated_fit(y)) ** 2).sum() <= ((y - hw.grid_fit(y)[1]) ** 2).sum() + 1e-9
+
+
 def test_season_and_trend_are_followed_exactly():
     t = np.arange(140)
     y = 10 + 0.5 * t + np.tile([0, 3, 1, -2, 4, -5, -1], 20)
@@ -196,19 +217,66 @@ def test_forest_does_not_depend_on_partitioning(spark, monkeypatch):
     np.testing.assert_allclose(before, after)
 
 
-def test_tree_paths_match_a_plain_walk():
-    rng = np.random.default_rng(8)
-    points = rng.normal(size=(200, 5))
-    tree = [np.asarray(a) for a in forest.grow_tree(points, np.random.default_rng(9))]
-    feature, threshold, left, right, depth = tree
+def plain_tree(points, drug, tree, seed):
+    """One tree by recursion: node to (feature, cut, size)."""
+    out = {}
+
+    def add(rows, node, level):
+        out[node] = (None, None, len(rows))
+        usable = [f for f in range(points.shape[1]) if len(rows) and points[rows, f].max() > points[rows, f].min()]
+        if level < forest.depth_limit(len(points)) and usable:
+            pick, part = forest.node_choice(seed, drug, tree, node)
+            f = usable[pick % len(usable)]
+            low, high = points[rows, f].min(), points[rows, f].max()
+            cut = low + part * (high - low)
+            out[node] = (f, cut, len(rows))
+            add([r for r in rows if points[r, f] <= cut], 2 * node, level + 1)
+            add([r for r in rows if points[r, f] > cut], 2 * node + 1, level + 1)
 
-    def walk(x):
-        node = 0
-        while feature[node] >= 0:
-            node = left[node] if x[feature[node]] <= threshold[node] else right[node]
-        return depth[node]
+    add(list(range(len(points))), 1, 0)
+    return out
 
-    np.testing.assert_allclose(forest.path_lengths(points, *tree), [walk(p) for p in points])
+
+@pytest.mark.parametrize("n", [1, 2, 7, 200])
+def test_trees_and_paths_match_a_plain_recursion(n):
+    rng = np.random.default_rng(8)
+    points = np.round(rng.normal(size=(2 * n, 5)), 1)
+    points[:, 4] = 0
+    owner = rng.permutation(np.repeat([0, 1], n))
+    feature, threshold, size = forest.grow_trees(points, owner, [3, 8], "a", 42)
+    total = np.zeros(2 * n, int)
+    for i, number in enumerate((3, 8)):
+        tree = plain_tree(points[owner == i], "a", number, 42)
+        told = {node: v for node, v in tree.items() if v[2]}
+        for node in range(feature.shape[1]):
+            f, cut, held = told.get(node, (None, None, 0))
+            assert size[i, node] == held and feature[i, node] == (-1 if f is None else f)
+            assert f is None or threshold[i, node] == cut
+        for r, x in enumerate(points):
+            node, depth = 1, 0
+            while tree[node][0] is not None:
+                node, depth = 2 * node + (x[tree[node][0]] > tree[node][1]), depth + 1
+            total[r] += depth * forest.UNITS + forest.path_units(tree[node][2])
+    assert (forest.total_paths(points, feature, threshold, size) == total).all()
+
+
+@pytest.mark.parametrize("days, per_tree", [(10, 10), (256, 256), (600, 256)])
+def test_samples_are_disjoint_within_a_round(spark, days, per_tree):
+    features = forest.with_chunks(ts.forest_features(ts.gap_fill(series(spark, a=range(1, days + 1)))))
+    drawn = forest.samples(features).select("tree", "date").toPandas()
+    assert set(drawn["tree"]) == set(range(100)) and (drawn.groupby("tree").size() == per_tree).all()
+    per_round = max(1, days // 256)
+    assert not drawn.assign(round=drawn["tree"] // per_round).duplicated(["round", "date"]).any()
+
+
+def test_forest_as_a_table_of_nodes(spark):
+    features = forest.with_chunks(ts.forest_features(ts.gap_fill(series(spark, a=range(1, 300)))))
+    nodes = forest.forest_nodes(forest.grow_forest(features, trees=4)).toPandas()
+    sizes = nodes.set_index(["tree", "node"])["size"]
+    for r in nodes.itertuples():
+        if r.feature is not None:
+            assert sizes.get((r.tree, 2 * r.node), 0) + sizes.get((r.tree, 2 * r.node + 1), 0) == r.size
+    assert (nodes[nodes["node"] == 1]["size"] == 256).all()
 
 
 def test_average_path():
