@@ -1022,7 +1022,7 @@ def flagged_for_drug(spark, sf):
 
 
 def _arrivals(spark, sf, consume):
-    """Feed the events to a stream in three files, the latest first; each brings some of the file before again."""
+    """Feed the events to a stream in three arrivals, the latest first; each brings some of the one before again."""
     events, source = b.table(spark, sf, "events"), fresh_path(spark, "arrivals")
     third = F.pmod(F.xxhash64("user_id"), F.lit(3))
     first, last = events.agg(F.min("ts"), F.max("ts")).first()
@@ -1030,7 +1030,7 @@ def _arrivals(spark, sf, consume):
     part = F.when(F.col("ts") >= F.lit(last - step), 0).when(F.col("ts") >= F.lit(first + step), 1).otherwise(2)
     for n in range(3):
         again = events.filter((part == n - 1) & (third == 0))
-        events.filter(part == n).unionByName(again).coalesce(1).write.mode("append").parquet(source)
+        events.filter(part == n).unionByName(again).write.mode("append").parquet(source)
         consume(stream.with_event_time(stream.read_files(spark, source, events.schema)))
 
 

@@ -164,3 +164,23 @@ def required_parquet(spark, path, schema, hint):
     if not _exists(spark, path):
         raise FileNotFoundError(f"{path} not found. {hint}")
     return spark.read.schema(schema).parquet(path)
+
+
+# ---- folders of any file system that Spark can reach
+
+
+def _path(spark, path):
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def children(spark, folder):
+    """Names of the files and folders right below a folder; none where it does not exist."""
+    path, system = _path(spark, folder)
+    return [s.getPath().getName() for s in system.listStatus(path)] if system.exists(path) else []
+
+
+def remove(spark, folder):
+    """Deletes a folder that the engine itself wrote, with all it holds."""
+    path, system = _path(spark, folder)
+    system.delete(path, True)

@@ -1,16 +1,29 @@
-"""Structured Streaming lane: resumable ingestion and running daily counts."""
+"""Structured Streaming lane: resumable ingestion and running daily counts, however late rows arrive.
+
+Which ids were seen, and the running counts, are state of the streaming query. In the RocksDB store a micro-batch looks
+up its own ids only and checkpoints its own changes, so its work does not grow with what came before; each
+executor keeps its share of the state on disk and a lost one is rebuilt from the checkpoint. The number of state
+partitions is spark.sql.shuffle.partitions at the first start. Nothing expires: state grows with the number of ids.
+"""
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-BUCKETS = 64
+from casewatch.sources import files
+
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+CHANGELOG = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
+COMPACT_EVERY = 10  # micro-batches
+COUNTS = "drug string, date date, count bigint"
 
 
-def read_files(spark, folder, schema, glob=None):
+def read_files(spark, folder, schema, glob=None, files_per_batch=None):
     """Stream of Parquet files appearing in a folder."""
     reader = spark.readStream.schema(schema)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.parquet(folder)
 
 
@@ -19,39 +32,17 @@ def with_event_time(stream, column="ts"):
     return stream.withColumn(column, F.col(column).cast("timestamp"))
 
 
-def _first_rows(batch, id_column):
-    """One row per id of a micro-batch: the smallest, so that a replay takes the same."""
-    row = F.struct(*batch.columns)
-    return batch.groupBy(F.col(id_column).alias("_id")).agg(F.min(row).alias("_row")).select("_row.*")
-
-
-def _append_new(batch, batch_id, out, id_column):
-    """Store the rows of a micro-batch whose id no other micro-batch has stored, and return them.
-
-    Every micro-batch has a folder, which a replay overwrites, and stores its rows by hash bucket of the
-    id; only ids of the touched buckets are compared. No state expires: a row may come however late.
-    """
-    spark = batch.sparkSession
-    bucket = F.pmod(F.xxhash64(F.col(id_column).cast("string")), F.lit(BUCKETS)).cast("int")
-    rows = _first_rows(batch, id_column).withColumn("bucket", bucket)
-    if batch_id > 0:
-        touched = [r[0] for r in rows.select("bucket").distinct().collect()]  # BUCKETS numbers at most
-        stored = spark.read.schema(T.StructType(rows.schema.fields).add("batch_id", "long")).parquet(out)
-        stored = stored.filter(F.col("bucket").isin(touched) & (F.col("batch_id") < batch_id))
-        ids = stored.select(F.col(id_column).alias("_stored"))
-        rows = rows.join(ids, F.col(id_column).eqNullSafe(F.col("_stored")), "left_anti")
-    path = f"{out}/batch_id={batch_id}"
-    rows.write.mode("overwrite").partitionBy("bucket").parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
-
-
-def _run(stream, checkpoint, write):
-    query = (
-        stream.writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+def _started(spark, writer, checkpoint):
+    """Runs over all that is present and stops. A state store that the session names stays; the default gives way."""
+    before = {key: spark.conf.get(key, None) for key in (PROVIDER, CHANGELOG)}
+    if before[PROVIDER] is None or before[PROVIDER].endswith("HDFSBackedStateStoreProvider"):
+        spark.conf.set(PROVIDER, ROCKSDB)
+        spark.conf.set(CHANGELOG, "true")
+    try:
+        query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    finally:  # the query has its own copy of the settings
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     query.awaitTermination()
     return query
 
@@ -59,32 +50,65 @@ def _run(stream, checkpoint, write):
 def ingest(stream, out, checkpoint, id_column):
     """Store each report once, whatever the order in which reports arrive; start again to resume.
 
-    Runs over all files present and stops. out belongs to one checkpoint; it holds the stored rows with
-    their batch_id and bucket. Rows without an id count as one.
+    out belongs to one checkpoint. Its log names the files that count, which spark.read.parquet() follows: what
+    a broken or repeated micro-batch left besides is not read. Rows without an id count as one. Of different
+    rows of one id that come in one micro-batch, any may be the one that is stored.
     """
+    rows = stream.dropDuplicates([id_column])
+    return _started(stream.sparkSession, rows.writeStream.format("parquet").option("path", out), checkpoint)
+
+
+def daily_counts(stream, out, checkpoint, key, time_column="ts", id_column=None, compact_every=COMPACT_EVERY):
+    """Running counts per (key, day) for latest_counts().
+
+    With id_column every id counts once, in the micro-batch that brings it first; without, every row counts. A
+    micro-batch writes the counts it changed to a folder of its own, which a replay overwrites. Every
+    compact_every micro-batches the current counts are written whole and what they replace, but for the
+    generation before, is removed: the number of folders is bounded.
+    """
+    spark = stream.sparkSession
+    rows = stream if id_column is None else stream.dropDuplicates([id_column])
+    counted = rows.groupBy(F.col(key).alias("drug"), F.to_date(time_column).alias("date")).agg(F.count("*").alias("count"))
 
     def write(batch, batch_id):
-        _append_new(batch, batch_id, out, id_column)
+        batch.write.mode("overwrite").parquet(f"{out}/changes/{batch_id}")
+        if (batch_id + 1) % compact_every == 0:
+            _compact(batch.sparkSession, out, batch_id)
 
-    return _run(stream, checkpoint, write)
+    return _started(spark, counted.writeStream.outputMode("update").foreachBatch(write), checkpoint)
 
 
-def daily_counts(stream, out, checkpoint, key, time_column="ts", id_column=None):
-    """Counts per (key, day), written as one folder per micro-batch for latest_counts to sum.
+def _complete(spark, folder):
+    """Numbers of the subfolders whose writing has ended, ascending."""
+    names = [n for n in files.children(spark, folder) if n.isdigit()]
+    return sorted(int(n) for n in names if "_SUCCESS" in files.children(spark, f"{folder}/{n}"))
 
-    With id_column every id counts once, in the micro-batch that brings it first; without, every row counts.
-    A replayed micro-batch overwrites its own folder. Nothing expires, so late rows count in full.
-    """
 
-    def write(batch, batch_id):
-        rows = batch if id_column is None else _append_new(batch, batch_id, f"{out}/seen", id_column)
-        counted = rows.groupBy(F.col(key).alias("drug"), F.to_date(time_column).alias("date")).agg(F.count("*").alias("count"))
-        counted.write.mode("overwrite").parquet(f"{out}/counts/batch_id={batch_id}")
+def _current(spark, out, below=None):
+    """The newest whole counts, of a number under `below`, and the changes after them; the last change of a key holds."""
+    whole = [n for n in _complete(spark, f"{out}/whole") if below is None or n < below]
+    base = whole[-1] if whole else -1
+    parts = [(base, f"{out}/whole/{base}")] if whole else []
+    parts += [(n, f"{out}/changes/{n}") for n in _complete(spark, f"{out}/changes") if n > base]
+    frames = [spark.read.schema(COUNTS).parquet(path).withColumn("batch", F.lit(n).cast("long")) for n, path in parts]
+    if not frames:
+        return base, spark.createDataFrame([], COUNTS)
+    rows = frames[0]
+    for frame in frames[1:]:  # some 2 * compact_every at most
+        rows = rows.union(frame)
+    return base, rows.groupBy("drug", "date").agg(F.max_by("count", "batch").alias("count"))
+
 
-    return _run(stream, checkpoint, write)
+def _compact(spark, out, batch_id):
+    """Writes the counts whole as of a micro-batch. The generation it is made from stays, for readers and for a replay."""
+    base, rows = _current(spark, out, below=batch_id)
+    rows.write.mode("overwrite").parquet(f"{out}/whole/{batch_id}")
+    for kind, limit in (("whole", base - 1), ("changes", base)):
+        for n in _complete(spark, f"{out}/{kind}"):
+            if n <= limit:
+                files.remove(spark, f"{out}/{kind}/{n}")
 
 
 def latest_counts(spark, out):
-    """Current counts per (drug, day): the sum over all micro-batches."""
-    parts = spark.read.schema("drug string, date date, count bigint, batch_id bigint").parquet(f"{out}/counts")
-    return parts.groupBy("drug", "date").agg(F.sum("count").alias("count"))
+    """Current counts per (drug, day); none before the first micro-batch."""
+    return _current(spark, out)[1]

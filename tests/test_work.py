@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 import os
+import shutil
 
 import numpy as np
 import pytest
@@ -476,8 +477,11 @@ def test_stream_takes_late_rows_and_replays(spark, tmp_path):
         stream.ingest(live, out, cp, "id")
         stream.daily_counts(live, counts_out, cp2, "k", id_column="id")
     assert sorted(r.id for r in spark.read.parquet(out).collect()) == ["a", "b", "late1", "late2"]
-    again = spark.createDataFrame([("late1", "x", day(2)), ("late2", "y", day(1)), ("a", "x", day(20))], schema)
-    stream._append_new(again, 1, out, "id")  # the second micro-batch once more
+    # what a broken micro-batch leaves beside the log is not read
+    spark.read.schema(schema).parquet(source).limit(1).write.mode("append").parquet(f"{tmp_path}/stray")
+    for n in os.listdir(f"{tmp_path}/stray"):
+        if n.endswith(".parquet"):
+            shutil.copy(f"{tmp_path}/stray/{n}", f"{out}/part-99999-left-over.parquet")
     assert sorted(r.id for r in spark.read.parquet(out).collect()) == ["a", "b", "late1", "late2"]
     got = {(r.drug, r.date.day): r["count"] for r in stream.latest_counts(spark, counts_out).collect()}
     assert got == {("x", 20): 2, ("x", 2): 1, ("y", 1): 1}
@@ -506,6 +510,46 @@ def test_wrongly_typed_answers_fail_their_batch_only(spark):
     assert {r["safetyreportid"] for r in rows if r["error"]} == {"2", "3"} and len(rows) == 6
 
 
+@pytest.fixture
+def one_partition(spark):
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+
+
+def test_fifty_micro_batches_cost_alike_and_leave_few_folders(spark, tmp_path, one_partition):
+    """What a micro-batch writes and reads does not grow with what came before it."""
+    source, out, counts_out, cp, cp2 = (str(tmp_path / n) for n in ("in", "out", "counts", "cp", "cp2"))
+    schema = "id long, k string, ts timestamp"
+    batches = 50
+    rows = spark.range(200 * batches).selectExpr("id", "'k' || id % 3 AS k", "timestamp_seconds(86400 * (id % 7)) AS ts")
+    # every file brings half of the one before again
+    files_of = rows.selectExpr("*", "explode(array(id div 200, id div 200 + if(id % 2 = 0, 1, 0))) AS part")
+    for n in range(batches):
+        files_of.filter(f"part = {n}").drop("part").coalesce(1).write.mode("append").parquet(source)
+    live = stream.read_files(spark, source, schema, files_per_batch=1)
+    progress = stream.ingest(live, out, cp, "id").recentProgress
+    assert len(progress) >= batches and progress[0]["stateOperators"][0]["customMetrics"].get("rocksdbPutCount", 0) > 0
+    read = [p["stateOperators"][0]["customMetrics"]["rocksdbTotalBytesRead"] for p in progress][:batches]
+    written = [p["stateOperators"][0]["customMetrics"]["rocksdbBytesCopied"] for p in progress][:batches]
+    assert sorted(read[-10:])[5] <= 2 * max(sorted(read[5:15])[5], 1)
+    assert sorted(written[-10:])[5] <= 2 * max(sorted(written[5:15])[5], 1)
+    assert spark.read.parquet(out).count() == spark.read.parquet(out).distinct().count() == 200 * batches
+
+    query = stream.daily_counts(live, counts_out, cp2, "k", id_column="id", compact_every=4)
+    assert query.lastProgress["batchId"] >= batches - 1
+    assert sum(len(os.listdir(f"{counts_out}/{kind}")) for kind in ("changes", "whole")) <= 2 * 4 + 2
+    expected = {(r[0], r[1]): r[2] for r in rows.groupBy("k", F.to_date("ts")).count().collect()}
+    told = lambda: {(r.drug, r.date): r["count"] for r in stream.latest_counts(spark, counts_out).collect()}
+    assert told() == expected
+    newest = max(int(n) for n in os.listdir(f"{counts_out}/whole"))
+    stream._compact(spark, counts_out, newest)  # a micro-batch once more
+    assert told() == expected
+    os.remove(f"{counts_out}/whole/{newest}/_SUCCESS")  # broken off in the middle
+    assert told() == expected
+
+
 def test_stream_counts_equal_batch(spark, tmp_path):
     source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
     schema = T.StructType([T.StructField("k", T.StringType()), T.StructField("ts", T.TimestampNTZType())])
