@@ -1,19 +1,18 @@
-"""Text vectors: embedding, storing, exact and approximate similarity search."""
+"""Text vectors: embedding, and exact similarity search."""
 
 import numpy as np
 import pyarrow as pa
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import IDF, BucketedRandomProjectionLSH, HashingTF, Normalizer, RegexTokenizer
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from casewatch import config
 from casewatch.functions.text import blank_if_missing, join_tags
-from casewatch.operators.incremental import pending, upsert
+from casewatch.operators.incremental import pending
 from casewatch.operators.inference import infer, succeeded
 from casewatch.operators.ranking import top_n_per_key
-from casewatch.sources.workspace import staged
 
 METADATA = ("drug", "primary_organ_system", "severity", "likely_causal_drug", "category_tags", "receivedate")
 
@@ -69,7 +68,7 @@ def embed_with(docs, load, batch_size=config.EMBED_BATCH, id_column="id"):
 
 
 def build_vectors(reports, store, model=None, text="patient_summary_text", id_column="safetyreportid", load=None):
-    """Embed the reports that the store lacks and return the new version of the store.
+    """Embedded rows of the reports that the store lacks, to be appended to it; of the store only ids are read.
 
     model: from fit_embedding; load: a model for embed_with instead. Reports of its failed batches stay pending.
     """
@@ -80,7 +79,7 @@ def build_vectors(reports, store, model=None, text="patient_summary_text", id_co
         new = embed(docs, model)
     else:
         new = docs.join(succeeded(embed_with(docs.select("id", "document"), load)), "id")
-    return upsert(store, new.select(*store.columns))
+    return new.select(*store.columns)
 
 
 # ---- search
@@ -129,6 +128,15 @@ def _partial_top_k(queries, k, id_column):
     return run
 
 
+def filtered(vectors, where):
+    """where: condition or {column: value} on metadata, or None for all."""
+    if isinstance(where, dict):
+        for name, value in where.items():
+            vectors = vectors.filter(F.col(name) == value)
+        return vectors
+    return vectors if where is None else vectors.filter(where)
+
+
 def search(vectors, queries, k=config.SEARCH_K, where=None, id_column="id"):
     """Exact top k by cosine for each query vector, ties by id.
 
@@ -136,12 +144,7 @@ def search(vectors, queries, k=config.SEARCH_K, where=None, id_column="id"):
     once and never shuffled: each task keeps k rows per query and only those move.
     where: condition or {column: value} on metadata, applied before scoring.
     """
-    if isinstance(where, dict):
-        for name, value in where.items():
-            vectors = vectors.filter(F.col(name) == value)
-    elif where is not None:
-        vectors = vectors.filter(where)
-    candidates = vectors.filter(F.col("embedding").isNotNull()).select(
+    candidates = filtered(vectors, where).filter(F.col("embedding").isNotNull()).select(
         F.col(id_column).cast("string").alias("id"), "embedding"
     )
     partial = candidates.mapInArrow(
@@ -153,25 +156,3 @@ def search(vectors, queries, k=config.SEARCH_K, where=None, id_column="id"):
 def hits_with_documents(hits, vectors, columns):
     """Attach stored columns to the few hits."""
     return hits.join(vectors.select("id", *columns), "id")
-
-
-def fit_lsh(vectors, bucket_length=1.0, tables=6, seed=config.SEED):
-    """Random-projection hash tables for approximate search on unit vectors."""
-    rows = vectors.withColumn("features", array_to_vector("embedding"))
-    lsh = BucketedRandomProjectionLSH(
-        inputCol="features", outputCol="hashes", bucketLength=bucket_length, numHashTables=tables, seed=seed
-    )
-    return lsh.fit(rows), rows
-
-
-def search_lsh(model, rows, query, k=config.SEARCH_K):
-    """Approximate top k for unit vectors: similarity = 1 - distance^2 / 2.
-
-    Where the buckets of the query hold fewer than k vectors, the exact search answers, so k rows come back
-    from any store that has them.
-    """
-    from pyspark.ml.linalg import Vectors
-
-    near = model.approxNearestNeighbors(rows, Vectors.dense(query), k, distCol="distance")
-    hits = staged(near.select("id", (1 - F.col("distance") * F.col("distance") / 2).alias("similarity")), "near")
-    return hits if hits.count() >= k else search(rows, [query], k).select("id", "similarity")

@@ -235,6 +235,23 @@ CTES = {
         SELECT query, id, label, round_even(list_dot_product(v, q)
                / (sqrt(list_dot_product(v, v)) * sqrt(list_dot_product(q, q))) * 1e12, 0) / 1e12 AS s
         FROM vecs CROSS JOIN args""",
+    "normals": """
+        SELECT t, j, list(v ORDER BY d) AS p
+        FROM (SELECT t, j, d, ('0x' || substring(md5('42/' || t || '/' || j || '/' || d), 1, 8))::BIGINT / 2147483648::DOUBLE - 1 AS v
+              FROM (SELECT unnest(range(8)) AS t), (SELECT unnest(range(6)) AS j), (SELECT unnest(range(64)) AS d))
+        GROUP BY t, j""",
+    "codes": """
+        SELECT id, t, CAST(sum(CASE WHEN list_dot_product(v, p) > 0 THEN 1 << j ELSE 0 END) AS BIGINT) AS code
+        FROM vecs CROSS JOIN normals GROUP BY id, t""",
+    "probes": """
+        SELECT query, t, xor(home, turned) AS code
+        FROM (SELECT query, t, turned, CAST(sum(CASE WHEN m > 0 THEN 1 << j ELSE 0 END) AS BIGINT) AS home,
+                     round(sum(CASE WHEN (turned >> j) & 1 = 1 THEN m * m ELSE 0 END), 9) AS cost
+              FROM (SELECT query, t, j, list_dot_product(q, p) AS m FROM args CROSS JOIN normals),
+                   (SELECT unnest(range(64)) AS turned)
+              GROUP BY query, t, turned)
+        QUALIFY row_number() OVER (PARTITION BY query, t ORDER BY cost, turned) <= 12""",
+    "candidates": "SELECT DISTINCT query, id FROM probes JOIN codes USING (t, code)",
 }
 
 # Direct uses between the expressions above.
@@ -268,6 +285,9 @@ USES = {
     "mismatches": ["judged"],
     "args": ["vecs"],
     "sims": ["vecs", "args"],
+    "codes": ["vecs", "normals"],
+    "probes": ["args", "normals"],
+    "candidates": ["probes", "codes"],
 }
 
 
@@ -699,12 +719,21 @@ def statements():
             f"(PARTITION BY query ORDER BY s DESC, id) AS rank FROM sims WHERE {condition}) WHERE rank <= 5",
             "sims",
         )
+    for name, condition in (("knn_lsh", "true"), ("knn_lsh_filtered", "label = '3'")):
+        s[name] = _sql(
+            f"SELECT query, id, {rnd('s', 6)} AS similarity, rank FROM (SELECT *, row_number() OVER "
+            "(PARTITION BY query ORDER BY s DESC, id) AS rank FROM sims "
+            f"WHERE {condition} AND (query, id) IN (SELECT query, id FROM candidates)) WHERE rank <= 5",
+            "sims",
+            "candidates",
+        )
     s["vector_upsert"] = _sql(
         f"SELECT id, CASE WHEN label = '3' THEN 'updated' ELSE label END AS primary_organ_system, "
         f"{rnd('v[1]', 6)} AS first FROM vecs UNION ALL "
         f"SELECT 'new-' || id, label, {rnd('v[1]', 6)} FROM vecs WHERE label = '4'",
         "vecs",
     )
+    s["vector_store_upsert"] = s["vector_upsert"]
     s["vector_metadata"] = (
         "SELECT CAST(doc_id AS VARCHAR) AS safetyreportid, CASE WHEN lang <> 'de' THEN source ELSE '' END AS drug, "
         "lang AS primary_organ_system, '' AS severity, '' AS likely_causal_drug, "

@@ -10,7 +10,7 @@ from casewatch.functions import ids
 from casewatch.functions.severity import severity_by_lookup
 from casewatch.functions.text import parse_list_text
 from casewatch.operators import categorize, context, counts, evaluate, explain, flatten
-from casewatch.operators import incremental, inference, ranking, vectors
+from casewatch.operators import incremental, inference, ranking, vector_store, vectors
 from casewatch.operators.explain import normalized_count
 from casewatch.plans import detection, diagnostics
 from casewatch.session import tune
@@ -143,25 +143,22 @@ def labels_status(spark, summaries, results):
 # ---- 3: vectors
 
 
-def build_store(spark, categorized, new_store, old_store=None, model_path=None, load=None):
-    """Write the next version of the vector store; only reports it lacks are embedded.
+def build_store(spark, categorized, store, model_path=None, load=None):
+    """Append the reports that the vector store lacks; only those are embedded. Returns the fitted embedding, if any.
 
-    The embedding is fitted with the first version and saved at model_path; later versions
-    load it, so all vectors stay comparable. load: a model for vectors.embed_with instead.
+    The embedding is fitted with the first reports and saved at model_path; later runs load it, so all vectors stay
+    comparable. load: a model for vectors.embed_with instead.
     """
     reports = files.required_parquet(spark, categorized, CATEGORIZED, "Merge labels first.")
-    if load is not None:
-        model = None
-        store = files.optional_parquet(spark, old_store, schemas.VECTORS) if old_store else spark.createDataFrame([], schemas.VECTORS)
-    elif old_store is None:
-        store = spark.createDataFrame([], schemas.VECTORS)
+    model = None
+    if load is None and vector_store.exists(spark, store):
+        model = PipelineModel.load(model_path)
+    elif load is None:
         model = vectors.fit_embedding(reports.select(F.col("patient_summary_text").alias("document")))
         if model_path:
             model.write().save(model_path)
-    else:
-        store = spark.read.schema(schemas.VECTORS).parquet(old_store)
-        model = PipelineModel.load(model_path)
-    files.write_parquet(vectors.build_vectors(reports, store, model, load=load), new_store)
+    stored = vector_store.current(spark, store)
+    vector_store.upsert(spark, store, vectors.build_vectors(reports, stored, model, load=load))
     return model
 
 
@@ -169,7 +166,7 @@ def search_text(spark, store, model, text, k=config.SEARCH_K, where=None, load=N
     """Nearest stored reports to a text, with their documents and metadata; load as in build_store."""
     asked = spark.createDataFrame([("question", text)], "id string, document string")
     question = vectors.embed(asked, model) if load is None else inference.succeeded(vectors.embed_with(asked, load, 1))
-    stored = spark.read.schema(schemas.VECTORS).parquet(store)
+    stored = vector_store.current(spark, store)
     hits = vectors.search(stored, [question.first()["embedding"]], k, where)
     shown = ["document", "drug", "primary_organ_system", "severity"]
     return vectors.hits_with_documents(hits, stored, shown).orderBy("rank")
@@ -177,8 +174,7 @@ def search_text(spark, store, model, text, k=config.SEARCH_K, where=None, load=N
 
 def store_status(spark, store, categorized):
     """Stored and categorised reports."""
-    stored = files.optional_parquet(spark, store, schemas.VECTORS)
-    return counts.progress(stored, files.optional_parquet(spark, categorized, CATEGORIZED))
+    return counts.progress(vector_store.current(spark, store), files.optional_parquet(spark, categorized, CATEGORIZED))
 
 
 # ---- 4: detection, explanations

@@ -17,8 +17,10 @@ from casewatch.operators import (
     flatten,
     incremental,
     inference,
+    lsh,
     products,
     ranking,
+    vector_store,
     vectors,
 )
 from casewatch.operators import holt_winters as hw
@@ -588,9 +590,11 @@ def embed_model(spark, sf):
     """A store built by a pluggable embedding; labelled documents are stored already."""
     reports = _document_rows(spark, sf)
     done = b.table(spark, sf, "labels").select(F.col("doc_id").cast("string").alias("safetyreportid"))
-    empty = spark.createDataFrame([], schemas.VECTORS)
-    first = vectors.build_vectors(reports.join(done, "safetyreportid", "left_semi"), empty, load=lambda: _length_model())
-    built = vectors.build_vectors(reports, staged(first, "store"), load=lambda: _length_model())
+    path = fresh_path(spark, "store")
+    for part in (reports.join(done, "safetyreportid", "left_semi"), reports):
+        stored = vector_store.current(spark, path)
+        vector_store.upsert(spark, path, vectors.build_vectors(part, stored, load=lambda: _length_model()))
+    built = vector_store.current(spark, path)
     component = lambda i: F.element_at("embedding", i).cast("double")
     return built.select("id", "drug", component(1).alias("length"), component(2).alias("blanks"))
 
@@ -769,11 +773,22 @@ def knn_filtered(spark, sf):
     return _hits(vectors.search(b.vector_rows(spark, sf), _query_vectors(spark, sf), where=where))
 
 
+def _near(spark, sf, where=None):
+    rows, path = b.vector_rows(spark, sf), fresh_path(spark, "index")
+    queries = _query_vectors(spark, sf)
+    normals = lsh.planes(len(queries[0]))
+    lsh.write_index(rows, path, normals)
+    return _hits(lsh.search(rows, lsh.read_index(spark, path), queries, normals, where=where))
+
+
 @query
 def knn_lsh(spark, sf):
-    model, rows = vectors.fit_lsh(b.vector_rows(spark, sf))
-    near = vectors.search_lsh(model, rows, _query_vectors(spark, sf, 1)[0])
-    return near.withColumn("similarity", round6(F.col("similarity")))
+    return _near(spark, sf)
+
+
+@query
+def knn_lsh_filtered(spark, sf):
+    return _near(spark, sf, {"primary_organ_system": "3"})
 
 
 @query
@@ -789,6 +804,22 @@ def vector_upsert(spark, sf):
     )
 
 
+@query
+def vector_store_upsert(spark, sf):
+    """The same in a store: written, upserted twice, written whole, upserted once more."""
+    path = fresh_path(spark, "store")
+    rows = vectors.vector_metadata(b.vector_rows(spark, sf)).withColumn("document", F.lit("")).select(*schemas.VECTORS.names)
+    changed = rows.filter("primary_organ_system = '3'").withColumn("primary_organ_system", F.lit("updated"))
+    added = rows.filter("primary_organ_system = '4'").withColumn("id", F.concat(F.lit("new-"), "id"))
+    vector_store.upsert(spark, path, rows)
+    vector_store.upsert(spark, path, changed.withColumn("primary_organ_system", F.lit("first")))
+    vector_store.compact(spark, path)
+    vector_store.upsert(spark, path, changed.unionByName(added))
+    return vector_store.current(spark, path).select(
+        "id", "primary_organ_system", round6(F.element_at("embedding", 1).cast("double")).alias("first")
+    )
+
+
 def _document_rows(spark, sf):
     return b.spread_table(spark, sf, "documents").select(
         F.col("doc_id").cast("string").alias("safetyreportid"),
@@ -830,9 +861,10 @@ def vector_build(spark, sf):
     """The store holds the labelled documents; the others are embedded and added."""
     docs, model = _embedded(spark, sf)
     done = b.table(spark, sf, "labels").select(F.col("doc_id").cast("string").alias("id"))
-    store = docs.join(done, "id", "left_semi")
-    built = vectors.build_vectors(_document_rows(spark, sf), store, model)
-    return built.select("id", "drug", "primary_organ_system", F.size("embedding").cast("bigint").alias("dim"))
+    path = fresh_path(spark, "store")
+    vector_store.upsert(spark, path, docs.join(done, "id", "left_semi").select(*schemas.VECTORS.names))
+    vector_store.upsert(spark, path, vectors.build_vectors(_document_rows(spark, sf), vector_store.current(spark, path), model))
+    return vector_store.current(spark, path).select("id", "drug", "primary_organ_system", F.size("embedding").cast("bigint").alias("dim"))
 
 
 # ---- context, explanations, evaluation

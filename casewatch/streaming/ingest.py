@@ -6,9 +6,11 @@ executor keeps its share of the state on disk and a lost one is rebuilt from the
 partitions is spark.sql.shuffle.partitions at the first start. Nothing expires: state grows with the number of ids.
 """
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
-from casewatch.sources import files
+from casewatch.sources import generations
 
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -71,42 +73,28 @@ def daily_counts(stream, out, checkpoint, key, time_column="ts", id_column=None,
     counted = rows.groupBy(F.col(key).alias("drug"), F.to_date(time_column).alias("date")).agg(F.count("*").alias("count"))
 
     def write(batch, batch_id):
-        batch.write.mode("overwrite").parquet(f"{out}/changes/{batch_id}")
+        batch.write.mode("overwrite").parquet(f"{out}/{generations.CHANGES}/{batch_id}")
         if (batch_id + 1) % compact_every == 0:
             _compact(batch.sparkSession, out, batch_id)
 
     return _started(spark, counted.writeStream.outputMode("update").foreachBatch(write), checkpoint)
 
 
-def _complete(spark, folder):
-    """Numbers of the subfolders whose writing has ended, ascending."""
-    names = [n for n in files.children(spark, folder) if n.isdigit()]
-    return sorted(int(n) for n in names if "_SUCCESS" in files.children(spark, f"{folder}/{n}"))
-
-
 def _current(spark, out, below=None):
-    """The newest whole counts, of a number under `below`, and the changes after them; the last change of a key holds."""
-    whole = [n for n in _complete(spark, f"{out}/whole") if below is None or n < below]
-    base = whole[-1] if whole else -1
-    parts = [(base, f"{out}/whole/{base}")] if whole else []
-    parts += [(n, f"{out}/changes/{n}") for n in _complete(spark, f"{out}/changes") if n > base]
+    """The newest whole counts and the changes after them, of which the last of a key holds."""
+    base, parts = generations.live(spark, out, below)
     frames = [spark.read.schema(COUNTS).parquet(path).withColumn("batch", F.lit(n).cast("long")) for n, path in parts]
     if not frames:
         return base, spark.createDataFrame([], COUNTS)
-    rows = frames[0]
-    for frame in frames[1:]:  # some 2 * compact_every at most
-        rows = rows.union(frame)
+    rows = reduce(lambda a, b: a.union(b), frames)  # some 2 * compact_every at most
     return base, rows.groupBy("drug", "date").agg(F.max_by("count", "batch").alias("count"))
 
 
 def _compact(spark, out, batch_id):
     """Writes the counts whole as of a micro-batch. The generation it is made from stays, for readers and for a replay."""
     base, rows = _current(spark, out, below=batch_id)
-    rows.write.mode("overwrite").parquet(f"{out}/whole/{batch_id}")
-    for kind, limit in (("whole", base - 1), ("changes", base)):
-        for n in _complete(spark, f"{out}/{kind}"):
-            if n <= limit:
-                files.remove(spark, f"{out}/{kind}/{n}")
+    rows.write.mode("overwrite").parquet(f"{out}/{generations.WHOLE}/{batch_id}")
+    generations.retire(spark, out, base)
 
 
 def latest_counts(spark, out):

@@ -20,7 +20,9 @@ from casewatch.operators import (
     explain,
     incremental,
     inference,
+    lsh,
     ranking,
+    vector_store,
     vectors,
 )
 from casewatch.sources import bindings, files, workspace
@@ -219,22 +221,97 @@ def test_filtered_search(spark):
     assert ids == brute(matrix, matrix[0], 5, [x == 1 for x in labels])
 
 
-def test_lsh_recall_against_exact(spark, folder):
+def recall(spark, df, queries, path, k=5, where=None, keep=None, **options):
+    normals = lsh.planes(len(queries[0]))
+    if not os.path.exists(path):
+        lsh.write_index(df, path, normals)
+    near = lsh.search(df, lsh.read_index(spark, path), queries, normals, k, where, **options)
+    exact = vectors.search(df, queries, k, where)
+    pairs = lambda rows: {(r["query"], r["id"]) for r in rows.collect()}
+    return len(pairs(near) & pairs(exact)) / exact.count()
+
+
+def test_lsh_recall_against_exact(spark, folder, tmp_path):
+    df = bindings.vector_rows(spark, folder)
+    queries = [r.embedding for r in df.orderBy("id").limit(20).collect()]
+    path = f"{tmp_path}/index"
+    assert recall(spark, df, queries, path) >= 0.9
+    assert recall(spark, df, queries, path, where={"primary_organ_system": "3"}) >= 0.9
+    assert recall(spark, df, queries, path, probes=1) < recall(spark, df, queries, path, probes=6) < 1
+    assert recall(spark, df, queries[:3], path, probes=64) == 1  # all codes
+
+
+def test_lsh_probes_the_nearest_codes_first():
+    normals = lsh.planes(8, tables=1, n=3)
+    query = np.random.default_rng(2).normal(size=8)
+    margins = normals[0] @ query
+    home = sum(1 << j for j in range(3) if margins[j] > 0)
+    costs = {home ^ f: sum(margins[j] ** 2 for j in range(3) if f >> j & 1) for f in range(8)}
+    assert [c for _, c in lsh.probed_cells([query], normals, 8)] == sorted(costs, key=costs.get)
+
+
+def test_lsh_of_awkward_vectors(spark, tmp_path):
+    rows = [("z", [0.0, 0.0], "1"), ("n", None, "1"), ("s", [1.0], "1"), ("a", [1.0, 0.0], "1"), ("b", [1.0, 0.0], "1")]
+    df = spark.createDataFrame(rows, "id string, embedding array<float>, primary_organ_system string")
+    normals = lsh.planes(2, tables=2, n=2)
+    lsh.write_index(df, f"{tmp_path}/i", normals)
+    index = lsh.read_index(spark, f"{tmp_path}/i")
+    got = lsh.search(df, index, [[2.0, 0.0], [0.0, 0.0]], normals, probes=4).orderBy("query", "rank").collect()
+    assert [(r["query"], r["id"], r["similarity"]) for r in got] == [
+        (0, "a", 1.0), (0, "b", 1.0), (0, "z", 0.0), (1, "a", 0.0), (1, "b", 0.0), (1, "z", 0.0),
+    ]
+    none = df.limit(0)
+    lsh.write_index(none, f"{tmp_path}/none", normals)
+    assert lsh.search(none, index.limit(0), [[1.0, 0.0]], normals).count() == 0
+
+
+def test_index_folders_of_unprobed_cells_are_not_read(spark, folder, tmp_path):
     df = bindings.vector_rows(spark, folder)
-    model, rows = vectors.fit_lsh(df)
-    found = 0
-    queries = [r.embedding for r in df.orderBy("id").limit(5).collect()]
-    for q in queries:
-        exact = {r.id for r in vectors.search(df, [q], 5).collect()}
-        found += len(exact & {r.id for r in vectors.search_lsh(model, rows, q, 5).collect()})
-    assert found / 25 >= 0.6
+    query = df.first().embedding
+    normals = lsh.planes(len(query))
+    lsh.write_index(df, f"{tmp_path}/i", normals)
+    near = lsh.search(df, lsh.read_index(spark, f"{tmp_path}/i"), [query], normals, probes=1)
+    plan = near._jdf.queryExecution().toString()
+    assert "PartitionFilters: [cell" in plan and "PushedFilters" in plan
+
+
+# ---- vector store
+
+
+def stored(spark, *rows):
+    wide = [(i, [v], "d", "", o, "", "", "", "") for i, v, o in rows]
+    return spark.createDataFrame(wide, schemas.VECTORS)
+
+
+def test_store_keeps_the_newest_row_of_an_id(spark, tmp_path):
+    store = f"{tmp_path}/store"
+    model = {}
+    told = lambda: {r.id: r.primary_organ_system for r in vector_store.current(spark, store).collect()}
+    assert told() == {} and not vector_store.exists(spark, store)
+    rng = np.random.default_rng(4)
+    for turn in range(14):
+        ids = [str(i) for i in rng.choice(30, 6, replace=False)]
+        model |= {i: str(turn) for i in ids}
+        vector_store.upsert(spark, store, stored(spark, *[(i, 1.0, str(turn)) for i in ids]), compact_every=4)
+        if turn == 6:  # a broken upsert leaves a folder that does not count
+            stored(spark, ("x", 1.0, "x")).write.parquet(f"{store}/changes/{turn + 1}")
+            os.remove(f"{store}/changes/{turn + 1}/_SUCCESS")
+        assert told() == model
+    assert sum(len(os.listdir(f"{store}/{kind}")) for kind in ("changes", "whole")) <= 2 * 4 + 4
+
+
+def test_repeated_ids_of_one_upsert_count_once(spark, tmp_path):
+    store = f"{tmp_path}/store"
+    vector_store.upsert(spark, store, stored(spark, ("a", 1.0, "x"), ("a", 2.0, "x"), ("a", 2.0, "x"), (None, 1.0, "n")))
+    assert sorted((str(r.id), r.embedding[0]) for r in vector_store.current(spark, store).collect()) == [("None", 1.0), ("a", 2.0)]
 
 
-def test_lsh_answers_exactly_where_buckets_are_too_small(spark):
-    matrix = np.eye(6, dtype=np.float32)
-    model, rows = vectors.fit_lsh(vector_frame(spark, matrix), bucket_length=0.01, tables=1)
-    got = vectors.search_lsh(model, rows, matrix[2].astype(float), 5).collect()
-    assert len(got) == 5 and "2" in {r.id for r in got}
+def test_an_upsert_writes_its_own_rows_only(spark, tmp_path):
+    store = f"{tmp_path}/store"
+    vector_store.upsert(spark, store, stored(spark, *[(str(i), float(i), "a") for i in range(2000)]))
+    vector_store.upsert(spark, store, stored(spark, *[(str(i), 0.0, "b") for i in range(20)]))
+    written = [spark.read.parquet(f"{store}/changes/{n}").count() for n in (0, 1)]
+    assert written == [2000, 20] and vector_store.current(spark, store).count() == 2000
 
 
 def test_embedding_is_unit_length_and_finds_itself(spark):
@@ -257,9 +334,9 @@ def test_build_vectors_adds_only_pending(spark):
     empty = spark.createDataFrame([], schemas.VECTORS)
     store = workspace.staged(vectors.build_vectors(reports.filter("safetyreportid < 3"), empty, model), "store")
     assert store.count() == 3
-    built = vectors.build_vectors(reports, store, model)
-    assert built.count() == 6 and built.columns == schemas.VECTORS.names
-    row = built.filter("id = '5'").first()
+    added = vectors.build_vectors(reports, store, model)
+    assert {r.id for r in added.collect()} == {"3", "4", "5"} and added.columns == schemas.VECTORS.names
+    row = added.filter("id = '5'").first()
     assert (row.drug, row.category_tags, row.severity) == ("", "a; b", "")
 
 
