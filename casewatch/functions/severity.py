@@ -37,6 +37,12 @@ def severity_by_ladder(column):
     return chain.otherwise(F.lit(LADDER_DEFAULT))
 
 
+def ladder_of(value):
+    """severity_by_ladder() of one text, for models in Python."""
+    value = value.strip().lower()
+    return next((label for words, label in LADDER if any(word in value for word in words)), LADDER_DEFAULT)
+
+
 def changed_by(column, normal):
     """True where normalising altered more than case and outer blanks, or filled in a missing value."""
     return ~normalized(column).eqNullSafe(normal)

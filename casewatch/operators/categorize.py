@@ -1,14 +1,19 @@
 """Categorisation of report texts: built-in keyword rules and the pluggable model form."""
 
-import numpy as np
+import re
+
 import pandas as pd
 from pyspark.sql import functions as F
 
 from casewatch import config, schemas
-from casewatch.functions.severity import severity_by_ladder
+from casewatch.functions.severity import ladder_of, severity_by_ladder
 from casewatch.operators.inference import infer
 
 OTHER = "other/unclassified"
+# Where a summary sentence states what.
+STATED = r"Seriousness: ([^.]*)\."
+PRODUCT = r"patient taking (.*?)(?:,| experienced)"
+TAKING = r"patient taking (.*?) experienced"
 
 # Keyword stems of the built-in rules, per organ system.
 CLINICAL_RULES = {
@@ -46,11 +51,11 @@ def organ_system(text, rules=None):
 
 
 def stated_seriousness(text):
-    return F.regexp_extract(text, r"Seriousness: ([^.]*)\.", 1)
+    return F.regexp_extract(text, STATED, 1)
 
 
 def first_product(text):
-    return F.regexp_extract(text, r"patient taking (.*?)(?:,| experienced)", 1)
+    return F.regexp_extract(text, PRODUCT, 1)
 
 
 def label_columns(reports, text="patient_summary_text", rules=None):
@@ -66,7 +71,7 @@ def label_columns(reports, text="patient_summary_text", rules=None):
         products = F.split("drugs_involved", "; ")
         cause, several = F.coalesce(F.nullif(F.get(products, 0), F.lit("")), first_product(sentence)), F.size(products) > 1
     else:
-        several = F.contains(F.regexp_extract(sentence, r"patient taking (.*?) experienced", 1), F.lit(","))
+        several = F.contains(F.regexp_extract(sentence, TAKING, 1), F.lit(","))
         cause = first_product(sentence)
     return {
         "primary_organ_system": organ,
@@ -96,27 +101,65 @@ def with_rule_labels(reports, rules=None, text="patient_summary_text"):
     return reports.withColumns(label_columns(reports, text, rules))
 
 
+def _automaton(rules):
+    """All keywords of all systems in one automaton; a word's value is its place in (system, word) order."""
+    import ahocorasick
+
+    found = ahocorasick.Automaton()
+    for i, (system, word) in enumerate((s, w) for s, words in enumerate(rules.values()) for w in words):
+        held = found.get(word, ())
+        found.add_word(word, (*held, (i, system)))
+    found.make_automaton()
+    return found
+
+
 def keyword_model(rules=None, text="patient_summary_text", id_column="safetyreportid"):
-    """A small pandas model with the organ rules: an example for, and a check of, `infer`."""
+    """The rules of label_columns() as a pandas model: an example for, and a check of, `infer`.
+
+    A text is searched for all keywords at once; missing texts count as empty.
+    """
     rules = CLINICAL_RULES if rules is None else rules
+    names = [*rules, OTHER]
 
     def load():
-        names = np.array([*rules, OTHER], dtype=object)
+        automaton = _automaton(rules)
+        stated, taking, product = (re.compile(p) for p in (STATED, TAKING, PRODUCT))
+
+        def organ(value):
+            hits = [0] * len(rules)
+            for _, system in {hit for _, found in automaton.iter(value.lower()) for hit in found}:
+                hits[system] += 1
+            best = max(hits, default=0)
+            return names[hits.index(best) if best else -1]
+
+        def first_group(pattern, value):
+            match = pattern.search(value)
+            return match[1] if match else ""
 
         def model(batch: pd.DataFrame) -> pd.DataFrame:
-            lowered = batch[text].str.lower()
-            hits = [sum(lowered.str.contains(w, regex=False, na=False).to_numpy(int) for w in words) for words in rules.values()]
-            counted = np.stack(hits, axis=1)
-            # argmax takes the earlier rule on ties
-            organ = names[np.where(counted.max(axis=1) > 0, counted.argmax(axis=1), len(rules))]
+            texts = [t if isinstance(t, str) else "" for t in batch[text]]
+            searched = batch["reactions"] if "reactions" in batch else texts
+            organs = [organ(t) if isinstance(t, str) else OTHER for t in searched]
+            severities = [ladder_of(first_group(stated, t)) for t in texts]
+            if "drugs_involved" in batch:
+                products = [d.split("; ") if isinstance(d, str) else [] for d in batch["drugs_involved"]]
+                causes = [(p[0] if p else "") or first_group(product, t) for p, t in zip(products, texts)]
+                several = [len(p) > 1 for p in products]
+            else:
+                causes = [first_group(product, t) for t in texts]
+                several = ["," in first_group(taking, t) for t in texts]
+            tags = [
+                ["known_side_effect"] + ["drug_interaction_suspected"] * many + ["fatal_outcome"] * (grade == "fatal")
+                for many, grade in zip(several, severities)
+            ]
             return pd.DataFrame(
                 {
                     "id": batch[id_column].astype(str),
-                    "primary_organ_system": organ,
-                    "severity": None,
-                    "likely_causal_drug": None,
-                    "category_tags": [["known_side_effect"]] * len(batch),
-                    "rationale": "keyword model",
+                    "primary_organ_system": organs,
+                    "severity": severities,
+                    "likely_causal_drug": causes,
+                    "category_tags": tags,
+                    "rationale": [f"Keyword rules matched {o}." for o in organs],
                 }
             )
 

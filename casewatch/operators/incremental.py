@@ -7,7 +7,7 @@ from casewatch import schemas
 from casewatch.functions.ids import batch_id, hash_bucket
 from casewatch.operators.ranking import keep_first, stratified_sample
 
-BUCKETS = 1024
+BUCKETS = 65_536
 
 
 def pending(rows, done, id_column="safetyreportid", done_column=None):
@@ -29,27 +29,42 @@ def pending_sample(rows, done, per_drug=None, cap_all=False, seed=42, id_column=
     return stratified_sample(pending(rows, done, id_column), per_drug, seed, id_column=id_column)
 
 
+def _split(rows, bucket, split_rows, id_column):
+    """The part of its bucket a row is in: overfull buckets are halved by digest ranges until a part has split_rows or so."""
+    sizes = rows.select(bucket.alias("bucket")).groupBy("bucket").agg(F.count("*").alias("n"))
+    halvings = F.greatest(F.ceil(F.log2(F.col("n") / split_rows)), F.lit(0))
+    crowded = sizes.select(F.col("bucket").alias("_bucket"), F.pow(F.lit(2), halvings).alias("_parts")).filter("_parts > 1")
+    second = F.conv(F.substring(F.sha2(F.col(id_column).cast("string"), 256), 9, 8), 16, 10).cast("long")
+    joined = rows.join(crowded, bucket == F.col("_bucket"), "left")
+    part = F.coalesce(F.floor(second * F.col("_parts") / 2.0**32), F.lit(0)).cast("int")
+    return joined.withColumn("part", part).drop("_bucket", "_parts")
+
+
 def make_batches(
-    rows, size, buckets=BUCKETS, id_column="safetyreportid", payload=("patient_summary_text",)
+    rows, size, buckets=BUCKETS, id_column="safetyreportid", payload=("patient_summary_text",), split_rows=None
 ):
     """Batches of at most `size` rows with a digest id and their items.
 
     Positions are counted inside hash buckets of the id, never over the whole table. The number of
     buckets belongs to the results and must stay the same for them: then new rows change only
-    the batches of the buckets they fall into. Ids must be unique.
+    the batches of the buckets they fall into. Take thousands, so that a bucket is a small share of any
+    table. split_rows: halve buckets that hold more rows; this counts the ids first, and a bucket's batches change
+    anew whenever it doubles beyond that. Ids must be unique.
     """
     bucket = hash_bucket(F.col(id_column), buckets)
-    within = Window.partitionBy("bucket").orderBy(id_column)
-    numbered = rows.withColumn("bucket", bucket).withColumn(
+    placed = rows.withColumn("part", F.lit(0)) if split_rows is None else _split(rows, bucket, split_rows, id_column)
+    within = Window.partitionBy("bucket", "part").orderBy(id_column)
+    numbered = placed.withColumn("bucket", bucket).withColumn(
         "batch", F.floor((F.row_number().over(within) - 1) / size).cast("int")
     )
     item = F.struct(F.col(id_column).alias("id"), *[F.col(c) for c in payload])
     return (
-        numbered.groupBy("bucket", "batch")
+        numbered.groupBy("bucket", "part", "batch")
         .agg(F.array_sort(F.collect_list(item)).alias("items"))
         .select(
             batch_id(F.transform("items", lambda i: i["id"])).alias("batch_id"),
             "bucket",
+            "part",
             "batch",
             "items",
             F.size("items").alias("n_items"),

@@ -600,11 +600,7 @@ def statements():
         "'Keyword rules matched ' || primary_organ_system || '.' AS rationale FROM categorized",
         "categorized",
     )
-    s["categorize_mapinpandas"] = _sql(
-        "SELECT safetyreportid AS id, primary_organ_system, CAST(NULL AS VARCHAR) AS severity, CAST(NULL AS VARCHAR) "
-        "AS likely_causal_drug, 'known_side_effect' AS category_tags, 'keyword model' AS rationale FROM categorized",
-        "categorized",
-    )
+    s["categorize_mapinpandas"] = s["categorize_rules"]
     s["inference_errors"] = (
         "WITH n AS (SELECT *, CAST(floor((row_number() OVER (PARTITION BY bucket ORDER BY id) - 1) / 5) AS INT) AS batch "
         "FROM (SELECT CAST(doc_id AS VARCHAR) AS id, text, CAST('0x' || substr(sha256(CAST(doc_id AS VARCHAR)), 1, 8) "

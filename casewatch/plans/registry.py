@@ -36,7 +36,7 @@ from casewatch.streaming import ingest as stream
 QUERIES = {}
 FIXED_WEIGHTS = (0.3, 0.05, 0.1)
 LIST_SEPARATOR = "|"
-BATCH_BUCKETS = 16
+BATCH_BUCKETS = 4096
 REFUSED_BATCH = 5
 
 
@@ -514,7 +514,7 @@ def categorize_rules(spark, sf):
 
 @query
 def categorize_mapinpandas(spark, sf):
-    reports = summaries(spark, sf).select("safetyreportid", "patient_summary_text")
+    reports = summaries(spark, sf).select("safetyreportid", "patient_summary_text", "reactions", "drugs_involved")
     load = categorize.keyword_model(b.REACTION_RULES, id_column="id")
     labels = inference.succeeded(categorize.categorize(reports, load))
     return labels.withColumn("category_tags", joined("category_tags"))

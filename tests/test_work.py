@@ -107,6 +107,33 @@ def test_batches_of_other_buckets_keep_their_ids(spark):
     assert kept and kept <= {r.batch_id for r in after}
 
 
+def test_overfull_buckets_are_split_and_others_keep_their_ids(spark):
+    few, many = ids_frame(spark, range(300)), ids_frame(spark, range(3000))
+    one = incremental.make_batches(few, 7, buckets=16, split_rows=40).collect()
+    assert {r.part for r in one} == {0}  # nothing to split yet: as without
+    assert {r.batch_id for r in one} == {r.batch_id for r in incremental.make_batches(few, 7, buckets=16).collect()}
+    split = incremental.make_batches(many, 7, buckets=16, split_rows=40).collect()
+    assert sorted(i["id"] for r in split for i in r["items"]) == sorted(map(str, range(3000)))
+    sizes = {}
+    for r in split:
+        sizes[r.bucket, r.part] = sizes.get((r.bucket, r.part), 0) + r.n_items
+    assert len(sizes) > 16 * 4 and max(sizes.values()) <= 60 and max(r.n_items for r in split) <= 7
+    grown = many.unionByName(ids_frame(spark, range(9000, 9004)))
+    again = {r.batch_id for r in incremental.make_batches(grown, 7, buckets=16, split_rows=40).collect()}
+    kept = [r for r in split if r.batch_id in again]
+    assert len({r.bucket for r in kept}) >= 12
+
+
+def test_many_buckets_spread_evenly(spark):
+    """No task of the numbering holds twice the median, whatever the size of the table."""
+    for n in (4_000, 40_000):
+        rows = spark.range(n).select(F.col("id").cast("string").alias("safetyreportid"), F.lit("t").alias("patient_summary_text"))
+        batches = incremental.make_batches(rows, 20, buckets=4096)
+        per_task = batches.groupBy(F.pmod(F.hash("bucket", "part"), F.lit(8)).alias("task")).agg(F.sum("n_items").alias("n"))
+        held = sorted(r.n for r in per_task.collect())
+        assert held[-1] < 2 * held[len(held) // 2]
+
+
 def test_missing_severity_that_is_filled_counts_as_changed(spark):
     df = spark.createDataFrame([(None,), ("\tMild\n",), ("Hospitalization\n",)], "s string")
     got = df.select(explain.normalized_count(F.col("s"), severity.severity_by_ladder(F.col("s"))).alias("n")).first()
@@ -177,14 +204,23 @@ def test_failing_batch_is_isolated_and_retried(spark):
 
 
 def test_keyword_model_equals_rules(spark):
-    texts = ["Nausea and vomiting", "rash, nausea", "nothing", "RASH Rash urticaria; cough"]
+    texts = [
+        "Nausea and vomiting", "rash, nausea", "nothing", "RASH Rash urticaria; cough", "", None, "skinskin skin pruritus",
+        "Female, patient taking A, B experienced: Rash. Seriousness: Death, Hospitalization.",
+        "patient taking C experienced: Seizure. Seriousness: Non-Serious.", "Seriousness: life threatening .",
+    ]
     rows = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "safetyreportid string, patient_summary_text string")
-    rules = {r.id: r.primary_organ_system for r in categorize.categorize_rules(rows).collect()}
-    model = categorize.categorize(rows, categorize.keyword_model(id_column="id"), batch_size=2)
-    assert {r.id: r.primary_organ_system for r in model.collect()} == rules
-    assert rules["0"] == "gastrointestinal" and rules["2"] == categorize.OTHER
-    assert set(rules.values()) <= set(config.ORGAN_SYSTEMS)
-    assert set(categorize.CLINICAL_RULES) < set(config.ORGAN_SYSTEMS)
+    wide = rows.withColumn("reactions", F.lower("patient_summary_text")).withColumn(
+        "drugs_involved", F.when(F.col("safetyreportid") < 4, "X; Y").when(F.col("safetyreportid") < 8, "")
+    )
+    for table in (rows, wide):
+        given = table.fillna("", ["patient_summary_text"])
+        rules = {r.id: r for r in categorize.categorize_rules(given).collect()}
+        model = inference.succeeded(categorize.categorize(table, categorize.keyword_model(id_column="id"), batch_size=2))
+        assert {r.id: tuple(r) for r in model.collect()} == {i: tuple(r) for i, r in rules.items()}
+    assert rules["0"].primary_organ_system == "gastrointestinal" and rules["2"].primary_organ_system == categorize.OTHER
+    organs = {r.primary_organ_system for r in rules.values()}
+    assert organs <= set(config.ORGAN_SYSTEMS) and set(categorize.CLINICAL_RULES) < set(config.ORGAN_SYSTEMS)
 
 
 # ---- vectors
