@@ -14,8 +14,9 @@ from casewatch.operators import incremental, inference, ranking, vector_store, v
 from casewatch.operators.explain import normalized_count
 from casewatch.plans import detection, diagnostics
 from casewatch.session import tune
+from casewatch.sources import archive as page_archive
 from casewatch.sources import files
-from casewatch.sources.workspace import staged
+from casewatch.sources.workspace import fresh_path, staged
 
 LABELS = T.StructType(
     [T.StructField("batch_id", T.StringType()), T.StructField("position", T.LongType()), *schemas.LABEL_ROW.fields]
@@ -29,26 +30,54 @@ JUDGED = T.StructType(
 )
 
 
-SLICES = 16
+BATCHES_PER_TASK = 16
 
 
-def append_in_slices(todo, id_column, work, results, slices=SLICES):
+def append_in_slices(todo, id_column, work, results, batch_size, slices=None):
     """work(part) appended to the result folder for one part of the ids after another.
 
     A model's answers cost: a run that breaks keeps those of its finished parts, and the next run does not
-    ask for them again. todo is staged, because results grow while it is read.
+    ask for them again. Without a number of slices, a part has some BATCHES_PER_TASK batches for each core, so a
+    break loses so many answers whatever the size of the table. todo is staged in a folder per part, because
+    results grow while it is read.
     """
+    spark = todo.sparkSession
     todo = staged(todo, "todo")
-    for part in range(slices):
-        files.append_results(work(todo.filter(ids.hash_bucket(F.col(id_column), slices) == part)), results)
+    total, per_task = todo.count(), batch_size * BATCHES_PER_TASK
+    if slices is None:
+        slices = max(1, -(-total // (per_task * spark.sparkContext.defaultParallelism)))
+    if slices == 1:
+        files.append_results(work(todo), results)
+        return
+    path = fresh_path(spark, "slices")
+    part = ids.hash_bucket(F.col(id_column), slices)
+    todo.withColumn("_slice", part).hint("rebalance", "_slice").write.partitionBy("_slice").parquet(path)
+    for name in sorted(n for n in files.children(spark, path) if n.startswith("_slice=")):
+        rows = spark.read.schema(todo.schema).parquet(f"{path}/{name}")
+        files.append_results(work(rows.repartition(max(1, -(-total // (slices * per_task))))), results)
+
+
+def raw_reports(spark, pages, archive=None, months=None):
+    """Reports of a folder of pages: parsed anew, or by way of an archive, which first takes the pages it lacks.
+
+    months: callable that tells the months wanted, for the archive; None for all.
+    """
+    if archive is None:
+        return files.read_report_pages(spark, pages)
+    page_archive.update(spark, pages, archive)
+    return page_archive.read(spark, archive, months() if months else None)
 
 
 # ---- 1: reports in
 
 
-def ingest_counts(spark, pages, out, drugs=config.DRUGS, start=config.START_DATE, end=config.END_DATE):
-    """Daily serious counts, one CSV folder per drug. Returns days and totals per drug."""
-    named = flatten.scan_reports(files.read_report_pages(spark, pages), drugs, start, end)
+def ingest_counts(spark, pages, out, drugs=config.DRUGS, start=config.START_DATE, end=config.END_DATE, archive=None):
+    """Daily serious counts, one CSV folder per drug. Returns days and totals per drug.
+
+    archive: folder of an archive of the pages, kept up to date, of which the months of the range are read.
+    """
+    reports = raw_reports(spark, pages, archive, lambda: page_archive.months_between(start, end))
+    named = flatten.scan_reports(reports, drugs, start, end)
     files.write_csv(counts.daily_counts(counts.mentions_of(named)), out, partition_by="drug")
     return counts.counts_summary(files.read_csv(spark, out, schemas.DAILY_COUNTS))
 
@@ -61,10 +90,12 @@ def ingest_reports(
     start=config.START_DATE,
     end=config.END_DATE,
     per_drug_limit=config.PER_DRUG_LIMIT,
+    archive=None,
 ):
-    """Flat unique reports: limited per drug first, then each report kept for its first drug."""
+    """Flat unique reports: limited per drug first, then each report kept for its first drug; archive as above."""
     tune(spark)
-    named = flatten.scan_reports(files.read_report_pages(spark, pages), drugs, start, end)
+    reports = raw_reports(spark, pages, archive, lambda: page_archive.months_between(start, end))
+    named = flatten.scan_reports(reports, drugs, start, end)
     unique = ranking.dedup_reports(ranking.cap_per_drug(named, per_drug_limit), drugs, then_by=["receivedate"])
     files.write_parquet(flatten.flatten_reports(unique), out)
 
@@ -81,7 +112,7 @@ def categorize_pending(
     rules=None,
     per_drug=None,
     batch_size=config.CATEGORIZE_BATCH,
-    slices=SLICES,
+    slices=None,
 ):
     """Label the reports without a label and append the good rows to the result folder.
 
@@ -102,7 +133,7 @@ def categorize_pending(
         files.append_results(stamped(categorize.categorize_rules(todo, rules)), results)
     else:
         label = lambda part: stamped(inference.succeeded(categorize.categorize(part, load, batch_size)))
-        append_in_slices(todo, "safetyreportid", label, results, slices)
+        append_in_slices(todo, "safetyreportid", label, results, batch_size, slices)
 
 
 def import_label_batches(spark, folder, results):
@@ -202,17 +233,19 @@ def diagnose(
     days=config.CONTEXT_DAYS,
     load=None,
     batch_size=1,
-    slices=SLICES,
+    slices=None,
+    archive=None,
 ):
     """Explain the flagged days that have no explanation yet; days without reports are skipped.
 
     load: a model for diagnostics.explain_with, or None for the extractive explanations. A model's
-    answers are appended in slices; days whose batch failed stay open.
+    answers are appended in slices; days whose batch failed stay open. archive: folder of an archive of the
+    pages, of which only the months around the open days are read.
     """
     table = files.read_csv(spark, anomalies, schemas.ANOMALIES)
     flagged = detection.high_confidence(table).withColumn("entity_id", _explanation_id())
     todo = incremental.pending(flagged, files.optional_parquet(spark, results, EXPLAINED), "entity_id")
-    reports = files.read_report_pages(spark, pages).withColumn(
+    reports = raw_reports(spark, pages, archive, lambda: page_archive.months_around(todo, reach=days)).withColumn(
         "drug", F.explode(flatten.tracked_drugs_named(F.col("patient.drug"), drugs))
     )
     found = diagnostics.labelled_context(todo, reports, rules, n, days)
@@ -221,7 +254,7 @@ def diagnose(
         files.append_results(as_stored(explain.explain_extractive(found).withColumn("entity_id", _explanation_id())), results)
     else:
         answered = lambda part: as_stored(inference.succeeded(diagnostics.explain_with(part, load, batch_size)))
-        append_in_slices(diagnostics.to_explain(staged(found, "context"), days), "entity_id", answered, results, slices)
+        append_in_slices(diagnostics.to_explain(staged(found, "context"), days), "entity_id", answered, results, batch_size, slices)
 
 
 def merge_diagnoses(spark, results, out):
@@ -295,18 +328,20 @@ def judge(
     days=config.CONTEXT_DAYS,
     load=None,
     batch_size=1,
-    slices=SLICES,
+    slices=None,
+    archive=None,
 ):
     """Score the explanations that have no score yet. Returns mean score and count of all.
 
     load: a model for diagnostics.judge_with, or None for word coverage; its scores are appended in slices.
+    archive: as in diagnose().
     """
     rows = files.read_csv(spark, explanations, schemas.EXPLANATIONS).withColumn(
         "entity_id", ids.entity_id(F.col("drug"), F.col("date"))
     )
     todo = incremental.pending(rows, files.optional_parquet(spark, results, SCORED), "entity_id")
     todo = staged(todo.withColumn("date", F.to_date("date")), "unscored")
-    reports = files.read_report_pages(spark, pages).withColumn(
+    reports = raw_reports(spark, pages, archive, lambda: page_archive.months_around(todo, reach=days)).withColumn(
         "drug", F.explode(flatten.tracked_drugs_named(F.col("patient.drug"), drugs))
     )
     found = diagnostics.labelled_context(todo, reports, None, n, days)
@@ -318,5 +353,5 @@ def judge(
         files.append_results(as_stored(scores.withColumn("entity_id", entity)), results)
     else:
         answered = lambda part: as_stored(inference.succeeded(diagnostics.judge_with(part, load, batch_size)))
-        append_in_slices(diagnostics.to_judge(todo, bundles), "entity_id", answered, results, slices)
+        append_in_slices(diagnostics.to_judge(todo, bundles), "entity_id", answered, results, batch_size, slices)
     return evaluate.score_summary(spark.read.schema(SCORED).parquet(results))

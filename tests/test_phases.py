@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import os
 
 import numpy as np
 import pandas as pd
@@ -9,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from casewatch.plans import phases
-from casewatch.sources import files
+from casewatch.sources import archive, files
 
 START = dt.date(2023, 1, 1)
 DRUGS = ("metformin", "ibuprofen")
@@ -187,6 +188,65 @@ def test_models_explain_judge_and_embed(spark, folder):
     assert len(hits) == 3 and all("Jaundice" in h.document for h in hits)
 
 
+def test_archive_parses_each_page_once(spark, folder, tmp_path, monkeypatch):
+    pages, kept = tmp_path / "pages", str(tmp_path / "archive")
+    pages.mkdir()
+    names = sorted(os.listdir(folder / "pages"))
+    for name in names[:3]:
+        (pages / name).write_text((folder / "pages" / name).read_text())
+    parsed = []
+    plain = files.read_report_pages
+    monkeypatch.setattr(files, "read_report_pages", lambda s, paths: parsed.append(len(paths)) or plain(s, paths))
+    key = lambda r: (r.safetyreportid, r.receivedate)
+    assert archive.update(spark, str(pages), kept) == 3 and archive.update(spark, str(pages), kept) == 0
+    odd = {"results": [{"safetyreportid": "x", "receivedate": "soon"}, {"safetyreportid": "y"}]}
+    (pages / "odd.json").write_text(json.dumps(odd))
+    assert archive.update(spark, str(pages), kept) == 1 and parsed == [3, 1]
+    assert sorted(map(str, map(key, archive.read(spark, kept).collect()))) == sorted(map(str, map(key, plain(spark, str(pages)).collect())))
+    (pages / names[3]).write_text((folder / "pages" / names[3]).read_text())
+    update = archive.update(spark, str(pages), kept)
+    for n in os.listdir(f"{kept}/pages/2"):  # as if broken off before the list of pages was complete
+        if n == "_SUCCESS":
+            os.remove(f"{kept}/pages/2/{n}")
+    before = archive.read(spark, kept).count()
+    assert update == 1 and archive.update(spark, str(pages), kept) == 1
+    assert archive.read(spark, kept).count() == plain(spark, str(pages)).count() > before
+
+
+def test_phases_by_way_of_the_archive(spark, folder, tmp_path, monkeypatch):
+    pages, kept, anomalies = at(folder, "pages"), str(tmp_path / "archive"), at(folder, "anomalies")
+    plain = phases.ingest_counts(spark, pages, str(tmp_path / "c1"), DRUGS).collect()
+    assert phases.ingest_counts(spark, pages, str(tmp_path / "c2"), DRUGS, archive=kept).collect() == plain
+    monkeypatch.setattr(files, "read_report_pages", None)  # from here on no page is parsed
+    phases.diagnose(spark, anomalies, pages, str(tmp_path / "found"), DRUGS, archive=kept)
+    monkeypatch.undo()
+    phases.diagnose(spark, anomalies, pages, str(tmp_path / "plain"), DRUGS)
+    key = lambda path: sorted(map(str, spark.read.parquet(str(tmp_path / path)).collect()))
+    assert key("found") == key("plain") != []
+    some = archive.read(spark, kept, {"202203"})
+    plan = some._jdf.queryExecution().toString()
+    assert "PartitionFilters: [(month" in plan or "PartitionFilters: [isnotnull(month" in plan
+    assert {r[0][:6] for r in some.select("receivedate").distinct().collect()} <= {"202203"}
+    assert archive.months_between("2022-11-30", "2023-02-01") == {"202211", "202212", "202301", "202302"}
+
+
+def test_slices_follow_the_number_of_batches(spark, tmp_path):
+    rows = spark.range(200).selectExpr("cast(id as string) AS id")
+    sizes = []
+    work = lambda part: sizes.append(part.count()) or part
+    phases.append_in_slices(rows, "id", work, str(tmp_path / "a"), batch_size=1000)
+    assert sizes == [200]
+    sizes.clear()
+    monkey = phases.BATCHES_PER_TASK
+    phases.BATCHES_PER_TASK = 1
+    try:
+        phases.append_in_slices(rows, "id", work, str(tmp_path / "b"), batch_size=5)
+    finally:
+        phases.BATCHES_PER_TASK = monkey
+    assert len(sizes) == -(-200 // (5 * spark.sparkContext.defaultParallelism)) and sum(sizes) == 200
+    assert spark.read.parquet(str(tmp_path / "b")).distinct().count() == 200
+
+
 def test_imported_batches_and_foreign_tables(spark, tmp_path):
     folder = tmp_path / "batches"
     folder.mkdir()
