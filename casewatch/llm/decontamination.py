@@ -15,12 +15,13 @@ window digests otherwise. Documents' texts are not shuffled.
 
 from pyspark.sql import functions as F
 
-from casewatch.llm.common import SPACE_CLASS, row_key, text_or_empty
+from casewatch.llm.common import SPACE_CLASS, aside, row_key, text_or_empty
 from casewatch.sources.workspace import staged
 
 WINDOW = 8
 COVERED = 0.6  # share of an item's windows that one alignment must hold
 BAND = 4  # diagonals so far apart always share a band
+PIECE = 2_048  # words of a document that meet its alignments at once
 JOINER = "\u2060"  # between the words of one value
 NUMBER, NAME, UNIT = "ⓝ", "ⓐ", "ⓤ"
 # Fixed list of units that follow a number.
@@ -47,9 +48,10 @@ def _plain(text):
 
     Units stand apart from their number, and numbers or names that follow each other are one word.
     """
-    spaced = F.regexp_replace(text, SPACE_CLASS, " ")
-    plain = F.trim(F.regexp_replace(spaced, r"(?<=^| )[^\p{L}\p{N} ]++(?= |$)", ""))
-    named = F.regexp_replace(F.regexp_replace(plain, " +", " "), _FURTHER_NAME, f"$1{JOINER}")
+    # single blanks, by far the most of the white space, are left where they are
+    spaced = F.regexp_replace(text, rf"[\x09-\x0D]{SPACE_CLASS[:-1]}*+| {SPACE_CLASS}", " ")
+    plain = F.trim(F.regexp_replace(spaced, r"(?<=^| )[^\p{L}\p{N} ]++(?: |$)", ""))
+    named = F.regexp_replace(plain, _FURTHER_NAME, f"$1{JOINER}")
     return F.regexp_replace(F.regexp_replace(named, _FURTHER_NUMBER, JOINER), _CLOSE_UNIT, " ")
 
 
@@ -65,9 +67,16 @@ def template(plain):
     return _split(F.lower(F.regexp_replace(F.regexp_replace(measured, _REST, ""), _RUN, "$1")))
 
 
-def _windows(words, size):
-    starts = F.sequence(F.lit(1), F.greatest(F.size(words) - (size - 1), F.lit(1)))
-    return F.when(F.size(words) >= size, F.transform(starts, lambda i: F.xxhash64(F.slice(words, i, size))))
+def _windows(words, sizes):
+    """size, place and digest of the windows of all the sizes, as one array."""
+    each = []
+    for size in sizes:
+        starts = F.sequence(F.lit(1), F.greatest(F.size(words) - (size - 1), F.lit(1)))
+        told = F.transform(
+            starts, lambda i, size=size: F.struct(F.lit(size).alias("of"), i.alias("place"), F.xxhash64(F.slice(words, i, size)).alias("digest"))
+        )
+        each.append(F.when(F.size(words) >= size, told).otherwise(F.slice(told, 1, 0)))
+    return F.flatten(F.array(*each)) if len(each) > 1 else each[0]
 
 
 def item_windows(benchmark, window=WINDOW, text="text"):
@@ -91,16 +100,9 @@ def matches(docs, benchmark, window=WINDOW, text="text"):
     words = docs.select(
         row_key("doc_id", text).alias("key"), "doc_id", template(_plain(text_or_empty(text))).alias("words")
     )
-    found = None
-    for size in sorted(sizes):
-        rows = words.select("key", "doc_id", F.posexplode(_windows(F.col("words"), size)).alias("place", "digest"))
-        of_size = items.filter(F.col("size") == size).select(F.col("digest").alias("_digest"), "item_id", "at", "windows", "size")
-        hits = rows.join(of_size, F.col("digest") == F.col("_digest"))
-        found = hits if found is None else found.unionByName(hits)
-    if found is None:
-        found = words.limit(0).join(
-            items.select(F.lit(0).alias("place"), "item_id", "at", "windows", "size"), F.lit(True)
-        ).drop("words")
+    rows = words.select("key", "doc_id", F.inline(_windows(F.col("words"), sorted(sizes) or [window])))
+    wanted = items.select(F.col("digest").alias("_digest"), "item_id", "at", "windows", "size")
+    found = rows.join(wanted, (F.col("digest") == F.col("_digest")) & (F.col("of") == F.col("size")))
     # rows that repeat a document count once
     of = ("key", "doc_id", "item_id", "windows", "size")
     diagonals = found.groupBy(*of, (F.col("place") - F.col("at")).alias("shift")).agg(F.collect_set("at").alias("places"))
@@ -134,15 +136,33 @@ def leaks(docs, benchmark, window=WINDOW, covered=COVERED, text="text", checkpoi
         asked, (F.col("_row") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi"
     )
     document = both.select("_row", F.col("doc_id").alias("_id"), "_text").distinct()
-    document = document.select("_row", "_id", _split(_plain(F.col("_text"))).alias("doc_words"))
+    document = document.select("_row", "_id", _split(_plain(F.col("_text"))).alias("_words"))
+    # pieces overlap by as many words as the longest alignment spans, so each lies in the piece it begins in
+    reach = near.agg(F.max(F.col("windows") + F.col("size")).alias("reach")).first()["reach"] or 0
+    begins = F.explode(F.sequence(F.lit(0), F.floor(F.size("_words") / PIECE))).alias("_piece")
+    pieces = document.select("_row", "_id", "_words", begins).select(
+        "_row", "_id", "_piece", F.slice("_words", (F.col("_piece") * PIECE + 1).cast("int"), PIECE + reach + 2 * BAND).alias("_words")
+    )
     plain = _plain(text_or_empty(text))
     item = benchmark.filter(F.col("item_id").isNotNull()).select(
         F.col("item_id").alias("_item"), _split(plain).alias("item_words"), template(plain).alias("item_template")
     )
     item = item.groupBy("_item").agg(*[F.min(c).alias(c) for c in ("item_words", "item_template")])
-    joined = near.join(document, (F.col("key") == F.col("_row")) & F.col("doc_id").eqNullSafe(F.col("_id"))).join(
-        item, F.col("item_id") == F.col("_item")
-    )
+    # of the document's words those beside the item, right behind the join: long texts never travel with alignments
+    first = F.greatest(F.array_min(F.transform("parts", lambda p: p["shift"])), F.lit(0))
+    last = F.array_max(F.transform("parts", lambda p: p["shift"])) + F.col("windows") + F.col("size") - 1
+    told = near.withColumn("first", first).withColumn("length", F.greatest(last - F.col("first"), F.lit(0)))
+    told = told.withColumn("piece", F.floor(F.col("first") / PIECE))
+    beside = told.join(
+        pieces, (F.col("key") == F.col("_row")) & F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("piece") == F.col("_piece"))
+    ).select(
+        "key", "doc_id", "item_id", "windows", "size", "hit", "shift",
+        F.transform("parts", lambda p: F.struct(p["less"], (p["shift"] - F.col("first")).alias("shift"), p["places"])).alias("parts"),
+        F.slice("_words", (F.col("first") - F.col("piece") * PIECE + 1).cast("int"), F.col("length")).alias("doc_words"),
+    )
+    # a text that repeats itself has many alignments that look alike: the first stands for all
+    alike = beside.groupBy("key", "doc_id", "item_id", "windows", "size", "hit", "parts", "doc_words").agg(F.min("shift").alias("shift"))
+    joined = alike.join(item, F.col("item_id") == F.col("_item"))
 
     def shift_of(i):
         """The shift of the first diagonal with a matched window over the item's word i, else null."""
@@ -178,6 +198,11 @@ def leaks(docs, benchmark, window=WINDOW, covered=COVERED, text="text", checkpoi
 
 
 def clean(docs, benchmark, text="text", **options):
-    """The rows of docs in which no benchmark item is found, unchanged."""
+    """The rows of docs in which no benchmark item is found, unchanged, whatever their columns are called.
+
+    Rows that repeat stay or go together. Null and empty texts stay; so does everything if there are no items.
+    """
     found = leaks(docs, benchmark, text=text, **options).select(F.col("key").alias("_key"), F.col("doc_id").alias("_id")).distinct()
-    return docs.join(found, (row_key("doc_id", text) == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+    own = aside(docs, "doc_id", text)
+    same = (row_key("doc_id", text) == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+    return own.join(found, same, "left_anti").select("_rest.*")

@@ -17,7 +17,6 @@ from casewatch.llm import (
     context_tree,
     decontamination,
     interleaving,
-    jaccard_dedup,
     line_frequency,
     periodic_runs,
     personal_data,
@@ -34,6 +33,7 @@ DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 LONG = "long words make " * 40_000
 # extra columns carry names that the operators use inside
 EXTRA = "score string, key string, n string, label string, start string, bundle string, kind string, digest string, fp string, _words string"
+CLASHES = "_id", "_rows", "_key", "_row", "_cuts", "_drop", "_rest", "removed", "item_id", "hit", "component_id", "at", "text_"
 
 
 def docs(spark, rows):
@@ -83,7 +83,6 @@ OPERATORS = {
     "personal": lambda s, d: personal_data.report(d),
     "redacted": lambda s, d: personal_data.redacted(d),
     "toxicity": lambda s, d: toxicity.classify(d, toxicity.learn(d, labels(s))),
-    "jaccard": lambda s, d: jaccard_dedup.near_duplicates(d),
     "simhash": lambda s, d: simhash_dedup.near_duplicates(d),
     "periodic_runs": lambda s, d: periodic_runs.runs_of(d),
     "periodic_report": lambda s, d: periodic_runs.report(d),
@@ -110,6 +109,38 @@ def test_keep_first_of_awkward_rows(spark, awkward):
     assert sorted(kept, key=str) == [1, 2, 5, 6, None]  # empty texts are one group
 
 
+@pytest.mark.parametrize("name", ["keep_first", "clean", "redacted", "without_lines", "substring"])
+def test_names_used_inside_do_not_clash(spark, name):
+    """Rows come back whole whatever their columns are called."""
+    texts = {1: ITEM, 2: "mail me at joe.doe@example.org or not, as you like it best of all my friends", 3: None, 4: "plain words " * 9}
+    plain = docs(spark, [(i, t, "s") for i, t in texts.items()])
+    wide = plain
+    for clash in CLASHES:
+        wide = wide.withColumn(clash, F.concat(F.lit("own "), F.col("doc_id").cast("string")))
+    run = {
+        "keep_first": simhash_dedup.keep_first,
+        "clean": lambda d: decontamination.clean(d, bench(spark, [(7, ITEM)])),
+        "redacted": personal_data.redacted,
+        "without_lines": line_frequency.without_frequent_lines,
+        "substring": substring_dedup.deduplicated,
+    }[name]
+    want = {r["doc_id"]: r["text"] for r in run(plain).collect()}
+    got = run(wide)
+    assert got.columns[: len(plain.columns)] == plain.columns
+    rows = {r["doc_id"]: r for r in got.collect()}
+    assert {i: r["text"] for i, r in rows.items()} == want and len(want) == (3 if name == "clean" else 4)
+    own = [c for c in CLASHES if not (name == "substring" and c == "removed")]
+    assert all(r[c] == f"own {i}" for i, r in rows.items() for c in own)
+
+
+@pytest.mark.parametrize("n", [2_000, 80_000])
+def test_long_repetitive_texts_are_looked_at_in_full(spark, n):
+    item = "alpha beta gamma delta " * 10
+    long = "alpha beta gamma delta " * (n // 4)
+    other = "alpha beta delta gamma " * (n // 4)
+    assert leaked(spark, item, long, "so " + long + " end", other) == [0, 1]
+
+
 def test_fingerprints_links_and_components(spark):
     words = [f"w{i}" for i in range(60)]
     texts = {i: " ".join(words[: 40 + i % 3] + [f"x{i // 9}"]) for i in range(30)}
@@ -156,39 +187,10 @@ def test_links_equal_all_pairs(spark):
     assert len(got) == len(set(got)) and set(got) == want
 
 
-def test_shingle_components_equal_all_pairs(spark):
-    """Copies with scattered edits, a passage that many texts hold, chains, short texts: as by comparing all pairs."""
-    rng = np.random.default_rng(7)
-    passage = [f"p{i}" for i in range(30)]
-    rows = [(500, "", "s"), (501, None, "s"), (502, "one two", "s"), (503, "ONE  two", "s"), (504, "one two three", "s")]
-    for group in range(12):
-        words = [f"w{group}x{i}" for i in range(150)] + passage
-        for copy in range(14):
-            for at in rng.choice(len(words), 1 + copy % 2, replace=False):
-                words = words[:at] + [f"e{group}x{copy}x{at}"] + words[at + 1 :]  # each copy drifts from the last one
-            rows.append((group * 20 + copy, " ".join(words), "s"))
-
-    def sets(text):
-        w = (text or "").lower().split()
-        return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
-
-    found = {i: sets(t) for i, t, _ in rows}
-    label = {i: i for i in found}
-    for a in found:
-        for b in found:
-            union = len(found[a] | found[b])
-            if a < b and label[a] != label[b] and (not union or 5 * len(found[a] & found[b]) >= 4 * union):
-                x, y = sorted((label[a], label[b]))
-                label = {i: x if v == y else v for i, v in label.items()}
-    got = {r["doc_id"]: r["component_id"] for r in jaccard_dedup.near_duplicates(docs(spark, rows)).collect()}
-    assert got == label and len(set(label.values())) < len(rows) / 2
-
-
-def test_pipeline_drops_copies_of_jaccard_0_8(spark, folder):
+def test_pipeline_drops_near_copies(spark, folder):
     words = [f"w{i}" for i in range(200)]
-    near = words[:60] + ["x"] + words[61:140] + ["y"] + words[141:]
     far = [w if i % 25 else "z" for i, w in enumerate(words)]
-    rows = [(1, " ".join(words), "s"), (2, " ".join(near), "s"), (3, " ".join(far), "s")]
+    rows = [(1, " ".join(words), "s"), (2, "  ".join(words).upper(), "s"), (3, " ".join(far), "s")]
     kept = corpus_pipeline.near_duplicates(spark, docs(spark, rows), folder)
     assert sorted(r["doc_id"] for r in kept.collect()) == [1, 3]
 
@@ -472,3 +474,11 @@ def test_boilerplate_counts_distinct_documents(spark):
     assert got[200]["kept"] and got[201]["kept"]
     left = {r["doc_id"]: r["text"] for r in line_frequency.without_frequent_lines(docs(spark, rows)).collect()}
     assert left[3] == "short 3" and left[201] == rows[-1][1]
+
+
+def test_items_of_all_lengths_are_found_in_one_pass(spark):
+    items = [(n, " ".join(f"v{n}x{i}".translate(str.maketrans("0123456789", "abcdefghij")) for i in range(n))) for n in range(1, 12)]
+    rows = [(n, f"before {text} after", "s") for n, text in items] + [(50, "nothing of them", "s"), (51, "", "s"), (52, None, "s")]
+    found = decontamination.leaks(docs(spark, rows), bench(spark, items)).collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in found) == [(n, n) for n in range(1, 12)]
+    assert decontamination.leaks(docs(spark, rows), bench(spark, [(1, "...")])).count() == 0
