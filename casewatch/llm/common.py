@@ -44,6 +44,11 @@ def same(left, right, *columns):
     return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in columns])
 
 
+def aside(docs, *used):
+    """The used columns, and all of a row as `_rest`: whatever else its columns are called, they meet no other name."""
+    return docs.select(*used, F.struct(*docs.columns).alias("_rest"))
+
+
 def spread(df, *keys):
     """Fixed number of hash partitions by keys, for Python work whose cost bytes do not show."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -10,7 +10,7 @@ In-row work (words, repeated windows, repeated lines) needs no shuffle. Only lin
 
 from pyspark.sql import functions as F
 
-from casewatch.llm.common import SPACE_CLASS, row_key, text_or_empty, words
+from casewatch.llm.common import SPACE_CLASS, aside, row_key, text_or_empty, words
 from casewatch.sources.workspace import staged
 
 MIN_WORDS = 10
@@ -175,14 +175,16 @@ def judged(docs, text="text", host="source", min_documents=MIN_DOCUMENTS, max_sh
 def without_frequent_lines(
     docs, text="text", host="source", min_documents=MIN_DOCUMENTS, max_share=MAX_SHARE, checkpoint=staged
 ):
-    """docs with the lines above their host's limit taken out of the text; other columns as they are."""
+    """docs with the lines above their host's limit taken out of the text; other columns as they are, whatever their names.
+
+    Rows that repeat are treated alike; null and empty texts, and an empty table, stay as they are.
+    """
     hit = _hits(docs, text, host, min_documents, max_share, checkpoint)
     drop = hit.groupBy(F.col("key").alias("_key")).agg(F.collect_set("line").alias("_drop"))  # at most a text's own lines
-    keyed = docs.withColumn("_row", row_key("doc_id", host, text))
+    keyed = aside(docs, "doc_id", host, text).withColumn("_row", row_key("doc_id", host, text))
     left = F.filter(
         F.split(F.col(text), "\n", -1),
         lambda line: ~F.array_contains(F.coalesce(F.col("_drop"), F.array().cast("array<bigint>")), F.xxhash64(normalised(line))),
     )
-    return keyed.join(drop, F.col("_row") == F.col("_key"), "left").select(
-        *[(F.array_join(left, "\n") if c == text else F.col(c)).alias(c) for c in docs.columns]
-    )
+    joined = keyed.join(drop, F.col("_row") == F.col("_key"), "left")
+    return joined.select(F.col("_rest").withField(text, F.array_join(left, "\n")).alias("_rest")).select("_rest.*")

@@ -15,7 +15,7 @@ without a digit or an at sign skip all of it.
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from casewatch.llm.common import row_key, text_or_empty
+from casewatch.llm.common import aside, row_key, text_or_empty
 from casewatch.sources.workspace import staged
 
 _WORD = r"[^\x20\x09-\x0D]"
@@ -228,7 +228,8 @@ def redacted(docs, text="text", checkpoint=staged, **options):
     """docs with every span replaced by its kind in brackets; other columns as they are.
 
     Spans that overlap are replaced together, by the first one's kind. Texts without a digit or an at sign
-    hold none and pass without a shuffle.
+    hold none and pass without a shuffle; a null text stays null. Rows that repeat are treated alike, and columns may
+    have any names. An empty table gives an empty one.
     """
     found = spans(docs, text, checkpoint, **options)
     document = Window.partitionBy("key", "doc_id").orderBy("start", F.desc("end"), "kind")
@@ -244,7 +245,7 @@ def redacted(docs, text="text", checkpoint=staged, **options):
         F.sort_array(F.collect_list(F.struct("start", "end", "kind"))).alias("_cuts")  # of one document
     )
     may = F.coalesce(F.col(text).rlike("[0-9@]"), F.lit(False))
-    keyed = docs.filter(may).withColumn("_row", row_key("doc_id", text))
+    keyed = aside(docs.filter(may), "doc_id", text).withColumn("_row", row_key("doc_id", text))
     joined = keyed.join(cuts, (F.col("_row") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left")
     pieces = F.transform(
         F.col("_cuts"),
@@ -261,5 +262,5 @@ def redacted(docs, text="text", checkpoint=staged, **options):
     )
     rest = F.substring(F.col(text), F.element_at("_cuts", F.lit(-1))["end"] + 1, F.length(text))
     changed = F.when(F.col("_cuts").isNull(), F.col(text)).otherwise(F.concat(F.array_join(pieces, ""), rest))
-    cleaned = joined.select(*[(changed if c == text else F.col(c)).alias(c) for c in docs.columns])
+    cleaned = joined.select(F.col("_rest").withField(text, changed).alias("_rest")).select("_rest.*")
     return docs.filter(~may).unionByName(cleaned)

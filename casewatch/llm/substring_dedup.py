@@ -21,7 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 
-from casewatch.llm.common import text_or_empty
+from casewatch.llm.common import aside, text_or_empty
 from casewatch.sources.workspace import staged
 
 MIN_WORDS = 8
@@ -137,14 +137,15 @@ def repeats(docs, text="text", min_words=MIN_WORDS, checkpoint=staged):
 def deduplicated(docs, text="text", min_words=MIN_WORDS, checkpoint=staged):
     """docs with repeated units cut out of the text, and `removed`: their (start, end) in the original text.
 
-    White space around a cut stays. Other columns, and texts without repetition, stay as they are.
+    White space around a cut stays. Other columns, whatever their names, and texts without repetition stay as they
+    are; a column named removed gives way.
     """
     spans = (
         repeats(docs, text, min_words, checkpoint)
         .groupBy(F.col("doc_id").alias("_id"))
         .agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("removed"))  # at most a document's own units
     )
-    joined = docs.join(spans, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
+    joined = aside(docs.drop("removed"), "doc_id", text).join(spans, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
     ends = F.concat(F.array(F.lit(0)), F.transform("removed", lambda s: s["end"]))
     pieces = F.transform(
         ends,
@@ -153,7 +154,7 @@ def deduplicated(docs, text="text", min_words=MIN_WORDS, checkpoint=staged):
         ),
     )
     left = F.when(F.col("removed").isNull(), F.col(text)).otherwise(F.array_join(pieces, ""))
+    none = F.array().cast("array<struct<start:int,end:int>>")
     return joined.select(
-        *[(left if c == text else F.col(c)).alias(c) for c in docs.columns],
-        F.coalesce("removed", F.array().cast("array<struct<start:int,end:int>>")).alias("removed"),
-    )
+        F.col("_rest").withField(text, left).alias("_rest"), F.coalesce("removed", none).alias("removed")
+    ).select("_rest.*", "removed")
