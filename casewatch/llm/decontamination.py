@@ -69,14 +69,15 @@ def template(plain):
 
 def _windows(words, sizes):
     """size, place and digest of the windows of all the sizes, as one array."""
-    each = []
-    for size in sizes:
+
+    def of(size):
         starts = F.sequence(F.lit(1), F.greatest(F.size(words) - (size - 1), F.lit(1)))
-        told = F.transform(
-            starts, lambda i, size=size: F.struct(F.lit(size).alias("of"), i.alias("place"), F.xxhash64(F.slice(words, i, size)).alias("digest"))
-        )
-        each.append(F.when(F.size(words) >= size, told).otherwise(F.slice(told, 1, 0)))
-    return F.flatten(F.array(*each)) if len(each) > 1 else each[0]
+        window = lambda i: F.struct(F.lit(size).alias("of"), (i - 1).alias("place"), F.xxhash64(F.slice(words, i, size)).alias("digest"))
+        return F.when(F.size(words) >= size, F.transform(starts, window))
+
+    each = [of(size) for size in sizes]
+    none = F.slice(F.array(F.struct(F.lit(0).alias("of"), F.lit(0).alias("place"), F.lit(0).cast("long").alias("digest"))), 1, 0)
+    return F.flatten(F.array(*[F.coalesce(e, none) for e in each])) if len(each) > 1 else each[0]
 
 
 def item_windows(benchmark, window=WINDOW, text="text"):
