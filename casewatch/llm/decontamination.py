@@ -144,11 +144,30 @@ def leaks(docs, benchmark, window=WINDOW, covered=COVERED, text="text", checkpoi
     pieces = document.select("_row", "_id", "_words", begins).select(
         "_row", "_id", "_piece", F.slice("_words", (F.col("_piece") * PIECE + 1).cast("int"), PIECE + reach + 2 * BAND).alias("_words")
     )
+    def value(word):
+        return F.lower(F.regexp_replace(word, r"[^\p{L}\p{N}.,]|[.,]+$", ""))
+
     plain = _plain(text_or_empty(text))
     item = benchmark.filter(F.col("item_id").isNotNull()).select(
         F.col("item_id").alias("_item"), _split(plain).alias("item_words"), template(plain).alias("item_template")
     )
     item = item.groupBy("_item").agg(*[F.min(c).alias(c) for c in ("item_words", "item_template")])
+    # places of an item's placeholders and what stands there, told once per item
+    places = F.filter(
+        F.transform(
+            "item_template",
+            lambda t, i: F.struct(i.alias("i"), (F.translate(t, NUMBER + NAME + UNIT, "") != t).alias("slot"), F.get("item_words", i).alias("word")),
+        ),
+        lambda s: s["slot"],
+    )
+    known = F.transform(
+        places,
+        lambda s: F.struct(
+            s["i"].alias("i"), value(s["word"]).alias("item"), ((s["i"] == 0) | (s["i"] == F.size("item_template") - 1)).alias("end")
+        ),
+    )
+    item = checkpoint(item.select("_item", known.alias("known")), "items")
+
     # of the document's words those beside the item, right behind the join: long texts never travel with alignments
     first = F.greatest(F.array_min(F.transform("parts", lambda p: p["shift"])), F.lit(0))
     last = F.array_max(F.transform("parts", lambda p: p["shift"])) + F.col("windows") + F.col("size") - 1
@@ -170,23 +189,20 @@ def leaks(docs, benchmark, window=WINDOW, covered=COVERED, text="text", checkpoi
         over = F.filter("parts", lambda p: F.exists(p["places"], lambda at: (at <= i) & (i < at + F.col("size"))))
         return F.get(over, F.lit(0))["shift"]
 
-    def value(word):
-        return F.lower(F.regexp_replace(word, r"[^\p{L}\p{N}.,]|[.,]+$", ""))
-
-    placed = joined.withColumn("shifts", F.transform("item_template", lambda t, i: shift_of(i)))
+    placed = joined.withColumn(
+        "read", F.transform("known", lambda s: F.struct(s["i"], s["item"], s["end"], F.get("doc_words", s["i"] + shift_of(s["i"])).alias("word")))
+    )
     slots = F.filter(
         F.transform(
-            F.col("item_template"),
-            lambda t, i: F.struct(
-                F.translate(t, NUMBER + NAME + UNIT, "").alias("rest"),
-                t.alias("t"),
-                value(F.get("item_words", i)).alias("item"),
-                value(F.get("doc_words", i + F.get("shifts", i))).alias("doc"),
+            "read",
+            lambda s: F.struct(
+                s["item"].alias("item"),
+                value(s["word"]).alias("doc"),
                 # at the item's ends a value may have grown together with words around the item
-                (F.get("doc_words", i + F.get("shifts", i)).contains(JOINER) & ((i == 0) | (i == F.size("item_template") - 1))).alias("grown"),
+                (s["word"].contains(JOINER) & s["end"]).alias("grown"),
             ),
         ),
-        lambda s: (s["rest"] != s["t"]) & s["doc"].isNotNull() & ~s["grown"],
+        lambda s: s["doc"].isNotNull() & ~s["grown"],
     )
     checked = placed.withColumn("slots", slots).filter(consistent(F.col("slots")))
     changed = F.size(F.filter("slots", lambda s: s["item"] != s["doc"]))
@@ -204,6 +220,6 @@ def clean(docs, benchmark, text="text", **options):
     Rows that repeat stay or go together. Null and empty texts stay; so does everything if there are no items.
     """
     found = leaks(docs, benchmark, text=text, **options).select(F.col("key").alias("_key"), F.col("doc_id").alias("_id")).distinct()
-    own = aside(docs, "doc_id", text)
-    same = (row_key("doc_id", text) == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+    own = aside(docs, "doc_id", row_key("doc_id", text).alias("_row"))
+    same = (F.col("_row") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id"))
     return own.join(found, same, "left_anti").select("_rest.*")
