@@ -8,7 +8,9 @@ find repeated payloads; pages travel compressed.
 Reading. Files come as bytes, with or without compression. A record counts only if its member's
 checksum, its lengths, its end mark and its digests are right. Where a check fails, the reader
 looks for the next place at which a whole valid record starts, goes on there, and reports the bytes
-between as a gap. A file is read by one task, so the writer limits the records of a file.
+between as a gap. In a member of many records a bad record costs itself alone: version lines are searched in
+what the member yields. A member that is cut off or fails its checksum is a gap, but for records
+in it whose own block digest is right. A file is read by one task, so the writer limits the records of a file.
 """
 
 import hashlib
@@ -73,19 +75,31 @@ def member(data):
 
 
 def _unpack(data, start):
-    """(content, end) of the gzip member at start; zlib.error if it is damaged or cut off."""
-    unpacker, parts, at = zlib.decompressobj(31), [], start
+    """(content, end, reason) of the gzip member at start; if it is damaged or cut off, what it yields before, None, why."""
+    unpacker, parts, at, step = zlib.decompressobj(31), [], start, CHUNK
     while not unpacker.eof:
-        piece = data[at : at + CHUNK]
+        piece = data[at : at + step]
         if not piece:
-            raise zlib.error("member is cut off")
-        parts.append(unpacker.decompress(piece))
+            return b"".join(parts), None, "member is cut off"
+        try:
+            parts.append(unpacker.decompress(piece))
+        except zlib.error as failure:
+            if step == 1:
+                return b"".join(parts), None, str(failure)
+            # once more up to this piece, and through it byte by byte
+            unpacker, parts, step = zlib.decompressobj(31), [], 1
+            for before in range(start, at, CHUNK):
+                parts.append(unpacker.decompress(data[before : before + CHUNK]))
+            continue
         at += len(piece)
-    return b"".join(parts), at - len(unpacker.unused_data)
+    return b"".join(parts), at - len(unpacker.unused_data), None
+
 
+def _parse(data, start, digested=False):
+    """(fields, block, end) of the uncompressed record at start; ValueError if a check fails.
 
-def _parse(data, start):
-    """(fields, block, end) of the uncompressed record at start; ValueError if a check fails."""
+    With digested, a record without a digest of its block does not count.
+    """
     version = VERSION.match(data, start)
     if not version:
         raise ValueError("no version line")
@@ -106,48 +120,68 @@ def _parse(data, start):
         raise ValueError("no end mark")
     block = data[first:end]
     kind, _, digest = fields.get("warc-block-digest", "").partition(":")
+    if digested and kind != "sha256":
+        raise ValueError("no digest")
     if kind == "sha256" and _sha256(block) != digest:
         raise ValueError("wrong digest")
     return fields, block, end + len(END)
 
 
+def _inside(content, digested):
+    """[(fields, block, reason), ...]: the records of a member's content, and None with a reason for what lies between."""
+    found, at = [], 0
+    while at < len(content):
+        try:
+            fields, block, at = _parse(content, at, digested)
+            found.append((fields, block, None))
+        except ValueError as failure:
+            gap, at = at, len(content)
+            for start in VERSION.finditer(content, gap + 1):
+                try:
+                    _parse(content, start.start(), digested)
+                except ValueError:
+                    continue
+                at = start.start()
+                break
+            found.append((None, b"", f"{failure}: bytes {gap} to {at} of the member's content"))
+    return found
+
+
 def _at(data, pos):
-    """([(fields, block), ...], end) of the member or record at pos."""
+    """([(fields, block, reason), ...], end, reason) of the member or record at pos; end is None if it is damaged."""
     if data[pos : pos + 2] == b"\x1f\x8b":
-        content, end = _unpack(data, pos)
-        found, at = [], 0
-        while at < len(content):
-            fields, block, at = _parse(content, at)
-            found.append((fields, block))
-        return found, end
-    fields, block, end = _parse(data, pos)
-    return [(fields, block)], end
+        content, end, reason = _unpack(data, pos)
+        found = _inside(content, end is None)
+        return (found if end is not None else [f for f in found if f[0] is not None]), end, reason
+    try:
+        fields, block, end = _parse(data, pos)
+    except ValueError as failure:
+        return [], None, str(failure)
+    return [(fields, block, None)], end, None
 
 
 STARTS = re.compile(rb"\x1f\x8b\x08|(?<=\n)WARC/\d")
 
 
 def salvage(data):
-    """Yields (offset, length, fields, block, reason) over a whole file; fields is None for a gap."""
+    """Yields (offset, length, fields, block, reason) over a whole file; fields is None for a gap.
+
+    Records and gaps inside a member have the member's offset and length. A damaged member goes up to the next valid
+    member or record; it is a gap, and records in it that are right come behind that.
+    """
     pos = 0
     while pos < len(data):
-        try:
-            found, end = _at(data, pos)
-        except (ValueError, zlib.error) as failure:
-            reason, gap = str(failure), pos
+        found, end, reason = _at(data, pos)
+        if end is None:
+            end = len(data)
             for start in STARTS.finditer(data, pos + 1):
-                try:
-                    found, end = _at(data, start.start())
-                except (ValueError, zlib.error):
-                    continue
-                pos = start.start()
-                break
-            else:
-                yield gap, len(data) - gap, None, b"", reason
-                return
-            yield gap, pos - gap, None, b"", reason
-        for fields, block in found:
-            yield pos, end - pos, fields, block, None
+                records, valid, _ = _at(data, start.start())
+                if records or valid is not None:
+                    end = start.start()
+                    break
+            yield pos, end - pos, None, b"", reason
+        for fields, block, why in found:
+            yield pos, end - pos, fields, block, why
         pos = end
 
 

@@ -410,6 +410,33 @@ def test_warc_members_and_salvage(spark):
     assert sum(n for o, n in {(o, n) for o, n, *_ in found}) == len(data)
 
 
+def _told(data):
+    found = list(warc.salvage(data))
+    ids = [int(re.search(r"-?\d+", fields["warc-record-id"])[0]) for _, _, fields, _, _ in found if fields]
+    return ids, [(o, n) for o, n, fields, _, _ in found if fields is None]
+
+
+def test_warc_salvage_inside_a_member():
+    noise = np.random.default_rng(5)
+    records = [warc.record(i, "u", noise.bytes(40_000)) for i in range(10)]
+    last = warc.member(warc.record(99, "u", b"end"))
+    bad = bytearray(records[4])
+    bad[-100] ^= 0xFF  # the block no longer has its digest; the member's checksum is right
+    whole = warc.member(b"".join(records[:4]) + bytes(bad) + b"".join(records[5:]))
+    assert _told(whole + last) == ([0, 1, 2, 3, 5, 6, 7, 8, 9, 99], [(0, len(whole))])
+    full = warc.member(b"".join(records))
+    cut = full[: len(full) // 2]
+    ids, gaps = _told(cut)
+    assert ids == list(range(len(ids))) and len(ids) >= 4 and gaps == [(0, len(cut))]
+    ids, gaps = _told(cut + cut + last)  # two damaged members, then a good one
+    assert ids[-1] == 99 and ids.count(0) == 2 and gaps == [(0, len(cut)), (len(cut), len(cut))]
+    sums = bytearray(full)
+    sums[-6] ^= 0xFF  # a wrong checksum behind right records
+    assert _told(bytes(sums) + last) == ([*range(10), 99], [(0, len(sums))])
+    assert _told(gzip.compress(b"no archive") + last) == ([99], [(0, len(gzip.compress(b"no archive")))])
+    assert _told(gzip.compress(b"") + last) == ([99], []) and _told(b"") == ([], [])
+
+
 def test_warc_round_trip_of_awkward_pages(spark, tmp_path):
     big = np.random.default_rng(2).bytes(300).hex() * 3
     rows = [(1, "u", big), (2, None, big), (2, "u", big), (None, "u", big), (3, "", None), (4, "u", ""), (5, "u", "short"), (6, "u", "short")]
