@@ -2,6 +2,7 @@
 
 import re
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -119,7 +120,7 @@ def keyword_model(rules=None, text="patient_summary_text", id_column="safetyrepo
     A text is searched for all keywords at once; missing texts count as empty.
     """
     rules = CLINICAL_RULES if rules is None else rules
-    names = [*rules, OTHER]
+    names, fields = [*rules, OTHER], pd.Index(schemas.LABEL_ROW.names)
 
     def load():
         automaton = _automaton(rules)
@@ -137,12 +138,16 @@ def keyword_model(rules=None, text="patient_summary_text", id_column="safetyrepo
             return match[1] if match else ""
 
         def model(batch: pd.DataFrame) -> pd.DataFrame:
-            texts = [t if isinstance(t, str) else "" for t in batch[text]]
-            searched = batch["reactions"] if "reactions" in batch else texts
-            organs = [organ(t) if isinstance(t, str) else OTHER for t in searched]
+            # Batches are small: one array in and one out, as each column of a frame takes longer than its values.
+            given = dict(zip(batch.columns, batch.to_numpy(dtype=object).T.tolist()))
+            texts = [t if isinstance(t, str) else "" for t in given[text]]
+            ids = given[id_column]
+            if not all(type(i) is str for i in ids):
+                ids = batch[id_column].astype(str).tolist()
+            organs = [organ(t) if isinstance(t, str) else OTHER for t in given.get("reactions", texts)]
             severities = [ladder_of(first_group(stated, t)) for t in texts]
-            if "drugs_involved" in batch:
-                products = [d.split("; ") if isinstance(d, str) else [] for d in batch["drugs_involved"]]
+            if "drugs_involved" in given:
+                products = [d.split("; ") if isinstance(d, str) else [] for d in given["drugs_involved"]]
                 causes = [(p[0] if p else "") or first_group(product, t) for p, t in zip(products, texts)]
                 several = [len(p) > 1 for p in products]
             else:
@@ -152,16 +157,11 @@ def keyword_model(rules=None, text="patient_summary_text", id_column="safetyrepo
                 ["known_side_effect"] + ["drug_interaction_suspected"] * many + ["fatal_outcome"] * (grade == "fatal")
                 for many, grade in zip(several, severities)
             ]
-            return pd.DataFrame(
-                {
-                    "id": batch[id_column].astype(str),
-                    "primary_organ_system": organs,
-                    "severity": severities,
-                    "likely_causal_drug": causes,
-                    "category_tags": tags,
-                    "rationale": [f"Keyword rules matched {o}." for o in organs],
-                }
-            )
+            rationales = [f"Keyword rules matched {o}." for o in organs]
+            answers = np.empty((len(batch), len(fields)), dtype=object)
+            for answer, row in zip(answers, zip(ids, organs, severities, causes, tags, rationales)):
+                answer[:] = row
+            return pd.DataFrame(answers, columns=fields, dtype=object)
 
         return model
 

@@ -4,8 +4,11 @@ import datetime as dt
 import json
 import os
 import shutil
+import types
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -623,6 +626,69 @@ def test_wrongly_typed_answers_fail_their_batch_only(spark):
     assert {r["safetyreportid"] for r in rows if r["error"]} == {"2", "3"} and len(rows) == 6
 
 
+class LocalFrame:
+    """Runs what infer hands to mapInPandas here, on the given Arrow batches' frames."""
+
+    def __init__(self, *frames):
+        self.frames = frames
+
+    def mapInPandas(self, run, schema):  # noqa: N802
+        return pd.concat(list(run(iter(self.frames))), ignore_index=True)
+
+
+NUMBERED = T.StructType([T.StructField("id", T.StringType()), T.StructField("n", T.LongType())])
+
+
+def test_types_are_checked_for_many_batches_at_once(monkeypatch):
+    """Else 20 rows to a batch cost more to check than to label."""
+    checks = []
+
+    class RecordBatch:
+        @staticmethod
+        def from_pandas(frame, *args, **kwargs):
+            checks.append(len(frame))
+            return pa.RecordBatch.from_pandas(frame, *args, **kwargs)
+
+    monkeypatch.setattr(inference, "pa", types.SimpleNamespace(RecordBatch=RecordBatch))
+    table = pd.DataFrame({"id": [str(i) for i in range(9000)]})
+    given = LocalFrame(table[:3333], table[3333:3340], table[3340:])
+    sizes = []
+
+    def model(batch):
+        sizes.append(len(batch))
+        return pd.DataFrame({"n": range(len(batch)), "id": batch["id"]})
+
+    rows = inference.infer(given, lambda: model, NUMBERED, 20, "id")
+    assert sizes == [20] * 450 and rows["id"].tolist() == table["id"].tolist() and rows["error"].isna().all()
+    assert len(checks) <= 3 and sum(checks) == 9000
+
+
+def test_each_failed_batch_keeps_its_own_reason():
+    def model(batch):
+        first = batch["id"][0]
+        out = batch.assign(n=[int(i) for i in batch["id"]])
+        if first == "2":
+            raise KeyError("two")
+        if first == "4":
+            out["n"] = "four"
+        if first == "6":
+            out["id"] = "6"
+        if first == "8":
+            out["id"], out["n"] = "0", [[8], [9]]  # told by its types, which come first
+        if first == "10":
+            return out[["id"]]
+        return out[:1] if first == "12" else out
+
+    rows = inference.infer(LocalFrame(pd.DataFrame({"id": [str(i) for i in range(15)]})), lambda: model, NUMBERED, 2, "id")
+    assert rows["id"].tolist() == [str(i) for i in range(13)] + ["14"]
+    good = rows[rows["error"].isna()]
+    assert good["n"].tolist() == [0, 1, 12, 14] and rows["n"].isna().sum() == 10
+    why = rows.groupby("error", sort=False)["id"].agg(list).to_dict()
+    assert list(why.values()) == [["2", "3"], ["4", "5"], ["6", "7"], ["8", "9"], ["10", "11"]]
+    begins = ("KeyError: 'two'", "Arrow", "ValueError: answers to ids", "Arrow", "KeyError")
+    assert all(reason.startswith(b) for reason, b in zip(why, begins, strict=True))
+
+
 @pytest.fixture
 def one_partition(spark):
     partitions = spark.conf.get("spark.sql.shuffle.partitions")
